@@ -18,28 +18,33 @@ _OFFSET = r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)"
 _AWARE = f"{_DATE}{_CLOCK}{_OFFSET}$"
 _NAIVE = f"{_DATE}({_CLOCK})?$"
 # Numbers above this are epoch milliseconds, below it epoch seconds.
-_MILLIS_FROM = 2e10
+_MILLIS_FROM = "2e10D"
 # End of year 9999, the last instant the data source can name.
-_LAST_SECOND = 253402300800.0
+_LAST_SECOND = "253402300800D"
 
 
-def _with_seconds(text: Column) -> Column:
-    """Spark's cast wants seconds in front of an offset."""
-    hour_only = F.regexp_replace(text, r"^(.{10}[T ]\d{2})(?=Z|[+-]|$)", "$1:00")
-    return F.regexp_replace(hour_only, r"^(.{10}[T ]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
+def _with_seconds(text: str) -> str:
+    """Spark's cast wants minutes and seconds in front of an offset."""
+    minutes = rf"regexp_replace({text}, r'^(.{{10}}[T ]\d{{2}})(?=Z|[+-]|$)', '$1:00')"
+    return rf"regexp_replace({minutes}, r'^(.{{10}}[T ]\d{{2}}:\d{{2}})(?=Z|[+-]|$)', '$1:00')"
 
 
-def _offset_instant(text: Column) -> Column:
-    direct = text.try_cast("timestamp")
-    return F.when(text.rlike(_AWARE), F.coalesce(direct, _with_seconds(text).try_cast("timestamp")))
+def _offset_instant(text: str) -> str:
+    return (
+        f"CASE WHEN {text} RLIKE r'{_AWARE}' THEN"
+        f" coalesce(try_cast({text} AS TIMESTAMP), try_cast({_with_seconds(text)} AS TIMESTAMP)) END"
+    )
+
 
+def aware_instant(text: str) -> str:
+    """SQL for the instant of a text that names its own offset, or of an epoch number.
 
-def aware_instant(text: Column) -> Column:
-    """Instant of a text that names its own offset, or of an epoch number; null for naive or bad text."""
+    Naive, date-only or bad text gives null.
+    """
     number = lax_double(text)
-    seconds = F.when(F.abs(number) > _MILLIS_FROM, number / 1000).otherwise(number)
-    in_range = F.abs(seconds) < _LAST_SECOND
-    return F.coalesce(_offset_instant(text), F.when(in_range, F.timestamp_seconds(seconds)))
+    seconds = f"({number}) / CASE WHEN abs({number}) > {_MILLIS_FROM} THEN 1000 ELSE 1 END"
+    epoch = f"CASE WHEN abs({seconds}) < {_LAST_SECOND} THEN timestamp_seconds({seconds}) END"
+    return f"coalesce({_offset_instant(text)}, {epoch})"
 
 
 def known_zones() -> list[str]:
@@ -47,22 +52,23 @@ def known_zones() -> list[str]:
     return sorted(zoneinfo.available_timezones())
 
 
-def parse_api_datetime(text: Column, timezone: Column, strict: bool = False) -> Column:
+def parse_api_datetime(text: str, timezone: str, strict: bool = False) -> Column:
     """Instant of an API date text: its own offset when it has one, else local time in `timezone`.
 
-    Gaps and folds of daylight saving resolve to the offset in force before the change. Bad text and
-    unknown zones give null, or fail the job when `strict`.
+    Both arguments are column names or SQL text. Gaps and folds of daylight saving resolve to the offset
+    in force before the change. Bad text and unknown zones give null, or fail the job when `strict`.
     """
-    zones = known_zones()
-    zone = F.when(timezone.isin(zones), timezone) if zones else timezone
-    local = F.when(text.rlike(_NAIVE), _with_seconds(text).try_cast("timestamp_ntz"))
-    instant = F.coalesce(
-        _offset_instant(text), F.to_utc_timestamp(local.cast("timestamp"), zone)
+    zones = ", ".join(f"'{zone}'" for zone in known_zones())
+    zone = f"CASE WHEN {timezone} IN ({zones}) THEN {timezone} END" if zones else timezone
+    local = (
+        f"CASE WHEN {text} RLIKE r'{_NAIVE}' THEN"
+        f" CAST(try_cast({_with_seconds(text)} AS TIMESTAMP_NTZ) AS TIMESTAMP) END"
     )
-    if not strict:
-        return instant
-    complaint = F.raise_error(F.concat(F.lit("invalid date: "), text)).cast("timestamp")
-    return F.when(text.isNotNull() & instant.isNull(), complaint).otherwise(instant)
+    instant = f"coalesce({_offset_instant(text)}, to_utc_timestamp({local}, {zone}))"
+    if strict:
+        complaint = f"CAST(raise_error(concat('invalid date: ', {text})) AS TIMESTAMP)"
+        instant = f"CASE WHEN {text} IS NOT NULL THEN coalesce({instant}, {complaint}) END"
+    return F.expr(instant)
 
 
 def months_between_inclusive(start: Column, end: Column) -> Column:

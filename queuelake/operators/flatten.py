@@ -12,74 +12,74 @@ from pyspark.sql import functions as F
 
 from queuelake.functions.numbers import lax_boolean, lax_double
 from queuelake.functions.times import aware_instant
-from queuelake.schemas import QUEUE_VARIANTS
+from queuelake.schemas import QUEUE_VARIANTS, WAIT_VARIANTS
 
 _KEYS = ("seq", "path", "fetched_at")
 
 
-def _present(record: Column, typed: Column) -> Column:
-    """Keep the difference between an absent record and one whose fields are all null."""
-    return F.when(record.isNotNull(), typed)
+def _present(record: str, **fields: str) -> str:
+    """SQL record of typed fields that stays null when the landed record is: an absent record and one
+    whose fields are all null remain different."""
+    members = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"CASE WHEN {record} IS NOT NULL THEN named_struct({members}) END"
 
 
-def _price(price: Column) -> Column:
+def _price(price: str) -> str:
     return _present(
         price,
-        F.struct(
-            lax_double(price["amount"]).alias("amount"),
-            price["currency"].alias("currency"),
-            price["formatted"].alias("formatted"),
-        ),
+        amount=lax_double(f"{price}.amount"),
+        currency=f"{price}.currency",
+        formatted=f"{price}.formatted",
     )
 
 
-def _wait(queue: Column) -> Column:
-    return _present(queue, F.struct(lax_double(queue["waitTime"]).alias("waitTime")))
+def _wait(queue: str) -> str:
+    return _present(queue, waitTime=lax_double(f"{queue}.waitTime"))
 
 
-def _return_fields(queue: Column) -> list[Column]:
-    return [
-        queue["state"].alias("state"),
-        aware_instant(queue["returnStart"]).alias("returnStart"),
-        aware_instant(queue["returnEnd"]).alias("returnEnd"),
-    ]
+def _return(queue: str, **more: str) -> str:
+    return _present(
+        queue,
+        state=f"{queue}.state",
+        returnStart=aware_instant(f"{queue}.returnStart"),
+        returnEnd=aware_instant(f"{queue}.returnEnd"),
+        **more,
+    )
 
 
-def _boarding(queue: Column) -> Column:
+def _boarding(queue: str) -> str:
     return _present(
         queue,
-        F.struct(
-            queue["allocationStatus"].alias("allocationStatus"),
-            lax_double(queue["currentGroupStart"]).alias("currentGroupStart"),
-            lax_double(queue["currentGroupEnd"]).alias("currentGroupEnd"),
-            aware_instant(queue["nextAllocationTime"]).alias("nextAllocationTime"),
-            lax_double(queue["estimatedWait"]).alias("estimatedWait"),
-        ),
+        allocationStatus=f"{queue}.allocationStatus",
+        currentGroupStart=lax_double(f"{queue}.currentGroupStart"),
+        currentGroupEnd=lax_double(f"{queue}.currentGroupEnd"),
+        nextAllocationTime=aware_instant(f"{queue}.nextAllocationTime"),
+        estimatedWait=lax_double(f"{queue}.estimatedWait"),
     )
 
 
-def typed_queue(queue: Column) -> Column:
+def typed_queue(queue: str) -> Column:
     """Typed form of a landed queue record; absent variants stay null, empty ones stay present."""
-    paid = queue["PAID_RETURN_TIME"]
-    typed = {
-        "STANDBY": _wait(queue["STANDBY"]),
-        "SINGLE_RIDER": _wait(queue["SINGLE_RIDER"]),
-        "RETURN_TIME": _present(
-            queue["RETURN_TIME"], F.struct(*_return_fields(queue["RETURN_TIME"]))
-        ),
-        "PAID_RETURN_TIME": _present(
-            paid, F.struct(*_return_fields(paid), _price(paid["price"]).alias("price"))
-        ),
-        "BOARDING_GROUP": _boarding(queue["BOARDING_GROUP"]),
-        "PAID_STANDBY": _wait(queue["PAID_STANDBY"]),
-    }
-    return _present(queue, F.struct(*[typed[v].alias(v) for v in QUEUE_VARIANTS]))
-
-
-def _location(location: Column) -> list[Column]:
+    typed = {v: _wait(f"{queue}.{v}") for v in WAIT_VARIANTS}
+    typed["RETURN_TIME"] = _return(f"{queue}.RETURN_TIME")
+    paid = f"{queue}.PAID_RETURN_TIME"
+    typed["PAID_RETURN_TIME"] = _return(paid, price=_price(f"{paid}.price"))
+    typed["BOARDING_GROUP"] = _boarding(f"{queue}.BOARDING_GROUP")
+    return F.expr(_present(queue, **{v: typed[v] for v in QUEUE_VARIANTS}))
+
+
+def _double(text: str, name: str) -> Column:
+    return F.expr(lax_double(text)).alias(name)
+
+
+def _instant(text: str, name: str) -> Column:
+    return F.expr(aware_instant(text)).alias(name)
+
+
+def _location(location: str) -> list[Column]:
     return [
-        lax_double(location["latitude"]).alias("latitude"),
-        lax_double(location["longitude"]).alias("longitude"),
+        _double(f"{location}.latitude", "latitude"),
+        _double(f"{location}.longitude", "longitude"),
     ]
 
 
@@ -112,7 +112,7 @@ def entities(documents: DataFrame) -> DataFrame:
         doc["parentId"].alias("parent_id"),
         doc["destinationId"].alias("destination_id"),
         doc["timezone"].alias("timezone"),
-        *_location(doc["location"]),
+        *_location("doc.location"),
         doc["tags"].alias("tags"),
     )
 
@@ -155,7 +155,7 @@ def descendants(documents: DataFrame) -> DataFrame:
         child["entityType"].alias("entity_type"),
         child["externalId"].alias("external_id"),
         child["parentId"].alias("parent_id"),
-        *_location(child["location"]),
+        *_location("_c.location"),
     )
 
 
@@ -173,8 +173,8 @@ def live(documents: DataFrame) -> DataFrame:
         entry["name"].alias("name"),
         entry["entityType"].alias("entity_type"),
         entry["status"].alias("status"),
-        aware_instant(entry["lastUpdated"]).alias("last_updated"),
-        typed_queue(entry["queue"]).alias("queue"),
+        _instant("_e.lastUpdated", "last_updated"),
+        typed_queue("_e.queue").alias("queue"),
         entry["showtimes"].alias("showtimes"),
         entry["operatingHours"].alias("operating_hours"),
         entry["diningAvailability"].alias("dining"),
@@ -188,8 +188,8 @@ def _hours(live_rows: DataFrame, column: str) -> DataFrame:
         "entity_id",
         "ord",
         "_h.type",
-        aware_instant(F.col("_h.startTime")).alias("start_time"),
-        aware_instant(F.col("_h.endTime")).alias("end_time"),
+        _instant("_h.startTime", "start_time"),
+        _instant("_h.endTime", "end_time"),
     )
 
 
@@ -207,18 +207,19 @@ def dining(live_rows: DataFrame) -> DataFrame:
         *_KEYS,
         "entity_id",
         "ord",
-        lax_double(F.col("_a.partySize")).alias("party_size"),
-        lax_double(F.col("_a.waitTime")).alias("wait_time"),
+        _double("_a.partySize", "party_size"),
+        _double("_a.waitTime", "wait_time"),
     )
 
 
-def _entry_columns(entry: Column) -> list[Column]:
+def _entry_columns() -> list[Column]:
+    """Typed columns of the entry exploded as `_e`."""
     return [
-        entry["date"].alias("date"),
-        entry["type"].alias("type"),
-        aware_instant(entry["openingTime"]).alias("opening_time"),
-        aware_instant(entry["closingTime"]).alias("closing_time"),
-        entry["purchases"].alias("purchases"),
+        F.col("_e.date"),
+        F.col("_e.type"),
+        _instant("_e.openingTime", "opening_time"),
+        _instant("_e.closingTime", "closing_time"),
+        F.col("_e.purchases"),
     ]
 
 
@@ -227,7 +228,7 @@ def schedule(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         *_KEYS, "entity_id", "year", "month", F.posexplode("doc.schedule").alias("ord", "_e")
     )
-    return rows.select(*_KEYS, "entity_id", "year", "month", "ord", *_entry_columns(F.col("_e")))
+    return rows.select(*_KEYS, "entity_id", "year", "month", "ord", *_entry_columns())
 
 
 def destination_schedule(documents: DataFrame) -> DataFrame:
@@ -251,7 +252,7 @@ def destination_schedule(documents: DataFrame) -> DataFrame:
         *_KEYS, "root_id", "owner_ord", "_o.owner_id", F.posexplode("_o.entries").alias("ord", "_e")
     )
     return rows.select(
-        *_KEYS, "root_id", "owner_ord", "owner_id", "ord", *_entry_columns(F.col("_e"))
+        *_KEYS, "root_id", "owner_ord", "owner_id", "ord", *_entry_columns()
     )
 
 
@@ -264,7 +265,6 @@ def purchases(schedule_rows: DataFrame) -> DataFrame:
         F.col("ord").alias("entry_ord"),
         F.posexplode("purchases").alias("ord", "_p"),
     )
-    price = _price(F.col("_p.price"))
     return rows.select(
         *_KEYS,
         "entity_id",
@@ -274,6 +274,6 @@ def purchases(schedule_rows: DataFrame) -> DataFrame:
         "_p.type",
         F.col("_p.id").alias("purchase_id"),
         F.col("_p.name").alias("purchase_name"),
-        price.alias("price"),
-        lax_boolean(F.col("_p.available")).alias("available"),
+        F.expr(_price("_p.price")).alias("price"),
+        F.expr(lax_boolean("_p.available")).alias("available"),
     )

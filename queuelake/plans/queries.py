@@ -380,13 +380,13 @@ def _(spark, sf_dir):
 
 @query("q52_instants")
 def _(spark, sf_dir):
-    instant = times.parse_api_datetime(F.col("v"), F.col("tz"))
+    instant = times.parse_api_datetime("v", "tz")
     return lake.date_texts(spark, sf_dir).select("ord", "v", "tz", _text(instant).alias("instant"))
 
 
 @query("q53_bad_dates")
 def _(spark, sf_dir):
-    instant = times.parse_api_datetime(F.col("v"), F.col("tz"))
+    instant = times.parse_api_datetime("v", "tz")
     bad = lake.date_texts(spark, sf_dir).where(F.col("v").isNotNull() & instant.isNull())
     return bad.select("ord", F.concat(F.lit("invalid date: "), F.col("v")).alias("error"))
 

@@ -10,12 +10,14 @@ Rules
   NEST  schedules repeat below `parks` at most once
   BOOL  flags are booleans
 Queue fields are nullable by design: a null wait, state or group never rejects anything.
+
+A check is SQL text over one record; checks on list elements become `exists` lambdas.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -26,35 +28,31 @@ from queuelake.functions.numbers import lax_boolean, lax_double
 from queuelake.functions.times import aware_instant
 from queuelake.sources.bronze import decode, of_kind
 
+_AS_JSON = "coalesce(contains(content_type, 'application/json'), false)"
+
 
 class Check(NamedTuple):
-    """One broken-when predicate over a record."""
+    """`broken` gives, for the name of a record, SQL that is true when the record breaks the rule."""
 
     rule: str
     field: str
-    broken: Callable[[Column], Column]
-
-
-def _at(record: Column, field: str) -> Column:
-    for part in field.split("."):
-        record = record[part]
-    return record
+    broken: Callable[[str], str]
 
 
 def _required(*fields: str) -> list[Check]:
-    return [Check("VAL2", f, lambda r, f=f: _at(r, f).isNull()) for f in fields]
+    return [Check("VAL2", f, lambda r, f=f: f"{r}.{f} IS NULL") for f in fields]
 
 
 def _domain(allowed: tuple[str, ...], *fields: str) -> list[Check]:
+    members = ", ".join(f"'{a}'" for a in allowed)
     return [
-        Check("VAL3", f, lambda r, f=f: F.coalesce(~_at(r, f).isin(*allowed), F.lit(False)))
-        for f in fields
+        Check("VAL3", f, lambda r, f=f: f"coalesce({r}.{f} NOT IN ({members}), false)") for f in fields
     ]
 
 
-def _castable(rule: str, cast: Callable[[Column], Column], *fields: str) -> list[Check]:
+def _castable(rule: str, cast: Callable[[str], str], *fields: str) -> list[Check]:
     return [
-        Check(rule, f, lambda r, f=f: _at(r, f).isNotNull() & cast(_at(r, f)).isNull())
+        Check(rule, f, lambda r, f=f: f"({r}.{f} IS NOT NULL AND ({cast(f'{r}.{f}')}) IS NULL)")
         for f in fields
     ]
 
@@ -67,47 +65,41 @@ def _numbers(*fields: str) -> list[Check]:
     return _castable("VAL6", lax_double, *fields)
 
 
-def _price(field: str) -> list[Check]:
+def _price(price: str) -> list[Check]:
     """A price may be missing, but one that is there needs an amount and a currency."""
     needed = [
         Check(
             "VAL2",
-            f"{field}.{part}",
-            lambda r, part=part: _at(r, field).isNotNull() & _at(r, f"{field}.{part}").isNull(),
+            f"{price}.{part}",
+            lambda r, part=part: f"({r}.{price} IS NOT NULL AND {r}.{price}.{part} IS NULL)",
         )
         for part in ("amount", "currency")
     ]
-    return needed + _numbers(f"{field}.amount")
+    return needed + _numbers(f"{price}.amount")
 
 
-def _any_broken(checks: list[Check], record: Column) -> Column:
-    return reduce(lambda a, b: a | b, [c.broken(record) for c in checks])
-
-
-def _some(array: Column, predicate: Callable[[Column], Column]) -> Column:
-    """Does the predicate hold for any element? Never null."""
-    return F.coalesce(F.exists(array, lambda element: predicate(element)), F.lit(False))
+def _some(array: str, predicate: Callable[[str], str]) -> str:
+    """Does the predicate hold for any element? Never null; each nesting level names its own element."""
+    outer = re.match(r"e(\d+)\b", array)
+    element = f"e{int(outer[1]) + 1}" if outer else "e0"
+    return f"coalesce(exists({array}, {element} -> {predicate(element)}), false)"
 
 
 def _each(array: str, checks: list[Check]) -> list[Check]:
     """Lift element checks to the record that holds the array; a missing array breaks nothing."""
-    return [
-        Check(
-            c.rule,
-            f"{array}.{c.field}",
-            lambda r, c=c: _some(_at(r, array), c.broken),
-        )
+    lifted = [
+        Check(c.rule, f"{array}.{c.field}", lambda r, c=c: _some(f"{r}.{array}", c.broken))
         for c in checks
     ]
+    return [Check("VAL2", array, lambda r: _some(f"{r}.{array}", _is_null)), *lifted]
 
 
-def _no_null_elements(*arrays: str) -> list[Check]:
-    return [Check("VAL2", a, lambda r, a=a: _some(_at(r, a), Column.isNull)) for a in arrays]
+def _is_null(record: str) -> str:
+    return f"{record} IS NULL"
 
 
-def _tag_value_unsupported(tag: Column) -> Column:
-    """Lists are the one JSON kind a tag value cannot be."""
-    return F.coalesce(F.startswith(F.schema_of_variant(tag["value"]), F.lit("ARRAY")), F.lit(False))
+def _any_broken(checks: list[Check], record: str) -> str:
+    return " OR ".join(c.broken(record) for c in checks) or "false"
 
 
 _LOCATION = _numbers("location.latitude", "location.longitude")
@@ -130,11 +122,8 @@ _LIVE_ENTRY = (
     + _each("showtimes", _HOURS)
     + _each("operatingHours", _HOURS)
     + _each("diningAvailability", _numbers("partySize", "waitTime"))
-    + _no_null_elements("diningAvailability")
-)
-_CHILD = (
-    _required("id", "name", "entityType") + _domain(S.ENTITY_TYPES, "entityType") + _LOCATION
 )
+_CHILD = _required("id", "name", "entityType") + _domain(S.ENTITY_TYPES, "entityType") + _LOCATION
 _PURCHASE = (
     _domain(S.PURCHASE_TYPES, "type") + _price("price") + _castable("BOOL", lax_boolean, "available")
 )
@@ -143,49 +132,50 @@ _ENTRY = (
     + _domain(S.SCHEDULE_TYPES, "type")
     + _instants("openingTime", "closingTime")
     + _each("purchases", _PURCHASE)
-    + _no_null_elements("purchases")
 )
-_TAG = _required("tag", "tagName") + [Check("VAL7", "value", _tag_value_unsupported)]
-_TOO_DEEP = Check("NEST", "parks", lambda r: F.coalesce(r["parks"] != "[]", F.lit(False)))
-
-# Per kind: checks on the document itself, and the arrays whose elements are checked.
-DOCUMENT_CHECKS: dict[str, list[Check]] = {
+# A tag value may be text, a number or an object; a list is the one JSON kind it cannot be.
+_TAG = _required("tag", "tagName") + [
+    Check("VAL7", "value", lambda r: f"coalesce(schema_of_variant({r}.value) LIKE 'ARRAY%', false)")
+]
+_TOO_DEEP = Check("NEST", "parks", lambda r: f"coalesce({r}.parks <> '[]', false)")
+
+CHECKS: dict[str, list[Check]] = {
+    "destinations": _each("destinations", _each("parks", [])),
+    "entity": _required("id", "name", "entityType", "timezone") + _ROOT + _LOCATION + _each("tags", _TAG),
+    "children": _ROOT + _each("children", _CHILD),
+    "live": _ROOT + _each("liveData", _LIVE_ENTRY),
+    "schedule": _ROOT
+    + _each("schedule", _ENTRY)
+    + _each("parks", [*_ROOT, _TOO_DEEP, *_each("schedule", _ENTRY)]),
+}
+# The same checks, arranged so that one pass over a list tries all rules of its elements.
+_ON_DOCUMENT: dict[str, list[Check]] = {
     "destinations": [],
     "entity": _required("id", "name", "entityType", "timezone") + _ROOT + _LOCATION,
     "children": _ROOT,
     "live": _ROOT,
     "schedule": _ROOT,
 }
-ELEMENT_CHECKS: dict[str, dict[str, list[Check]]] = {
-    "destinations": {"destinations": _no_null_elements("parks")},
+_ON_ELEMENTS: dict[str, dict[str, list[Check]]] = {
+    "destinations": {"destinations": _each("parks", [])},
     "entity": {"tags": _TAG},
     "children": {"children": _CHILD},
     "live": {"liveData": _LIVE_ENTRY},
-    "schedule": {
-        "schedule": _ENTRY,
-        "parks": _ROOT + [_TOO_DEEP] + _each("schedule", _ENTRY) + _no_null_elements("schedule"),
-    },
+    "schedule": {"schedule": _ENTRY, "parks": [*_ROOT, _TOO_DEEP, *_each("schedule", _ENTRY)]},
 }
 
 
-def _element_broken(checks: list[Check]) -> Callable[[Column], Column]:
-    return lambda element: element.isNull() | _any_broken(checks, element)
+def _element_broken(checks: list[Check]) -> Callable[[str], str]:
+    return lambda element: f"({element} IS NULL OR {_any_broken(checks, element)})"
 
 
 def check(bronze: DataFrame, kind: str) -> DataFrame:
     """Decoded responses of one kind with `valid`: does the document keep every rule?"""
+    broken = ["corrupt", f"NOT {_AS_JSON}", _any_broken(_ON_DOCUMENT[kind], "doc")]
+    for array, checks in _ON_ELEMENTS[kind].items():
+        broken.append(_some(f"doc.{array}", _element_broken(checks)))
     decoded = decode(of_kind(bronze, kind), kind)
-    doc = F.col("doc")
-    broken = F.col("corrupt") | ~_served_as_json()
-    if DOCUMENT_CHECKS[kind]:
-        broken = broken | _any_broken(DOCUMENT_CHECKS[kind], doc)
-    for array, checks in ELEMENT_CHECKS[kind].items():
-        broken = broken | _some(doc[array], _element_broken(checks))
-    return decoded.withColumn("valid", ~broken)
-
-
-def _served_as_json() -> Column:
-    return F.coalesce(F.contains(F.col("content_type"), F.lit("application/json")), F.lit(False))
+    return decoded.withColumn("valid", F.expr(f"NOT ({' OR '.join(broken)})"))
 
 
 def documents(bronze: DataFrame, kind: str, per_element: bool = False) -> DataFrame:
@@ -196,35 +186,27 @@ def documents(bronze: DataFrame, kind: str, per_element: bool = False) -> DataFr
     """
     if not per_element:
         return check(bronze, kind).where("valid").drop("valid", "corrupt")
-    decoded = decode(of_kind(bronze, kind), kind).where(~F.col("corrupt") & _served_as_json())
+    decoded = decode(of_kind(bronze, kind), kind).where(f"NOT corrupt AND {_AS_JSON}")
+    decoded = decoded.where(f"NOT ({_any_broken(_ON_DOCUMENT[kind], 'doc')})")
     doc = F.col("doc")
-    if DOCUMENT_CHECKS[kind]:
-        decoded = decoded.where(~_any_broken(DOCUMENT_CHECKS[kind], doc))
-    for array, checks in ELEMENT_CHECKS[kind].items():
-        bad = _element_broken(checks)
-        doc = doc.withField(array, F.filter(F.col("doc")[array], lambda element: ~bad(element)))
+    for array, checks in _ON_ELEMENTS[kind].items():
+        kept = F.expr(f"filter(doc.{array}, e0 -> NOT {_element_broken(checks)('e0')})")
+        doc = doc.withField(array, kept)
     return decoded.withColumn("doc", doc).drop("corrupt")
 
 
 def _violations(kind: str) -> Column:
     """Every `(rule, field)` a document breaks. A body that does not parse breaks only VAL1."""
-    doc = F.col("doc")
 
-    def named(broken: Column, rule: str, field: str) -> Column:
-        return F.when(broken, F.struct(F.lit(rule).alias("rule"), F.lit(field).alias("field")))
-
-    found = [named(c.broken(doc), c.rule, c.field) for c in DOCUMENT_CHECKS[kind]]
-    for array, checks in ELEMENT_CHECKS[kind].items():
-        found.append(named(_some(doc[array], Column.isNull), "VAL2", array))
-        for c in checks:
-            hit = _some(doc[array], lambda e, c=c: e.isNotNull() & c.broken(e))
-            found.append(named(hit, c.rule, f"{array}.{c.field}"))
-    unreadable = F.array(
-        named(F.col("corrupt"), "VAL1", "body"),
-        named(~_served_as_json() & ~F.col("corrupt"), "VAL1", "content_type"),
+    def named(broken: str, rule: str, field: str) -> str:
+        return f"CASE WHEN {broken} THEN named_struct('rule', '{rule}', 'field', '{field}') END"
+
+    unreadable = [named("corrupt", "VAL1", "body"), named("NOT corrupt", "VAL1", "content_type")]
+    readable = [named(c.broken("doc"), c.rule, c.field) for c in CHECKS[kind]]
+    return F.expr(
+        f"CASE WHEN corrupt OR NOT {_AS_JSON} THEN array({', '.join(unreadable)})"
+        f" ELSE array({', '.join(readable)}) END"
     )
-    readable = F.array(*found) if found else unreadable
-    return F.when(F.col("corrupt") | ~_served_as_json(), unreadable).otherwise(readable)
 
 
 def rejects(bronze: DataFrame, kind: str) -> DataFrame:
