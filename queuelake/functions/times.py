@@ -10,17 +10,15 @@ import zoneinfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from queuelake.functions.numbers import lax_double
-
 _DATE = r"^\d{4}-\d{2}-\d{2}"
 _CLOCK = r"[T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?"
 _OFFSET = r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)"
 _AWARE = f"{_DATE}{_CLOCK}{_OFFSET}$"
 _NAIVE = f"{_DATE}({_CLOCK})?$"
-# Numbers above this are epoch milliseconds, below it epoch seconds.
-_MILLIS_FROM = "2e10D"
-# End of year 9999, the last instant the data source can name.
-_LAST_SECOND = "253402300800D"
+# Epoch numbers, as written or in the exponent form a parsed JSON number takes; all below 1e14.
+_EPOCH = r"^[+-]?(\d{1,14}(\.\d+)?|\d(\.\d+)?E(\d|1[0-3]))$"
+# Numbers above this are epoch milliseconds, up to it epoch seconds.
+_MILLIS_ABOVE = "2e10D"
 
 
 def _with_seconds(text: str) -> str:
@@ -29,10 +27,10 @@ def _with_seconds(text: str) -> str:
     return rf"regexp_replace({minutes}, r'^(.{{10}}[T ]\d{{2}}:\d{{2}})(?=Z|[+-]|$)', '$1:00')"
 
 
-def _offset_instant(text: str) -> str:
+def _offset_case(text: str) -> str:
     return (
-        f"CASE WHEN {text} RLIKE r'{_AWARE}' THEN"
-        f" coalesce(try_cast({text} AS TIMESTAMP), try_cast({_with_seconds(text)} AS TIMESTAMP)) END"
+        f"WHEN {text} RLIKE r'{_AWARE}' THEN"
+        f" coalesce(try_cast({text} AS TIMESTAMP), try_cast({_with_seconds(text)} AS TIMESTAMP))"
     )
 
 
@@ -41,10 +39,10 @@ def aware_instant(text: str) -> str:
 
     Naive, date-only or bad text gives null.
     """
-    number = lax_double(text)
-    seconds = f"({number}) / CASE WHEN abs({number}) > {_MILLIS_FROM} THEN 1000 ELSE 1 END"
-    epoch = f"CASE WHEN abs({seconds}) < {_LAST_SECOND} THEN timestamp_seconds({seconds}) END"
-    return f"coalesce({_offset_instant(text)}, {epoch})"
+    number = f"try_cast({text} AS DOUBLE)"
+    unit = f"CASE WHEN abs({number}) > {_MILLIS_ABOVE} THEN 1000 ELSE 1 END"
+    epoch = f"WHEN {text} RLIKE r'{_EPOCH}' THEN timestamp_seconds({number} / {unit})"
+    return f"CASE {_offset_case(text)} {epoch} END"
 
 
 def known_zones() -> list[str]:
@@ -60,11 +58,9 @@ def parse_api_datetime(text: str, timezone: str, strict: bool = False) -> Column
     """
     zones = ", ".join(f"'{zone}'" for zone in known_zones())
     zone = f"CASE WHEN {timezone} IN ({zones}) THEN {timezone} END" if zones else timezone
-    local = (
-        f"CASE WHEN {text} RLIKE r'{_NAIVE}' THEN"
-        f" CAST(try_cast({_with_seconds(text)} AS TIMESTAMP_NTZ) AS TIMESTAMP) END"
-    )
-    instant = f"coalesce({_offset_instant(text)}, to_utc_timestamp({local}, {zone}))"
+    clock = f"CAST(try_cast({_with_seconds(text)} AS TIMESTAMP_NTZ) AS TIMESTAMP)"
+    local = f"WHEN {text} RLIKE r'{_NAIVE}' THEN to_utc_timestamp({clock}, {zone})"
+    instant = f"CASE {_offset_case(text)} {local} END"
     if strict:
         complaint = f"CAST(raise_error(concat('invalid date: ', {text})) AS TIMESTAMP)"
         instant = f"CASE WHEN {text} IS NOT NULL THEN coalesce({instant}, {complaint}) END"

@@ -20,6 +20,17 @@ _ZONES = ("Africa/Johannesburg", "America/New_York", "Asia/Tokyo", "Europe/Paris
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, spread over all cores when it is too small to have a split for each.
+
+    A table large enough to matter has more splits than cores and is read as it lies, without a shuffle.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Region or nation, which have 5 and 25 rows at every scale."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -50,7 +61,25 @@ def _body(document: Column, seq: Column) -> Column:
     )
 
 
-def _response(rows: DataFrame, path: Column, fetched_at: Column, body: Column) -> DataFrame:
+def _response(
+    rows: DataFrame,
+    kind: str,
+    entity_id: Column | None,
+    fetched_at: Column,
+    body: Column,
+    page: Column | None = None,
+) -> DataFrame:
+    """Landed responses with the routing columns a stored lake is partitioned by."""
+    nothing = F.lit(None)
+    owner = nothing.cast("string") if entity_id is None else entity_id
+    if kind == "destinations":
+        path = F.lit("/destinations")
+    elif page is not None:
+        path = paths.month_path(owner, F.year(page), F.month(page))
+    elif kind == "entity":
+        path = paths.entity_path(owner)
+    else:
+        path = F.concat(paths.entity_path(owner), F.lit(f"/{kind}"))
     return rows.select(
         "seq",
         path.alias("path"),
@@ -58,6 +87,10 @@ def _response(rows: DataFrame, path: Column, fetched_at: Column, body: Column) -
         F.lit(200).alias("status"),
         F.lit("application/json").alias("content_type"),
         body.alias("body"),
+        F.lit(kind).alias("endpoint"),
+        owner.alias("entity_id"),
+        (nothing.cast("int") if page is None else F.year(page)).alias("year"),
+        (nothing.cast("int") if page is None else F.month(page)).alias("month"),
     )
 
 
@@ -67,7 +100,7 @@ def _epoch() -> Column:
 
 def directory_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One directory document. Region and nation have a fixed number of rows at every scale."""
-    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    region, nation = dimension(spark, sf_dir, "region"), dimension(spark, sf_dir, "nation")
     parks = nation.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(
         F.array_sort(
             F.collect_list(
@@ -92,7 +125,7 @@ def directory_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.collect_list(entry)).alias("destinations")
     )
     rows = listing.select(F.lit(0).cast("bigint").alias("seq"), "destinations")
-    return _response(rows, F.lit("/destinations"), _epoch(), F.to_json(F.struct("destinations")))
+    return _response(rows, "destinations", None, _epoch(), F.to_json(F.struct("destinations")))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +146,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select(
+    nation = dimension(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"),
         _tagged("dest-", "n_regionkey").alias("destinationId"),
         _pick(F.col("n_regionkey"), _ZONES).alias("timezone"),
@@ -122,9 +155,7 @@ def entity_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.struct(
         "id", "name", "entityType", "parentId", "destinationId", "timezone", "location"
     )
-    return _response(
-        rows, paths.entity_path(F.col("id")), _epoch(), _body(document, F.col("seq"))
-    )
+    return _response(rows, "entity", F.col("id"), _epoch(), _body(document, F.col("seq")))
 
 
 def children_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +171,7 @@ def children_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     blocks = blocks.withColumns({"seq": F.col("block"), "id": F.col("parentId")})
     document = F.struct("id", F.lit("PARK").alias("entityType"), "children")
-    path = F.concat(paths.entity_path(F.col("id")), F.lit("/children"))
-    return _response(blocks, path, _epoch(), _body(document, F.col("seq")))
+    return _response(blocks, "children", F.col("id"), _epoch(), _body(document, F.col("seq")))
 
 
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,13 +250,9 @@ def _live_document(*extra: Column) -> Column:
     )
 
 
-def _live_path() -> Column:
-    return F.concat(paths.entity_path(F.col("id")), F.lit("/live"))
-
-
 def live_responses(polled: DataFrame) -> DataFrame:
     """Live documents of polls (`polls` or a stream of them)."""
-    return _response(polled, _live_path(), F.col("ts"), _body(_live_document(), F.col("seq")))
+    return _response(polled, "live", F.col("id"), F.col("ts"), _body(_live_document(), F.col("seq")))
 
 
 def dining_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,9 +262,8 @@ def dining_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 != 0, F.col("value")).alias("waitTime"),
     )
     document = _live_document(F.when(k % 3 == 1, F.array(seats)).alias("diningAvailability"))
-    return _response(
-        polls(spark, sf_dir), _live_path(), F.col("ts"), _body(document, F.col("seq"))
-    )
+    rows = polls(spark, sf_dir)
+    return _response(rows, "live", F.col("id"), F.col("ts"), _body(document, F.col("seq")))
 
 
 def faulty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +281,7 @@ def faulty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     whole = _body(F.struct("id", F.array(entry).alias("liveData")), F.col("seq"))
     body = F.when(k == 0, F.left(whole, F.floor(F.length(whole) / 2).cast("int"))).otherwise(whole)
-    return _response(polls(spark, sf_dir), _live_path(), F.col("ts"), body)
+    return _response(polls(spark, sf_dir), "live", F.col("id"), F.col("ts"), body)
 
 
 def tagged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +301,7 @@ def tagged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.when(k % 5 < 3, tag).otherwise(F.lit("[]"))
     body = F.concat(F.expr("left(b, length(b) - 1)"), F.lit(',"tags":'), F.col("t"), F.lit("}"))
     rows = rows.select("seq", "id", "ts", head.alias("b"), tags.alias("t"))
-    return _response(rows, paths.entity_path(F.col("id")), F.col("ts"), body)
+    return _response(rows, "entity", F.col("id"), F.col("ts"), body)
 
 
 _PRIORITIES = {"1": "OPERATING", "2": "TICKETED_EVENT", "3": "PRIVATE_EVENT", "4": "EXTRA_HOURS"}
@@ -307,12 +332,10 @@ _ENTRY = ("date", "type", "openingTime", "closingTime")
 def schedule_responses(spark: SparkSession, sf_dir: str, monthly: bool = True) -> DataFrame:
     """Schedule documents, as month pages or as the upcoming schedule."""
     rows = openings(spark, sf_dir)
-    if monthly:
-        path = paths.month_path(F.col("id"), F.year("ts"), F.month("ts"))
-    else:
-        path = F.concat(paths.entity_path(F.col("id")), F.lit("/schedule"))
+    day = F.col("ts")
     document = F.struct("id", F.array(F.struct(*_ENTRY)).alias("schedule"))
-    return _response(rows, path, F.col("ts"), _body(document, F.col("seq")))
+    body = _body(document, F.col("seq"))
+    return _response(rows, "schedule", F.col("id"), day, body, day if monthly else None)
 
 
 def hours_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,7 +359,7 @@ def hours_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(seq % 2 == 0, hours).alias("showtimes"),
         F.when(seq % 2 == 1, hours).alias("operatingHours"),
     )
-    return _response(rows, _live_path(), F.col("ts"), _body(document, seq))
+    return _response(rows, "live", F.col("id"), F.col("ts"), _body(document, seq))
 
 
 def purchase_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,14 +381,14 @@ def purchase_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(item).alias("purchases"),
     )
     rows = table(spark, sf_dir, "lineitem").withColumn("seq", F.col("l_orderkey"))
-    path = paths.month_path(_tagged("ent-", "l_orderkey"), F.year(day), F.month(day))
-    document = F.struct(_tagged("ent-", "l_orderkey").alias("id"), F.array(entry).alias("schedule"))
-    return _response(rows, path, day, _body(document, F.col("l_linenumber")))
+    owner = _tagged("ent-", "l_orderkey")
+    document = F.struct(owner.alias("id"), F.array(entry).alias("schedule"))
+    return _response(rows, "schedule", owner, day, _body(document, F.col("l_linenumber")), day)
 
 
 def destination_schedule_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Destination schedules: every tenth entry is the destination's own, the rest sit below a park."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    nation = dimension(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     home = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     rows = (
         openings(spark, sf_dir)
@@ -384,17 +407,17 @@ def destination_schedule_responses(spark: SparkSession, sf_dir: str) -> DataFram
         F.when(own, entries).alias("schedule"),
         F.when(~own, F.array(park)).alias("parks"),
     )
-    path = F.concat(paths.entity_path(_tagged("dest-", "n_regionkey")), F.lit("/schedule"))
-    return _response(rows, path, F.col("ts"), _body(document, F.col("seq")))
+    root = _tagged("dest-", "n_regionkey")
+    return _response(rows, "schedule", root, F.col("ts"), _body(document, F.col("seq")))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parent links of destinations, parks and entities."""
     none = F.lit(None).cast("string")
-    destinations = table(spark, sf_dir, "region").select(
+    destinations = dimension(spark, sf_dir, "region").select(
         _tagged("dest-", "r_regionkey").alias("id"), none.alias("parent_id")
     )
-    parks = table(spark, sf_dir, "nation").select(
+    parks = dimension(spark, sf_dir, "nation").select(
         _tagged("park-", "n_nationkey").alias("id"), _tagged("dest-", "n_regionkey").alias("parent_id")
     )
     entities = table(spark, sf_dir, "customer").select(
