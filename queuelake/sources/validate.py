@@ -87,13 +87,20 @@ def _some(array: str, predicate: Callable[[str], str]) -> str:
 
 def _each(array: str, checks: list[Check]) -> list[Check]:
     """Lift element checks to the record that holds the array; a missing array breaks nothing."""
-    lifted = [
-        Check(c.rule, f"{array}.{c.field}", lambda r, c=c: _some(f"{r}.{array}", c.broken))
-        for c in checks
-    ]
+
+    def lift(c: Check) -> Check:
+        present = _present(c.broken)
+        return Check(c.rule, f"{array}.{c.field}", lambda r: _some(f"{r}.{array}", present))
+
+    lifted = [lift(c) for c in checks]
     return [Check("VAL2", array, lambda r: _some(f"{r}.{array}", _is_null)), *lifted]
 
 
+def _present(broken: Callable[[str], str]) -> Callable[[str], str]:
+    """A null element is reported as such, not once more for every field it lacks."""
+    return lambda element: f"({element} IS NOT NULL AND {broken(element)})"
+
+
 def _is_null(record: str) -> str:
     return f"{record} IS NULL"
 
