@@ -438,7 +438,7 @@ def queries_to_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = table(spark, sf_dir, "part").select(
         F.upper(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("q")
     )
-    extra = spark.createDataFrame([("Brand 12",), ("ring",), ("nowhere",), ("  ",), ("!?",)], "q string")
+    extra = spark.sql("SELECT * FROM VALUES ('Brand 12'), ('ring'), ('nowhere'), ('  '), ('!?') AS t(q)")
     return spelled.distinct().unionByName(extra)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuelake.sources.bronze import route
@@ -20,6 +20,11 @@ def write_checked(bronze: DataFrame, kind: str, location: str, mode: str = "appe
     check(bronze, kind).write.mode(mode).partitionBy("valid").parquet(location)
 
 
+def read_checked(spark: SparkSession, location: str) -> DataFrame:
+    """Documents stored by `write_checked`; a filter on `valid` reads one of the two folders."""
+    return spark.read.parquet(location).withColumn("valid", F.col("valid").cast("boolean"))
+
+
 def write_table(
     rows: DataFrame, location: str, partition_by: tuple[str, ...] = (), mode: str = "append"
 ) -> None:

@@ -62,7 +62,7 @@ def test_checked_documents_split_on_disk(spark):
     location = scratch_path(spark, "checked")
     faulty = lake.faulty_responses(spark, SF)
     sinks.write_checked(faulty, "live", location)
-    checked = spark.read.parquet(location)
+    checked = sinks.read_checked(spark, location)
     valid, rejected = validate.split(faulty, "live")
     assert checked.where("valid").count() == valid.count()
     assert checked.where("NOT valid").count() == rejected.select("seq").distinct().count()
