@@ -78,7 +78,5 @@ def path_month(path: Column) -> Column:
 
 def ttl_seconds(kind: Column) -> Column:
     """Freshness limit of an endpoint; live and unknown resources are never fresh."""
-    limit = F.lit(0)
-    for name, seconds in TTL_SECONDS.items():
-        limit = F.when(kind == name, seconds).otherwise(limit)
-    return limit
+    limits = F.create_map(*[F.lit(part) for pair in TTL_SECONDS.items() for part in pair])
+    return F.coalesce(F.try_element_at(limits, kind), F.lit(0))

@@ -45,7 +45,7 @@ def fresh_hits(requests: DataFrame, stored: DataFrame) -> DataFrame:
     instants = instants.select(
         "path",
         "at",
-        F.floor(F.unix_micros("at") / _SECOND).alias("second"),
+        F.expr(f"unix_micros(at) div {_SECOND}").alias("second"),
         F.when(F.col("stored").isNotNull(), F.struct("at", "stored.seq", "stored.usable")).alias("stored"),
         "asked",
     )
@@ -55,19 +55,20 @@ def fresh_hits(requests: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
     # One row per path and second, placed in its own window of LONGEST_TTL seconds and the next one.
-    seconds = instants.groupBy("path", "second").agg(F.max("stored").alias("stored"))
-    slot = F.floor(F.col("second") / LONGEST_TTL)
-    placed = seconds.select(
-        "path", "second", "stored", F.explode(F.array(slot, slot + 1)).alias("slot"), slot.alias("home")
+    # Both this summary and the lookup below start from the shuffle behind `local`, which runs once.
+    seconds = local.groupBy("path", "second").agg(
+        F.max("found").alias("newest"), F.max("asked").alias("asked")
     )
+    placed = seconds.select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("shift")
+    ).withColumn("slot", F.expr(f"second div {LONGEST_TTL} + shift"))
     earlier = (
         Window.partitionBy("path", "slot").orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        placed.where((F.col("slot") == F.col("home")) | F.col("stored").isNotNull())
-        .withColumn("carried", F.last("stored", ignorenulls=True).over(earlier))
-        .where(F.col("slot") == F.col("home"))
-        .where(F.col("carried").isNotNull())
+        placed.where(F.when(F.col("shift") == 0, F.lit(True)).otherwise(F.col("newest").isNotNull()))
+        .withColumn("carried", F.last("newest", ignorenulls=True).over(earlier))
+        .where((F.col("shift") == 0) & F.col("asked") & F.col("carried").isNotNull())
         .select("path", "second", "carried")
     )
 

@@ -25,8 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     A table large enough to matter has more splits than cores and is read as it lies, without a shuffle.
     """
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return _spread(rows, rows)
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table followed as a stream of files."""
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    reader = spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet")
+    return _spread(reader.parquet(sf_dir), stored)
+
+
+def _spread(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if stored.rdd.getNumPartitions() < cores else rows
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -175,7 +186,7 @@ def children_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as polls of one ride each; `k` is the number inside `props`."""
+    """Events as polls of one ride each; `k` is the number inside `props`, extracted once per row."""
     return live_columns(table(spark, sf_dir, "events"))
 
 
@@ -193,7 +204,7 @@ def live_columns(events: DataFrame) -> DataFrame:
         .alias("status"),
         F.col("ts"),
         F.col("value"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
+        F.explode(F.array(F.regexp_extract("props", "([0-9]+)", 1).cast("int"))).alias("k"),
     )
 
 

@@ -494,11 +494,7 @@ QUERIES["q71_current_longest_waits"] = current_longest_waits
 
 def _poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table followed as a stream of live responses."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return lake.live_responses(lake.live_columns(events))
+    return lake.live_responses(lake.live_columns(lake.event_stream(spark, sf_dir)))
 
 
 @query("q72_stream_offers")
