@@ -33,7 +33,8 @@ def find_many(directory: DataFrame, queries: DataFrame) -> DataFrame:
 
     lengths = needles.select(F.length("needle").alias("width")).distinct()
     widths = labels.select("label", "ord", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("width"))
-    starts = widths.join(lengths, "width").select(
+    # One integer per distinct query length: never more of them than the longest query has characters.
+    starts = widths.join(F.broadcast(lengths), "width").select(
         "label",
         "ord",
         "width",

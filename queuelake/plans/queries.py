@@ -519,5 +519,5 @@ def _(spark, sf_dir):
     table, state = scratch_path(spark, "board"), scratch_path(spark, "board-state")
     rows = live.with_wait(stream.live_rows(_poll_stream(spark, sf_dir)))
     stream.write_board(rows, table, state, "name", "status", "wait").awaitTermination()
-    board = spark.read.parquet(table)
+    board = stream.read_board(spark, table)
     return board.select("id", "name", "status", "wait", _text("last_updated").alias("last_updated"), "seq")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from queuelake.operators import flatten
@@ -34,25 +35,32 @@ def first_sightings(rows: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def write_board(rows: DataFrame, location: str, checkpoint: str, *columns: str) -> StreamingQuery:
-    """Keep the current board (newest row per entity) as a Parquet table, replaced at every trigger.
+    """Keep the current board (newest row per entity), one complete version per trigger.
 
-    State holds one row per entity. The table is written by the executors; a repeated batch writes the
-    same rows again.
+    State holds one row per entity. Each version has its own folder, written by the executors: a batch
+    repeated after a failure replaces only its own version, and the one before stays readable meanwhile.
     """
 
-    def replace(board: DataFrame, _batch: int) -> None:
-        board.write.mode("overwrite").parquet(location)
+    def store(board: DataFrame, batch: int) -> None:
+        board.write.mode("overwrite").parquet(f"{location}/batch={batch}")
 
     return (
         current_state(rows, *columns)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(replace)
+        .foreachBatch(store)
         .start()
     )
 
 
+def read_board(spark: SparkSession, location: str) -> DataFrame:
+    """The newest version stored by `write_board`."""
+    versions = spark.read.parquet(location)
+    newest = versions.agg(F.max("batch")).first()[0]
+    return versions.where(F.col("batch") == newest).drop("batch")
+
+
 def append_table(rows: DataFrame, location: str, checkpoint: str) -> StreamingQuery:
     """Append a stateless or deduplicated stream to a Parquet table, exactly once."""
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from queuelake.operators import flatten, live
 from queuelake.sources import validate
 
-LIVE = "/entity/mk/live"
+LIVE = "/entity/p1/live"
 
 
 def entry(**changes):
@@ -23,7 +23,7 @@ def entry(**changes):
 
 
 def live_doc(*entries):
-    return {"id": "mk", "liveData": list(entries)}
+    return {"id": "p1", "liveData": list(entries)}
 
 
 def broken_rules(landed, kind, path, *bodies):
@@ -153,9 +153,9 @@ def test_price_label_only_replaces_a_missing_price(landed):
     assert labels == ["?", None, "$1"]
 
 
-@pytest.mark.parametrize("body", [{"id": "mk"}, {"id": "mk", "children": None}, {"id": "mk", "children": []}])
+@pytest.mark.parametrize("body", [{"id": "p1"}, {"id": "p1", "children": None}, {"id": "p1", "children": []}])
 def test_missing_null_and_empty_lists_are_equal(landed, body):
-    documents = validate.documents(landed(("/entity/mk/children", body)), "children")
+    documents = validate.documents(landed(("/entity/p1/children", body)), "children")
     assert documents.count() == 1
     assert flatten.descendants(documents).count() == 0
 
@@ -164,11 +164,11 @@ def test_walk_keeps_payload_order_and_leaves_out_the_root(landed):
     def child(i, **more):
         return {"id": i, "name": i, "entityType": "SHOW", "slug": "ignored", **more}
 
-    body = {"id": "mk", "children": [child("z"), child("a", location={"latitude": 1.5}), child("m", location={})]}
-    rows = flatten.descendants(validate.documents(landed(("/entity/mk/children", body)), "children"))
+    body = {"id": "p1", "children": [child("z"), child("a", location={"latitude": 1.5}), child("m", location={})]}
+    rows = flatten.descendants(validate.documents(landed(("/entity/p1/children", body)), "children"))
     got = rows.orderBy("ord").collect()
     assert [(r.ord, r.id, r.latitude, r.longitude) for r in got] == [(0, "z", None, None), (1, "a", 1.5, None), (2, "m", None, None)]
-    assert {r.root_id for r in got} == {"mk"}
+    assert {r.root_id for r in got} == {"p1"}
 
 
 def test_directory_and_its_parks(landed):

@@ -96,7 +96,7 @@ def test_months_touched(evaluate, start, end, expected):
 
 
 def test_path_encoding_round_trip(evaluate):
-    ids = ["".join(chr(c) for c in range(32, 127)), "é/ñ", "a+b", "", "75ea-578a"]
+    ids = ["".join(chr(c) for c in range(32, 127)), "é/ñ", "a+b", "", "ent-5"]
     rows = [(i,) for i in ids]
     encoded = evaluate(rows, "s string", paths.path_encode(F.col("s")))
     assert encoded == [quote(i, safe="") for i in ids]

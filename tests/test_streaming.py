@@ -45,7 +45,7 @@ def test_board_stream_equals_batch(spark, feed):
     rows = live.with_wait(stream.live_rows(stream.read_responses(spark, feed, maxFilesPerTrigger="2")))
     table = scratch_path(spark, "board")
     stream.write_board(rows, table, scratch_path(spark, "board-state"), "name", "wait").awaitTermination()
-    got = spark.read.parquet(table)
+    got = stream.read_board(spark, table)
     expected = live.current_state(live.with_wait(batch_rows(spark, feed)), "name", "wait")
     assert got.count() == expected.count() > 0
     assert got.exceptAll(expected.select(got.columns)).count() == 0
