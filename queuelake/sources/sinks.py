@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from queuelake.sources.bronze import route
 from queuelake.sources.validate import check
@@ -15,14 +16,20 @@ def write_bronze(responses: DataFrame, location: str, mode: str = "append") -> N
     routed.write.mode(mode).partitionBy("endpoint", "year", "month").parquet(location)
 
 
-def write_checked(bronze: DataFrame, kind: str, location: str, mode: str = "append") -> None:
-    """Decode and check once; valid and broken documents land side by side under `valid=`."""
-    check(bronze, kind).write.mode(mode).partitionBy("valid").parquet(location)
+def write_checked(bronze: DataFrame, kind: str, location: str, mode: str = "append") -> DataFrame:
+    """Decode and check once; valid and broken documents land side by side under `valid=`.
 
+    Returns what is stored there, so that later steps start from the table and not from the bodies.
+    """
+    checked = check(bronze, kind)
+    checked.write.mode(mode).partitionBy("valid").parquet(location)
+    return read_checked(bronze.sparkSession, location, checked.schema)
 
-def read_checked(spark: SparkSession, location: str) -> DataFrame:
+
+def read_checked(spark: SparkSession, location: str, schema: StructType | None = None) -> DataFrame:
     """Documents stored by `write_checked`; a filter on `valid` reads one of the two folders."""
-    return spark.read.parquet(location).withColumn("valid", F.col("valid").cast("boolean"))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(location).withColumn("valid", F.col("valid").cast("boolean"))
 
 
 def write_table(

@@ -192,7 +192,7 @@ def documents(bronze: DataFrame, kind: str, per_element: bool = False) -> DataFr
     elements.
     """
     if not per_element:
-        return check(bronze, kind).where("valid").drop("valid", "corrupt")
+        return accepted(check(bronze, kind))
     decoded = decode(of_kind(bronze, kind), kind).where(f"NOT corrupt AND {_AS_JSON}")
     decoded = decoded.where(f"NOT ({_any_broken(_ON_DOCUMENT[kind], 'doc')})")
     doc = F.col("doc")
@@ -216,9 +216,14 @@ def _violations(kind: str) -> Column:
     )
 
 
-def rejects(bronze: DataFrame, kind: str) -> DataFrame:
-    """One row per broken rule and field, with the response kept for repair."""
-    faulty = check(bronze, kind).where(~F.col("valid"))
+def accepted(checked: DataFrame) -> DataFrame:
+    """Valid documents among checked ones (`check`, or a table stored by `sinks.write_checked`)."""
+    return checked.where("valid").drop("valid", "corrupt")
+
+
+def rejected(checked: DataFrame, kind: str) -> DataFrame:
+    """One row per broken rule and field of checked documents, with the response kept for repair."""
+    faulty = checked.where(~F.col("valid"))
     return (
         faulty.select("seq", "path", "fetched_at", "body", F.explode(_violations(kind)).alias("_v"))
         .where(F.col("_v").isNotNull())
@@ -226,6 +231,11 @@ def rejects(bronze: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def rejects(bronze: DataFrame, kind: str) -> DataFrame:
+    """What is wrong with the responses of one kind."""
+    return rejected(check(bronze, kind), kind)
+
+
 def split(bronze: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """Valid documents and rejects; write the lake with `sinks.write_checked` to decode only once."""
     return documents(bronze, kind), rejects(bronze, kind)

@@ -11,7 +11,7 @@ from queuelake.operators import flatten, live, schedule
 from queuelake.plans import lake
 from queuelake.plans.queries import QUERIES
 from queuelake.session import scratch_path
-from queuelake.sources import bronze, sinks, validate
+from queuelake.sources import bronze, silver, sinks, validate
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,8 +76,44 @@ def test_typed_table(spark):
     assert spark.read.parquet(location).count() == rows.count()
 
 
-def test_body_is_parsed_once_and_unpivoted_in_one_step(spark):
-    responses = lake.live_responses(lake.polls(spark, SF))
+@pytest.fixture(scope="module")
+def tables(spark, stored):
+    location = scratch_path(spark, "silver")
+    faulty = lake.faulty_responses(spark, SF).select(*bronze.read_bronze(spark, stored).columns, "entity_id")
+    responses = bronze.route(bronze.read_bronze(spark, stored)).unionByName(faulty)
+    for _ in range(2):  # a repeated delivery replaces itself
+        silver.store(responses, location, "2026-04-14")
+    return location
+
+
+def test_silver_tables(spark, tables):
+    faulty = lake.faulty_responses(spark, SF)
+    polls = spark.read.parquet(f"{SF}/events.parquet").count()
+    good = validate.documents(faulty, "live").count()
+    rows = spark.read.parquet(f"{tables}/live")
+    assert rows.count() == polls + good
+    assert spark.read.parquet(f"{tables}/schedule").count() == lake.table(spark, SF, "orders").count()
+    assert spark.read.parquet(f"{tables}/rejects/live").count() == polls - good
+    assert {r.delivery.isoformat() for r in rows.select("delivery").distinct().collect()} == {"2026-04-14"}
+
+
+def test_board_over_silver_reads_one_queue_field(spark, tables):
+    shown = plan(live.with_wait(spark.read.parquet(f"{tables}/live")).select("name", "wait"))
+    read = shown.split("ReadSchema: ")[1].split("\n")[0]
+    assert read == "struct<name:string,queue:struct<STANDBY:struct<waitTime:double>>>"
+
+
+def test_ranges_over_silver_prune_to_the_months_asked_for(spark, tables):
+    entries = spark.read.parquet(f"{tables}/schedule")
+    asked = lake.range_requests(spark, SF).where(F.col("req_id") < 5)
+    joined = schedule.ranges(asked, entries)
+    assert "dynamicpruning" in plan(joined)
+    assert joined.count() == schedule.ranges(asked, flatten.schedule(
+        validate.documents(lake.schedule_responses(spark, SF), "schedule"))).count()
+
+
+def test_body_is_parsed_once_and_unpivoted_in_one_step(spark, stored):
+    responses = bronze.read_bronze(spark, stored)
     offers = live.queue_offers(flatten.live(validate.documents(responses, "live")))
     shown = plan(offers)
     assert shown.count("from_json(") == 1
