@@ -15,6 +15,9 @@ _CLOCK = r"[T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?"
 _OFFSET = r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)"
 _AWARE = f"{_DATE}{_CLOCK}{_OFFSET}$"
 _NAIVE = f"{_DATE}({_CLOCK})?$"
+# Payload instants need minutes; seconds may be missing.
+_AWARE_MINUTES = rf"{_DATE}[T ]\d{{2}}:\d{{2}}{_OFFSET}$"
+_AWARE_SECONDS = rf"{_DATE}[T ]\d{{2}}:\d{{2}}:\d{{2}}(\.\d+)?{_OFFSET}$"
 # Epoch numbers, as written or in the exponent form a parsed JSON number takes; all below 1e14.
 _EPOCH = r"^[+-]?(\d{1,14}(\.\d+)?|\d(\.\d+)?E(\d|1[0-3]))$"
 # Numbers above this are epoch milliseconds, up to it epoch seconds.
@@ -27,22 +30,19 @@ def _with_seconds(text: str) -> str:
     return rf"regexp_replace({minutes}, r'^(.{{10}}[T ]\d{{2}}:\d{{2}})(?=Z|[+-]|$)', '$1:00')"
 
 
-def _offset_case(text: str) -> str:
-    return (
-        f"WHEN {text} RLIKE r'{_AWARE}' THEN"
-        f" coalesce(try_cast({text} AS TIMESTAMP), try_cast({_with_seconds(text)} AS TIMESTAMP))"
-    )
-
-
 def aware_instant(text: str) -> str:
-    """SQL for the instant of a text that names its own offset, or of an epoch number.
+    """SQL for the instant of a payload text that names its own offset, or of an epoch number.
 
-    Naive, date-only or bad text gives null.
+    Naive, date-only or bad text gives null. Kept small, since it is repeated for every instant field.
     """
     number = f"try_cast({text} AS DOUBLE)"
     unit = f"CASE WHEN abs({number}) > {_MILLIS_ABOVE} THEN 1000 ELSE 1 END"
-    epoch = f"WHEN {text} RLIKE r'{_EPOCH}' THEN timestamp_seconds({number} / {unit})"
-    return f"CASE {_offset_case(text)} {epoch} END"
+    padded = f"concat(left({text}, 16), ':00', substring({text}, 17))"
+    return (
+        f"CASE WHEN {text} RLIKE r'{_AWARE_SECONDS}' THEN try_cast({text} AS TIMESTAMP)"
+        f" WHEN {text} RLIKE r'{_AWARE_MINUTES}' THEN try_cast({padded} AS TIMESTAMP)"
+        f" WHEN {text} RLIKE r'{_EPOCH}' THEN timestamp_seconds({number} / {unit}) END"
+    )
 
 
 def known_zones() -> list[str]:
@@ -60,7 +60,8 @@ def parse_api_datetime(text: str, timezone: str, strict: bool = False) -> Column
     zone = f"CASE WHEN {timezone} IN ({zones}) THEN {timezone} END" if zones else timezone
     clock = f"CAST(try_cast({_with_seconds(text)} AS TIMESTAMP_NTZ) AS TIMESTAMP)"
     local = f"WHEN {text} RLIKE r'{_NAIVE}' THEN to_utc_timestamp({clock}, {zone})"
-    instant = f"CASE {_offset_case(text)} {local} END"
+    aware = f"WHEN {text} RLIKE r'{_AWARE}' THEN try_cast({_with_seconds(text)} AS TIMESTAMP)"
+    instant = f"CASE {aware} {local} END"
     if strict:
         complaint = f"CAST(raise_error(concat('invalid date: ', {text})) AS TIMESTAMP)"
         instant = f"CASE WHEN {text} IS NOT NULL THEN coalesce({instant}, {complaint}) END"

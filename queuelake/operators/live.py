@@ -43,6 +43,16 @@ def _offer(position: int, variant: str) -> Column:
     return F.when(queue.isNotNull(), shape)
 
 
+def _once(rows: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
+    """Rows with `value` computed once each. A filter on a plain projection is pushed below it and works
+    the value out a second time; the output of a generator is only read."""
+    return rows.select(*keep, F.explode(F.array(value)).alias(name))
+
+
+def _with_queue(live_rows: DataFrame, *keep: str) -> DataFrame:
+    return _once(live_rows, "queue", F.col("queue"), *keep).where(F.col("queue").isNotNull())
+
+
 def queue_offers(live_rows: DataFrame) -> DataFrame:
     """One row per queue variant an entry offers, in the fixed variant order.
 
@@ -50,7 +60,7 @@ def queue_offers(live_rows: DataFrame) -> DataFrame:
     """
     keep = [c for c in (*_ENTRY, "last_updated") if c in live_rows.columns]
     offers = F.array(*[_offer(i + 1, v) for i, v in enumerate(QUEUE_VARIANTS)])
-    rows = live_rows.where(F.col("queue").isNotNull()).select(*keep, F.explode(offers).alias("_o"))
+    rows = _with_queue(live_rows, *keep).select(*keep, F.explode(offers).alias("_o"))
     return rows.where(F.col("_o").isNotNull()).select(*keep, "_o.*")
 
 
@@ -63,7 +73,7 @@ def queue_wide(live_rows: DataFrame) -> DataFrame:
     """One row per entry that has a queue, one column per variant field, with the price label."""
     q = F.col("queue")
     paid, group = q["PAID_RETURN_TIME"], q["BOARDING_GROUP"]
-    return live_rows.where(q.isNotNull()).select(
+    return _with_queue(live_rows, *_ENTRY).select(
         *_ENTRY,
         q["STANDBY"]["waitTime"].alias("standby_wait"),
         q["SINGLE_RIDER"]["waitTime"].alias("single_rider_wait"),
@@ -88,7 +98,7 @@ def queue_wide(live_rows: DataFrame) -> DataFrame:
 
 def with_wait(live_rows: DataFrame) -> DataFrame:
     """Add the current standby wait in whole minutes."""
-    return live_rows.withColumn("wait", current_wait_time(F.col("queue")))
+    return _once(live_rows, "wait", current_wait_time(F.col("queue")), *live_rows.columns)
 
 
 def board_by_name(live_rows: DataFrame) -> DataFrame:

@@ -117,7 +117,7 @@ def test_body_is_parsed_once_and_unpivoted_in_one_step(spark, stored):
     offers = live.queue_offers(flatten.live(validate.documents(responses, "live")))
     shown = plan(offers)
     assert shown.count("from_json(") == 1
-    assert shown.split("(1) ")[0].count("Generate") == 3  # parse, entries, offers
+    assert shown.split("(1) ")[0].count("Generate") == 4  # body, entries, typed queue, offers
     assert "Union" not in shown
 
 
