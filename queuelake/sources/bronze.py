@@ -61,22 +61,33 @@ def upcoming(bronze: DataFrame) -> DataFrame:
 def decode(bronze: DataFrame, kind: str) -> DataFrame:
     """Parse each body once into `doc` (all scalars text) and `corrupt`.
 
-    The body is parsed as the only member of a wrapper object, so text after the document, an array or
-    a bare scalar is a parse error rather than a half-read document. The parse sits inside a generator:
-    later filters and projections read its output and never repeat it.
+    The body is parsed as the only element of a list inside a wrapper object that closes with a marker.
+    Text after the document, several documents, an array or a bare scalar break the list or hide the
+    marker, so they are errors rather than half-read documents. The parse sits inside a generator: later
+    filters and projections read its output and never repeat it.
     """
     wrapper = T.StructType(
-        [T.StructField("doc", LANDING[kind]), T.StructField(CORRUPT, T.StringType())]
+        [
+            T.StructField("doc", T.ArrayType(LANDING[kind])),
+            T.StructField("end", T.StringType()),
+            T.StructField(CORRUPT, T.StringType()),
+        ]
     )
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "allowSingleQuotes": "false",
     }
-    wrapped = F.concat(F.lit('{"doc":'), F.col("body"), F.lit("}"))
+    wrapped = F.concat(F.lit('{"doc":['), F.col("body"), F.lit('],"end":"end"}'))
     parsed = bronze.select("*", F.explode(F.array(F.from_json(wrapped, wrapper, options))).alias("_p"))
-    broken = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull() | F.col("_p.doc").isNull()
-    return parsed.select("*", F.col("_p.doc").alias("doc"), broken.alias("corrupt")).drop("_p")
+    whole = (
+        F.col(f"_p.{CORRUPT}").isNull()
+        & F.col("_p.end").isNotNull()
+        & (F.size("_p.doc") == 1)
+        & F.get("_p.doc", F.lit(0)).isNotNull()
+    )
+    broken = ~F.coalesce(whole, F.lit(False))
+    return parsed.select("*", F.get("_p.doc", F.lit(0)).alias("doc"), broken.alias("corrupt")).drop("_p")
 
 
 def newest_per_path(bronze: DataFrame) -> DataFrame:

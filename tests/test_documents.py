@@ -37,8 +37,10 @@ def broken_rules(landed, kind, path, *bodies):
 def test_bodies_that_are_no_json_object(landed):
     whole = json.dumps(live_doc(entry()))
     bodies = ["", "nope", "[]", f"[{whole}]", "null", "5", '"text"', whole[:40], whole + " tail", whole * 2, None]
-    bodies += ["{'id':'single quotes'}", whole, "  " + whole + "\n", "{}"]
-    assert broken_rules(landed, "live", LIVE, *bodies) == [{("VAL1", "body")}] * 12 + [set()] * 3
+    bodies += ["{'id':'single quotes'}", whole + "}", whole + "]}", whole + ',"x":1', f"{whole},{whole}", whole + ","]
+    good = [whole, "  " + whole + "\n", "{}"]
+    expected = [{("VAL1", "body")}] * len(bodies) + [set()] * len(good)
+    assert broken_rules(landed, "live", LIVE, *bodies, *good) == expected
 
 
 def test_text_responses_are_no_documents(landed):
