@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from pathlib import PurePosixPath
 from uuid import uuid4
 
@@ -41,8 +40,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    The cluster names it in `spark.checkpoint.dir`. Only a local master, where driver and executors
-    share one disk, may fall back to a temporary folder.
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset, a folder below the session's warehouse
+    serves on every master: executors write tables there too.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,9 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = context.getCheckpointDir()
     if existing:
         return existing
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="queuelake-"))
+    context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch")
     return context.getCheckpointDir()
 
 

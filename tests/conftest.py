@@ -10,7 +10,7 @@ from queuelake import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "queuelake-tests",
         "local[8]",
@@ -19,6 +19,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
