@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queuelake.llm import exact_dedup, jaccard_join, packing
+from queuelake.llm import exact_dedup, jaccard_join, language_id, packing
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -27,10 +27,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(prepare(spark), sf_dir))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language_id.identify(documents(prepare(spark), sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLE: dict[str, str] = {
