@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queuelake.llm import exact_dedup, jaccard_join, language_id, packing
+from queuelake.llm import exact_dedup, jaccard_join, language_id, packing, substring_dedup
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -32,11 +32,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(prepare(spark), sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 200 bytes."""
+    return substring_dedup.remove_repeats(documents(prepare(spark), sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_language_id": op7_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
