@@ -118,6 +118,7 @@ def _split_at_grams(hashes: np.ndarray, lo: np.ndarray, n: np.ndarray, doc: np.n
         return lo, n, back, doc, fp
     plain = np.ones(len(lo), bool)
     plain[several] = False
+    out: list[tuple[int, int, int, int, int]] = []
     for i in several.tolist():
         begin, stop = int(lo[i]), int(lo[i] + n[i])
         for a in at[first[i] : first[i] + count[i]].tolist():
