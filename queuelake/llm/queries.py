@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queuelake.llm import exact_dedup, jaccard_join, language_id, packing, substring_dedup
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, substring_dedup
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -37,12 +37,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(prepare(spark), sf_dir))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings with a cosine of 0.98 or more inside a label."""
+    return embedding_dedup.near_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {
