@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
-from queuelake.llm.shared import components, stored
+from queuelake.llm.shared import components, stored, with_ids
 
 WORDS = 5
 PERCENT = 80
@@ -133,6 +133,28 @@ def _listed(width: int, percent: int, counts) -> Callable[[Iterator[pa.RecordBat
     return run
 
 
+def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by shingle and node, one per node of each shingle that lists two nodes or more."""
+    held: tuple[pa.RecordBatch, bool] | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = pa.Table.from_batches([held[0], batch] if held else [batch]).combine_chunks().to_batches()[0]
+        shingle, node = rows.column("shingle").to_numpy(), rows.column("node").to_numpy()
+        new = np.ones(len(rows), bool)
+        new[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
+        rows, shingle = rows.filter(pa.array(new)), shingle[new]
+        keep = np.zeros(len(rows), bool)
+        keep[0] = held is not None and held[1]
+        follows = shingle[1:] == shingle[:-1]
+        keep[1:] |= follows
+        held = rows.slice(len(rows) - 1), bool(keep[-1])
+        keep[:-1] |= follows
+        yield rows.filter(pa.array(keep)).slice(0, int(keep[:-1].sum()))
+    if held and held[1]:
+        yield held[0]
+
+
 def _signature(value: np.ndarray) -> bytes:
     """Bitmap of the lowest hash bits; its length is a power of two of at least twice the set's size."""
     bits = 1 << max(6, int(2 * len(value) - 1).bit_length())
@@ -153,13 +175,15 @@ def _links(shared: int, n_a: int, n_b: int, percent: int) -> bool:
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def _candidates(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _candidates(width: int, bits: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bitmaps, or else sorted arrays, of documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in textbytes.slices(batches):
             row, value = shingles(data, offsets, width)
             count, node = _digests(row, value, len(rows))
             sets = np.split(value, np.cumsum(count)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count, pa.int64()), pa.array([_signature(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "n", "bits", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count, pa.int64()), pa.array([_signature(s) if bits else s.tobytes() for s in sets], pa.binary())], names=["node", "n", "body"])
 
     return run
 
@@ -188,13 +212,25 @@ def _intersect(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of proposed pairs (a, b), those that link."""
-    side = lambda which, what: sets.select(F.col("node").alias(which), *(F.col(c).alias(f"{c}_{which}") for c in what))
-    near = pairs.join(side("a", ("n", "bits")), "a").join(side("b", ("n", "bits")), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    near = stored(near.mapInArrow(_pass_bound(percent), "a bigint, b bigint"), "near-pairs")
-    met = near.join(side("a", ("hashes",)), "a").join(side("b", ("hashes",)), "b").select("a", "b", "hashes_a", "hashes_b")
-    return stored(met.mapInArrow(_intersect(percent), "a bigint, b bigint"), "near-links")
+class _Sets:
+    """Bitmaps and arrays of nodes, worked out from one document of each."""
+
+    def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int) -> None:
+        self.docs, self.width, self.percent = docs, width, percent
+        self.of_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+
+    def of(self, nodes: DataFrame, bits: bool) -> DataFrame:
+        ids = stored(self.of_node.join(nodes, "node", "left_semi").select("doc_id"), "set-ids")
+        return stored(with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, bits), "node bigint, n bigint, body binary"), "sets")
+
+    def verified(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+        """Of proposed pairs (a, b), those that link."""
+        side = lambda sets, x, name: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("body").alias(f"{name}_{x}"))
+        near = pairs.join(side(bitmaps, "a", "bits"), "a").join(side(bitmaps, "b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        near = stored(near.mapInArrow(_pass_bound(self.percent), "a bigint, b bigint"), "near-pairs")
+        arrays = self.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), bits=False)
+        met = near.join(side(arrays, "a", "hashes"), "a").join(side(arrays, "b", "hashes"), "b").select("a", "b", "hashes_a", "hashes_b")
+        return stored(met.mapInArrow(_intersect(self.percent), "a bigint, b bigint"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -213,31 +249,29 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
 
     listed = docs.where("doc_id IS NOT NULL").mapInArrow(_listed(width, percent, counts), "shingle bigint, node bigint, size int")
     # A node is listed once by each task that has a copy.
-    listed = listed.repartition("shingle").groupBy("shingle", "node").agg(F.first("size").alias("size"))
-    several = listed.groupBy("shingle").agg(F.count("*").alias("in_list")).where("in_list > 1")
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    lists = stored(listed.join(several, "shingle", "left_semi").withColumn("band", band), "shingle-lists")
-
-    wanted = lists.select("node").distinct().join(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node").select("doc_id")
-    sets_of = stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_candidates(width), "node bigint, n bigint, bits binary, hashes binary").dropDuplicates(["node"]), "candidate-sets")
+    sorted_lists = listed.repartition("shingle").sortWithinPartitions("shingle", "node")
+    lists = stored(sorted_lists.mapInArrow(_in_lists, "shingle bigint, node bigint, size int").withColumn("band", band), "shingle-lists")
+    sets = _Sets(docs, rows, width, percent)
+    bitmaps = sets.of(lists.select("node").distinct(), bits=True)
 
     smallest = lists.groupBy("shingle", "band").agg(F.min(F.struct("size", "node")).alias("least"))
     stars = lists.join(smallest, ["shingle", "band"]).where("node <> least.node").select(F.col("least.node").alias("a"), F.col("node").alias("b"))
-    found = _verified(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets_of, percent)
-    merged = components(found)
-    known = lists.join(merged.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component_id", "node")).drop("component_id")
-    tiles = known.select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "node", "size", "component", "band")
-    open_tiles = tiles.groupBy("shingle", "tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle", "tile")
-    tiles = stored(tiles.join(open_tiles, ["shingle", "tile"], "left_semi"), "open-tiles")
+    found = sets.verified(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), bitmaps)
+    merged = components(found).withColumnRenamed("id", "node")
+    known = stored(lists.join(merged, "node", "left").withColumn("component", F.coalesce("component_id", "node")).drop("component_id"), "shingle-lists")
+    apart = lambda rows, *key: rows.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select(*key)
+    tiles = known.join(apart(known, "shingle"), "shingle", "left_semi").select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "node", "size", "component", "band")
+    tiles = stored(tiles.join(apart(tiles, "shingle", "tile"), ["shingle", "tile"], "left_semi"), "open-tiles")
     a, b = tiles.alias("a"), tiles.where("band = tile").alias("b")
-    apart = a.join(
+    met = a.join(
         b,
         F.expr(
             f"a.shingle = b.shingle AND a.tile = b.tile AND a.component <> b.component AND (a.band < b.band OR a.node < b.node)"
             f" AND 100L * least(a.size, b.size) >= {percent}L * greatest(a.size, b.size)"
         ),
-    ).select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
-    rest = _verified(apart.distinct(), sets_of, percent)
+    )
+    rest = sets.verified(met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), bitmaps)
 
     of_node = components(found.union(rest))
     named = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(of_node.withColumnRenamed("id", "node"), "node", "left")

@@ -24,6 +24,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(_nullable(frame.schema)).parquet(path)
 
 
+#: Most ids that are sent to every executor at once (a long each); more are joined by a shuffle.
+BROADCAST_IDS = 4_000_000
+
+
+def with_ids(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows whose `column` is among distinct stored ids; the ids travel to the rows while they are few enough."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, column, "left_semi")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
