@@ -36,7 +36,7 @@ def _entries(key: Callable[[bytes], int], with_body: bool) -> Callable[[Iterator
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         rid = context.partitionId() << 33 if context else 0
-        for rows, data, offsets in textbytes.slices(batches, 8 << 20):
+        for rows, data, offsets in textbytes.slices(batches, 4 << 20):
             kept = ~textbytes.spaces(data)
             count = np.zeros(len(data) + 1, np.int64)
             np.cumsum(kept, out=count[1:])
