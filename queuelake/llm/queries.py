@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, substring_dedup
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, substring_dedup, toxicity
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -27,6 +27,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(prepare(spark), sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones."""
+    labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return language_id.identify(documents(prepare(spark), sf_dir))
@@ -46,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_toxicity": op5_toxicity,
     "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,

@@ -69,9 +69,12 @@ def spaces(data: np.ndarray) -> np.ndarray:
     return _SPACE[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and row numbers of the runs without white space; no word crosses rows."""
-    solid = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and row numbers of the runs of `solid` bytes, of those that are no white space if not given.
+
+    No word crosses rows.
+    """
+    solid = ~_SPACE[data] if solid is None else solid
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     last = solid.copy()
