@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, substring_dedup, toxicity
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, substring_dedup, toxicity
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -17,6 +17,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the model and under word frequencies."""
+    return lm_scoring.score_documents(documents(prepare(spark), sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with equal text but for white space."""
     return exact_dedup.exact_groups(documents(prepare(spark), sf_dir))
@@ -50,6 +55,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_toxicity": op5_toxicity,
