@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, substring_dedup, toxicity
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, source_mixing, substring_dedup, token_counts, toxicity
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -38,6 +39,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), labels)
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passes of all documents in a mixture whose sources repeat at most twice."""
+    mixed = source_mixing.mix(documents(prepare(spark), sf_dir).select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", F.col("mix_copy").cast("bigint").alias("mix_copy"), "mix_block", "mix_place")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return language_id.identify(documents(prepare(spark), sf_dir))
@@ -48,6 +55,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(prepare(spark), sf_dir))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    return token_counts.count_tokens(documents(prepare(spark), sf_dir))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of embeddings with a cosine of 0.98 or more inside a label."""
     return embedding_dedup.near_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -59,8 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_toxicity": op5_toxicity,
+    "op6_mix_sources": op6_mix_sources,
     "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
@@ -95,4 +109,36 @@ ORACLE: dict[str, str] = {
         SELECT w.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(min(reach.r), w.doc_id)) AS component_id
         FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY w.doc_id
     """,
+    "op6_mix_sources": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, source, coalesce(source, '') AS src,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS tokens,
+                   ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS turn
+            FROM documents
+        ), s AS (SELECT src, sum(tokens)::BIGINT AS total FROM t GROUP BY src),
+        e AS (SELECT min(total)::DOUBLE / sum(total) AS lo, max(total)::DOUBLE / sum(total) AS hi FROM s),
+        bisect(i, a, b) AS (
+            SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+            UNION ALL
+            SELECT i + 1, CASE WHEN fits THEN a ELSE (a + b) / 2 END, CASE WHEN fits THEN (a + b) / 2 ELSE b END
+            FROM (SELECT i, a, b, pow(e.lo, (a + b) / 2 - 1) / pow(e.hi, (a + b) / 2 - 1) <= 2.0 AS fits FROM bisect, e WHERE i < 60)
+        ), x AS (SELECT CASE WHEN e.hi / e.lo <= 2.0 THEN 0.0 ELSE b END AS a FROM bisect, e WHERE i = 60),
+        p AS (
+            SELECT src, total, pow(total::DOUBLE, a - 1) / min(pow(total::DOUBLE, a - 1)) OVER () AS passes,
+                   ceil(total / 1048576.0)::BIGINT AS blocks
+            FROM s, x
+        ), q AS (
+            SELECT *, floor(passes + 1e-9) AS whole, round((passes - floor(passes + 1e-9)) * total)::BIGINT AS budget FROM p
+        ), d AS (SELECT t.*, q.*, turn % blocks AS block FROM t JOIN q USING (src)),
+        b AS (SELECT src, block, sum(tokens)::BIGINT AS size FROM d GROUP BY ALL),
+        c AS (
+            SELECT src, block, sum(size) OVER (PARTITION BY src
+                ORDER BY ('0x' || substr(md5('mix:' || src || ':' || block), 1, 15))::BIGINT, block) - size AS before FROM b
+        ), r AS (
+            SELECT d.*, before, before + sum(tokens) OVER (PARTITION BY d.src, d.block ORDER BY turn, doc_id) - tokens AS reached
+            FROM d JOIN c ON c.src = d.src AND c.block = d.block
+        )
+        SELECT doc_id, source, copy AS mix_copy, block AS mix_block, round((copy + before::DOUBLE / total) / passes, 6) AS mix_place
+        FROM (SELECT *, unnest(generate_series(0, (whole - 1 + CASE WHEN reached < budget THEN 1 ELSE 0 END)::BIGINT)) AS copy FROM r)
+    """,
 }
