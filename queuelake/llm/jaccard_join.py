@@ -5,12 +5,14 @@
 2. Shingles are ordered rarest first, by a table of counts over all documents (hashed, of fixed size; any common order
    gives right results, a better one gives shorter lists). A node of n shingles is listed under the first
    n - ceil(t n) + 1 of them; two nodes that link share one of these.
-3. A tile holds the nodes listed under one shingle whose sizes lie in one band, which spans a ratio of t, and visitors
-   of the next smaller band. First each tile proposes only pairs with its smallest node; what links is merged into
-   components. Then tiles propose the pairs whose nodes are still in different components. So a group of m near
-   copies costs about m comparisons, and no pair that could join two components is left out.
-4. A proposed pair is compared by bitmap signatures, sized to the band: bits of one that the other lacks bound the
-   overlap from above. Only pairs that pass meet with their arrays, which are intersected exactly.
+3. In two rounds each list proposes pairs of its nodes with one of them, a hub; lists of one group get one of a few
+   hubs, so a group of m near copies costs a few times m proposals. A proposed pair is compared by bitmap signatures:
+   bits of one that the other lacks bound the overlap from above. Only pairs that pass meet with their sorted arrays,
+   which are intersected exactly. What links is merged into components.
+4. Lists that still hold nodes of different components are joined into clusters. A cluster's nodes, ordered by size,
+   are cut into blocks; two blocks whose sizes can link are a tile, where every pair of nodes of different components
+   is tried, by bitmaps and then exactly. No pair that could join two components is left out. Should a cluster
+   outgrow `CLUSTER_NODES`, its lists propose their pairs one by one instead.
 
 Hashes have 64 bits and stand for the words.
 """
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import components, stored, with_ids
@@ -33,6 +36,9 @@ WORDS = 5
 PERCENT = 80
 #: Cells of the table of shingle counts, and the pieces in which it is summed.
 _CELLS, _PIECES = 1 << 21, 16
+#: Hubs of a group in each round, as masks that reorder the nodes; nodes of a block; nodes of a cluster cut in blocks.
+_HUBS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
+BLOCK_NODES, CLUSTER_NODES = 512, 50_000
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -156,8 +162,8 @@ def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signature(value: np.ndarray) -> bytes:
-    """Bitmap of the lowest hash bits; its length is a power of two of at least twice the set's size."""
-    bits = 1 << max(6, int(2 * len(value) - 1).bit_length())
+    """Bitmap of the lowest hash bits; its length is a power of two of at least four times the set's size."""
+    bits = 1 << max(6, int(4 * len(value) - 1).bit_length())
     marks = np.zeros(bits, np.uint8)
     marks[(value & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(marks, bitorder="little").tobytes()
@@ -175,15 +181,15 @@ def _links(shared: int, n_a: int, n_b: int, percent: int) -> bool:
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def _candidates(width: int, bits: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Bitmaps, or else sorted arrays, of documents."""
+def _candidates(width: int, bits: bool, arrays: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bitmaps and sorted arrays of documents, as asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in textbytes.slices(batches):
             row, value = shingles(data, offsets, width)
             count, node = _digests(row, value, len(rows))
             sets = np.split(value, np.cumsum(count)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count, pa.int64()), pa.array([_signature(s) if bits else s.tobytes() for s in sets], pa.binary())], names=["node", "n", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count, pa.int64()), pa.array([_signature(s) for s in sets] if bits else [None] * len(sets), pa.binary()), pa.array([s.tobytes() for s in sets] if arrays else [None] * len(sets), pa.binary())], names=["node", "n", "bits", "hashes"])
 
     return run
 
@@ -198,15 +204,20 @@ def _pass_bound(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Elements that two sorted arrays share."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum())
+
+
 def _intersect(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
                 x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                keep.append(_links(int((large[at] == small).sum()), len(x), len(y), percent))
+                keep.append(_links(_shared(x, y), len(x), len(y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -219,13 +230,13 @@ class _Sets:
         self.docs, self.width, self.percent = docs, width, percent
         self.of_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    def of(self, nodes: DataFrame, bits: bool) -> DataFrame:
+    def of(self, nodes: DataFrame, bits: bool = True, arrays: bool = True) -> DataFrame:
         ids = stored(self.of_node.join(nodes, "node", "left_semi").select("doc_id"), "set-ids")
-        return stored(with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, bits), "node bigint, n bigint, body binary"), "sets")
+        return stored(with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, bits, arrays), "node bigint, n bigint, bits binary, hashes binary"), "sets")
 
     def verified(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         """Of proposed pairs (a, b), those that link."""
-        side = lambda sets, x, name: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("body").alias(f"{name}_{x}"))
+        side = lambda sets, x, what: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col(what).alias(f"{what}_{x}"))
         near = pairs.join(side(bitmaps, "a", "bits"), "a").join(side(bitmaps, "b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
         near = stored(near.mapInArrow(_pass_bound(self.percent), "a bigint, b bigint"), "near-pairs")
         arrays = self.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), bits=False)
@@ -233,7 +244,57 @@ class _Sets:
         return stored(met.mapInArrow(_intersect(self.percent), "a bigint, b bigint"), "near-links")
 
 
-def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def _tile(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between nodes of different components in two blocks, enough to join what they join."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        node, size, component, block = (table.column(c).to_numpy() for c in ("node", "n", "component", "block"))
+        x, y = table.column("tile_x")[0].as_py(), table.column("tile_y")[0].as_py()
+        bodies = [np.frombuffer(b.as_buffer(), np.uint8) for b in table.column("bits")]
+        hashes = [np.frombuffer(b.as_buffer(), np.uint64) for b in table.column("hashes")]
+        least = min(map(len, bodies))
+        bits = np.stack([np.bitwise_or.reduce(b.reshape(-1, least), axis=0) for b in bodies]).view(np.uint64)
+        right = np.flatnonzero(block == y)
+        parent = {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        out: list[tuple[int, int]] = []
+        for i in np.flatnonzero(block == x).tolist():
+            # Two nodes of one block are tried once.
+            others = right[right > i] if x == y else right
+            lacks = np.bitwise_count(bits[i] & ~bits[others]).sum(axis=1, dtype=np.int64)
+            lacked = np.bitwise_count(bits[others] & ~bits[i]).sum(axis=1, dtype=np.int64)
+            bound = np.minimum(size[i] - lacks, size[others] - lacked)
+            for j in others[(component[others] != component[i]) & (100 * bound >= percent * (size[i] + size[others] - bound))].tolist():
+                p, q = find(int(component[i])), find(int(component[j]))
+                if p != q and _links(_shared(hashes[i], hashes[j]), len(hashes[i]), len(hashes[j]), percent):
+                    parent[max(p, q)] = min(p, q)
+                    out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    return run
+
+
+def _of_clusters(clusters: DataFrame, sets: _Sets, percent: int, block_nodes: int) -> DataFrame:
+    """Links found in tiles of blocks; clusters has cluster, node, component."""
+    full = sets.of(clusters.select("node"))
+    placed = clusters.join(full.select("node", "n"), "node").withColumn("block", F.floor((F.row_number().over(W.partitionBy("cluster").orderBy("n", "node")) - 1) / block_nodes).cast("int"))
+    placed = stored(placed, "cluster-blocks")
+    blocks = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    x = blocks.select("cluster", F.col("block").alias("tile_x"), F.col("high").alias("high_x"))
+    y = blocks.select("cluster", F.col("block").alias("tile_y"), F.col("low").alias("low_y"))
+    tiles = x.join(y, "cluster").where(f"tile_x <= tile_y AND 100 * high_x >= {percent} * low_y").select("cluster", "tile_x", "tile_y")
+    of_block = tiles.select("*", F.explode(F.array_distinct(F.array("tile_x", "tile_y"))).alias("block"))
+    rows = placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]).join(full, "node")
+    return rows.groupBy("cluster", "tile_x", "tile_y").applyInArrow(_tile(percent), "a bigint, b bigint")
+
+
+def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, block_nodes: int = BLOCK_NODES, cluster_nodes: int = CLUSTER_NODES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents link when 100 * shared shingles >= percent * all shingles of the two. component_id is the smallest
@@ -249,29 +310,40 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
 
     listed = docs.where("doc_id IS NOT NULL").mapInArrow(_listed(width, percent, counts), "shingle bigint, node bigint, size int")
     # A node is listed once by each task that has a copy.
-    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     sorted_lists = listed.repartition("shingle").sortWithinPartitions("shingle", "node")
-    lists = stored(sorted_lists.mapInArrow(_in_lists, "shingle bigint, node bigint, size int").withColumn("band", band), "shingle-lists")
+    lists = stored(sorted_lists.mapInArrow(_in_lists, "shingle bigint, node bigint, size int"), "shingle-lists")
     sets = _Sets(docs, rows, width, percent)
-    bitmaps = sets.of(lists.select("node").distinct(), bits=True)
-
-    smallest = lists.groupBy("shingle", "band").agg(F.min(F.struct("size", "node")).alias("least"))
-    stars = lists.join(smallest, ["shingle", "band"]).where("node <> least.node").select(F.col("least.node").alias("a"), F.col("node").alias("b"))
-    found = sets.verified(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), bitmaps)
-    merged = components(found).withColumnRenamed("id", "node")
-    known = stored(lists.join(merged, "node", "left").withColumn("component", F.coalesce("component_id", "node")).drop("component_id"), "shingle-lists")
-    apart = lambda rows, *key: rows.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select(*key)
-    tiles = known.join(apart(known, "shingle"), "shingle", "left_semi").select("shingle", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "node", "size", "component", "band")
-    tiles = stored(tiles.join(apart(tiles, "shingle", "tile"), ["shingle", "tile"], "left_semi"), "open-tiles")
-    a, b = tiles.alias("a"), tiles.where("band = tile").alias("b")
-    met = a.join(
-        b,
-        F.expr(
-            f"a.shingle = b.shingle AND a.tile = b.tile AND a.component <> b.component AND (a.band < b.band OR a.node < b.node)"
-            f" AND 100L * least(a.size, b.size) >= {percent}L * greatest(a.size, b.size)"
-        ),
-    )
-    rest = sets.verified(met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), bitmaps)
+    bitmaps = sets.of(lists.select("node").distinct(), arrays=False)
+
+    found, open_lists = None, lists.withColumn("component", F.col("node"))
+    for turn in range(2):
+        # Which hub a list takes goes by its shingle.
+        mask = F.element_at(F.array(*[F.lit(m) for m in _HUBS]), (F.pmod(F.shiftright("shingle", 7 + turn), F.lit(len(_HUBS))) + 1).cast("int"))
+        turned = F.col("node").bitwiseXOR(mask)
+        hubs = open_lists.groupBy("shingle").agg(F.min(turned).alias("hub"))
+        stars = open_lists.join(hubs, "shingle").select(F.col("hub").bitwiseXOR(mask).alias("hub"), "node").where("hub <> node")
+        pairs = stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        links = sets.verified(pairs, bitmaps)
+        found = links if found is None else found.union(links)
+        known = lists.join(components(found).withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component_id", "node")).drop("component_id")
+        known = stored(known, "shingle-lists")
+        mixed = known.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle")
+        open_lists = stored(known.join(mixed, "shingle", "left_semi"), "open-lists")
+
+    heads = open_lists.groupBy("shingle").agg(F.min("node").alias("a"))
+    joined = open_lists.join(heads, "shingle").select("a", F.col("node").alias("b")).distinct()
+    clusters = components(joined).select(F.col("id").alias("node"), F.col("component_id").alias("cluster"))
+    clusters = stored(clusters.join(open_lists.select("node", "component").distinct(), "node"), "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("nodes"))
+    large = sizes.where(F.col("nodes") > cluster_nodes).select("cluster")
+    rest = _of_clusters(clusters.join(large, "cluster", "left_anti"), sets, percent, block_nodes)
+    if not large.isEmpty():
+        wide = open_lists.join(clusters.join(large, "cluster", "left_semi").select("node"), "node", "left_semi")
+        met = wide.alias("a").join(
+            wide.alias("b"),
+            F.expr(f"a.shingle = b.shingle AND a.component <> b.component AND a.node < b.node AND 100L * least(a.size, b.size) >= {percent}L * greatest(a.size, b.size)"),
+        )
+        rest = rest.union(sets.verified(met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), bitmaps))
 
     of_node = components(found.union(rest))
     named = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(of_node.withColumnRenamed("id", "node"), "node", "left")
