@@ -95,9 +95,9 @@ def mix(docs: DataFrame, repetition_limit: float | None = REPETITION_LIMIT, targ
     blocks = blocks.join(last, ["_source", "_block"], "left").select("_source", "_block", "whole", "passes", "tokens", "before", F.coalesce(limit, F.lit(-1)).cast("bigint").alias("limit"))
 
     # Sources and blocks carry their facts to the documents; Spark sends them along while they are small.
-    every = named.select("*", source, turn.alias("_turn")).join(sources.select("_source", "blocks"), "_source").withColumn("_block", F.pmod("_turn", "blocks"))
+    every = named.select(F.struct(*named.columns).alias("_row"), source, turn.alias("_turn")).join(sources.select("_source", "blocks"), "_source").withColumn("_block", F.pmod("_turn", "blocks"))
     every = every.join(blocks, ["_source", "_block"])
     copies = F.sequence(F.lit(0), (F.col("whole") - 1 + F.when(F.col("_turn") <= F.col("limit"), 1).otherwise(0)).cast("int"))
-    out = every.select(*named.columns, "_block", "passes", "tokens", "before", F.explode(copies).alias("mix_copy"))
+    out = every.select("_row", "_block", "passes", "tokens", "before", F.explode(copies).alias("mix_copy"))
     place = F.round((F.col("mix_copy") + F.col("before") / F.col("tokens")) / F.col("passes"), 6)
-    return out.select(*named.columns, "mix_copy", F.col("_block").alias("mix_block"), place.alias("mix_place"))
+    return out.select("_row.*", "mix_copy", F.col("_block").alias("mix_block"), place.alias("mix_place"))
