@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,26 @@ FIT_VECTORS = 20_000
 ROTATIONS, PIECE_BITS, TILE_ROWS = 3, 16, 2048
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors of length one, as bytes of doubles; those that cannot be compared are left out."""
+    for batch in batches:
+        column = batch.column("embedding").cast(pa.list_(pa.float64()))
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.flatnonzero(sizes > 0)
+        value = column.flatten().to_numpy(zero_copy_only=False)  # A null is not a number here.
+        at = (np.cumsum(sizes) - sizes)[rows]
+        if len(rows):
+            largest = np.maximum.reduceat(np.abs(value), at)
+            rows, at, largest = (x[np.isfinite(largest) & (largest > 0)] for x in (rows, at, largest))
+        units = []
+        for begin, size, scale in zip(at.tolist(), sizes[rows].tolist(), largest.tolist() if len(rows) else [], strict=True):
+            # Scaled first, so that no square leaves the range of doubles; adding 0 turns -0 into 0.
+            scaled = value[begin : begin + size] / scale + 0.0
+            units.append((scaled / np.sqrt(scaled @ scaled)).tobytes())
+        kept = pa.array(rows)
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(kept), batch.column("label").take(kept), pa.array(sizes[rows], pa.int32()), pa.array(units, pa.binary())], names=["vec_id", "label", "size", "unit"])
+
+
 def itq(sample: np.ndarray, seed: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Centre and rotation (principal axes, then turned to lie near the corners of a cube)."""
     centre = sample.mean(axis=0)
@@ -45,7 +66,7 @@ def fit(vectors: DataFrame, fit_vectors: int = FIT_VECTORS, rotations: int = ROT
     rows = vectors.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(fit_vectors).select("unit").collect()
     by_size: dict[int, list] = {}
     for r in rows:
-        by_size.setdefault(len(r.unit), []).append(r.unit)
+        by_size.setdefault(len(r.unit) // 8, []).append(np.frombuffer(r.unit))
     return {size: [itq(np.array(v), seed) for seed in range(rotations)] for size, v in by_size.items()}
 
 
@@ -57,12 +78,12 @@ def _codes(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
         count = len(next(iter(turns.values()))) if turns else ROTATIONS
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            sizes = pa.compute.list_value_length(batch.column("unit")).to_numpy(zero_copy_only=False)
+            sizes = batch.column("size").to_numpy()
             for size in np.unique(sizes).tolist():
                 if size not in turns:  # A length the sample lacks: rotations without learning.
                     turns[size] = [(np.zeros(size), np.linalg.qr(np.random.default_rng(s).normal(size=(size, size)))[0]) for s in range(count)]
                 rows = batch.filter(pa.array(sizes == size))
-                unit = rows.column("unit").values.to_numpy()[rows.column("unit").offset * size :][: len(rows) * size].reshape(-1, size)
+                unit = np.frombuffer(b"".join(rows.column("unit").to_pylist())).reshape(-1, size)
                 bits = np.concatenate([(unit - centre) @ turn >= 0 for centre, turn in turns[size]], axis=1)
                 short = -bits.shape[1] % PIECE_BITS
                 bits = np.pad(bits, ((0, 0), (0, short)))
@@ -103,7 +124,7 @@ def _tile(threshold: float) -> Callable[[pa.Table], pa.Table]:
         node, block, copies = (table.column(c).to_numpy() for c in ("node", "block", "copies"))
         number = table.column("piece_no")[0].as_py()
         x, y = table.column("tile_x")[0].as_py(), table.column("tile_y")[0].as_py()
-        unit = np.stack([np.asarray(v.values.to_numpy()) for v in table.column("unit")])
+        unit = np.stack([np.frombuffer(v.as_buffer()) for v in table.column("unit")])
         pieces = np.stack([np.asarray(v.values.to_numpy()) for v in table.column("pieces")])
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
         near = unit[left] @ unit[right].T >= threshold
@@ -141,20 +162,13 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, fit_vectors:
     without vec_id links with nothing, has no component and is not kept. Other columns are not read.
     """
     spark = vectors.sparkSession
-    number = F.col("embedding").cast("array<double>")
-    finite = F.forall(number, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    largest = F.array_max(F.transform(number, F.abs))
-    # Scaled by the largest component first, so that no square leaves the range of doubles.
-    scaled = F.transform("v", lambda v: v / F.col("largest"))
-    norm = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, v: s + v * v))
-    usable = vectors.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & (largest > 0))
-    usable = usable.select("vec_id", F.col("label").cast("int").alias("label"), number.alias("v"), largest.alias("largest"))
-    usable = usable.withColumn("scaled", scaled).withColumn("norm", norm).select("vec_id", "label", F.transform("scaled", lambda v: v / F.col("norm")).alias("unit"))
-    nodes = stored(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
-    members = usable.join(nodes, ["label", "unit"]).select("vec_id", "node", "copies")
+    usable = vectors.where("label IS NOT NULL AND vec_id IS NOT NULL").select("vec_id", F.col("label").cast("int").alias("label"), "embedding")
+    usable = stored(usable.mapInArrow(_units, "vec_id bigint, label int, size int, unit binary"), "units")
+    nodes = stored(usable.groupBy("label", "size", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
+    members = usable.join(nodes, ["label", "size", "unit"]).select("vec_id", "node", "copies")
 
     model = spark.sparkContext.broadcast(fit(nodes.withColumnRenamed("node", "vec_id"), fit_vectors))
-    coded = stored(nodes.select("node", "label", "unit").mapInArrow(_codes(model), "node bigint, label int, size int, pieces array<int>"), "codes")
+    coded = stored(nodes.select("node", "label", "size", "unit").mapInArrow(_codes(model), "node bigint, label int, size int, pieces array<int>"), "codes")
     entries = coded.select("node", "label", "size", "pieces", F.posexplode("pieces").alias("piece_no", "piece"))
     bucket = ["label", "size", "piece_no", "piece"]
     blocks = F.ceil(F.col("rows") / F.lit(tile_rows)).cast("int")
