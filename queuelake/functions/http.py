@@ -16,17 +16,38 @@ MESSAGE_LIMIT = 300
 EXCERPT_LIMIT = 200
 TOO_MANY_REQUESTS = 429
 SERVER_ERROR = 500
-# The three date forms of the HTTP standard, weekday removed.
-_HTTP_DATES = ("d MMM yyyy HH:mm:ss z", "d-MMM-yy HH:mm:ss z", "MMM d HH:mm:ss yyyy")
+# Dates of mail and HTTP headers, weekday optional: day, month, year, clock and zone; and the form of C's asctime.
+_DATE = r"(?i)^(?:[a-z]+,?\s*)?(\d{1,2})[\s-]+([a-z]{3})[a-z]*[\s-]+(\d{2}|\d{4})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s+([a-z]+|[+-]\d{4}))?$"
+_ASCTIME = r"(?i)^(?:[a-z]+,?\s+)?([a-z]{3})\s+(\d{1,2})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s+(\d{4})$"
+# Hours of the named zones of mail headers; any other name counts as UTC.
+_ZONE_HOURS = {
+    "AST": -4, "ADT": -3, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7,
+}
+
+
+def header_instant(text: Column) -> Column:
+    """Instant of a date header; without a zone, or with `-0000`, it is UTC. Bad dates give null."""
+    parts = lambda form, *groups: [F.regexp_extract(text, form, g) for g in groups]
+    usual = text.rlike(_DATE)
+    common, old = parts(_DATE, 3, 2, 1, 4, 5, 6), parts(_ASCTIME, 6, 1, 2, 3, 4, 5)
+    year, month, day, hour, minute, second = (F.when(usual, a).otherwise(b) for a, b in zip(common, old, strict=True))
+    century = F.when(F.length(year) == 4, "").when(year > "68", "19").otherwise("20")
+    at = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(month))
+    number = F.when(at % 3 == 1, F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"))
+    clock = F.concat_ws(":", F.lpad(hour, 2, "0"), minute, F.when(second == "", "00").otherwise(second))
+    local = F.concat(century, year, F.lit("-"), number, F.lit("-"), F.lpad(day, 2, "0"), F.lit(" "), clock).try_cast("timestamp")
+    zone = F.upper(F.regexp_extract(text, _DATE, 7))
+    hours = F.coalesce(*[F.when(zone == name, h * 3600) for name, h in _ZONE_HOURS.items()], F.lit(0))
+    offset = F.substring(zone, 2, 2).try_cast("int") * 3600 + F.substring(zone, 4, 2).try_cast("int") * 60
+    ahead = F.when(zone.startswith("+"), offset).when(zone.startswith("-"), -offset).otherwise(hours)
+    return F.when(usual | text.rlike(_ASCTIME), F.timestamp_micros(F.unix_micros(local) - ahead.cast("bigint") * 1_000_000))
 
 
 def retry_after_seconds(raw: Column, received_at: Column) -> Column:
     """Seconds to wait: a number, or an HTTP date relative to `received_at`; never below 0, null if neither."""
     number = F.when(raw.rlike(NUMBER), F.trim(raw).try_cast("double"))
     clamped = F.when(F.isnan(number), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), number))
-    bare = F.regexp_replace(F.trim(raw), r"^[A-Za-z]+,?\s+(?=\d|[A-Z])", "")
-    spaced = F.regexp_replace(bare, r"\s+", " ")
-    instant = F.coalesce(*[F.try_to_timestamp(spaced, F.lit(form)) for form in _HTTP_DATES])
+    instant = header_instant(F.trim(raw))
     ahead = (F.unix_micros(instant) - F.unix_micros(received_at.cast("timestamp"))) / 1e6
     return F.when(number.isNotNull(), clamped).when(
         instant.isNotNull(), F.greatest(F.lit(0.0), ahead)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def current_wait_time(queue: Column) -> Column:
-    """Standby wait in whole minutes, truncated; null when no standby wait is reported."""
-    return queue["STANDBY"]["waitTime"].try_cast("int")
+    """Standby wait in whole minutes, truncated; null when none is reported or it is not finite."""
+    return queue["STANDBY"]["waitTime"].try_cast("bigint")
 
 
 def price_label(price: Column) -> Column:

@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from queuelake.session import checkpoint_dir
 
 
-def descendant_closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
+def descendant_closure(edges: DataFrame) -> DataFrame:
     """All `(root_id, id, depth)` with `id` below `root_id`, from rows `(id, parent_id)`.
 
     The climb from level to level runs over parents only, which are few next to the leaves; the whole
     edge table is joined once, at the end, each edge to the ancestors of its parent. Levels are
-    checkpointed to the shared folder, so a lost executor repeats one level, not the climb. Stops when
-    no parent has a further ancestor; raises on a cycle or beyond `max_depth` levels.
+    checkpointed to the shared folder, so a lost executor repeats one level, not the climb. Edges that
+    several polls repeat count once. Stops when no parent has a further ancestor; raises on a cycle,
+    which shows when a node turns up as its own ancestor.
     """
     checkpoint_dir(edges.sparkSession)
-    linked = edges.where(F.col("parent_id").isNotNull()).select("id", "parent_id")
+    linked = edges.where(F.col("parent_id").isNotNull()).select("id", "parent_id").distinct()
     parents = linked.select(F.col("parent_id").alias("node")).distinct()
     # (node, up): parents that themselves have a parent
     climb = linked.join(parents, F.col("id") == F.col("node")).select("node", F.col("parent_id").alias("up"))
@@ -28,8 +29,8 @@ def descendant_closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
     step = climb.select(F.col("node").alias("root_id"), F.col("up").alias("next_id"))
     depth = 2
     while not frontier.isEmpty():
-        if depth > max_depth or not frontier.where("node = root_id").isEmpty():
-            raise ValueError(f"parent links are cyclic or deeper than {max_depth} levels")
+        if not frontier.where("node = root_id").isEmpty():
+            raise ValueError("parent links are cyclic")
         reach = reach.unionByName(frontier)
         depth += 1
         frontier = (

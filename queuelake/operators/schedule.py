@@ -41,9 +41,18 @@ def of_type(entries: DataFrame, kind: str) -> DataFrame:
     return entries.where(F.col("type") == kind)
 
 
+def _asked(column: str) -> Column:
+    return F.col(column).try_cast("date")
+
+
+def bad_requests(requests: DataFrame) -> DataFrame:
+    """Range requests whose start or end is not a date."""
+    return requests.where(_asked("start_date").isNull() | _asked("end_date").isNull())
+
+
 def asked_months(requests: DataFrame) -> DataFrame:
-    """Requests once per month page they touch; reversed ranges touch none."""
-    start, end = F.col("start_date").cast("date"), F.col("end_date").cast("date")
+    """Requests once per month page they touch; reversed ranges and `bad_requests` touch none."""
+    start, end = _asked("start_date"), _asked("end_date")
     months = requests.select("*", F.explode(months_between_inclusive(start, end)).alias("_m"))
     return months.select(
         "*", F.year("_m").alias("year"), F.month("_m").alias("month")
@@ -66,8 +75,8 @@ def ranges(requests: DataFrame, entries: DataFrame) -> DataFrame:
         "entity_id",
         "year",
         "month",
-        F.col("start_date").cast("string").alias("_from"),
-        F.col("end_date").cast("string").alias("_to"),
+        F.date_format(_asked("start_date"), "yyyy-MM-dd").alias("_from"),
+        F.date_format(_asked("end_date"), "yyyy-MM-dd").alias("_to"),
     )
     hits = entries.join(asked, ["entity_id", "year", "month"])
     return hits.where(F.col("date").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")

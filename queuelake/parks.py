@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from queuelake.functions import paths
 from queuelake.operators import directory, flatten, live, schedule
 from queuelake.sources import bronze
 from queuelake.sources.validate import documents
@@ -39,7 +40,10 @@ class ParkLake:
         return directory.find_many(self.destinations(), queries)
 
     def entity(self, entity_id: str) -> Entity:
-        return Entity(self._responses.where(F.col("entity_id") == entity_id))
+        # The encoded path is what storage can skip by; the decoded id settles the rest.
+        path = paths.entity_path(F.lit(entity_id))
+        own = (F.col("path") == path) | F.col("path").startswith(F.concat(path, F.lit("/")))
+        return Entity(self._responses.where(own & (F.col("entity_id") == entity_id)))
 
 
 class Entity:

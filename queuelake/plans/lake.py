@@ -20,24 +20,15 @@ _ZONES = ("Africa/Johannesburg", "America/New_York", "Asia/Tokyo", "Europe/Paris
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over all cores when it is too small to have a split for each.
-
-    A table large enough to matter has more splits than cores and is read as it lies, without a shuffle.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _spread(rows, rows)
+    """A driver table, read as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table followed as a stream of files."""
     stored = spark.read.parquet(f"{sf_dir}/events.parquet")
     reader = spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet")
-    return _spread(reader.parquet(sf_dir), stored)
-
-
-def _spread(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if stored.rdd.getNumPartitions() < cores else rows
+    return reader.parquet(sf_dir)
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -84,7 +84,7 @@ _OFFERS = f"""{_V5}, offers AS (
     FROM v5 WHERE k % 11 = 0
   UNION ALL SELECT seq, id, 6, 'PAID_STANDBY', value / 4, NULL, NULL, NULL, NULL, NULL, NULL, NULL, k FROM v5 WHERE k % 13 = 0)"""
 
-_STANDBY = "CASE WHEN k % 2 = 0 AND k % 10 <> 0 THEN CAST(trunc(value) AS INTEGER) END"
+_STANDBY = "CASE WHEN k % 2 = 0 AND k % 10 <> 0 THEN CAST(trunc(value) AS BIGINT) END"
 
 _MESSAGE = """CASE WHEN k3 = 0 THEN left(concat(status, ' ', reason, ': bad id'), 300)
     WHEN body = '' OR k3 = 2 THEN concat(status, ' ', reason)

@@ -509,7 +509,7 @@ def _(spark, sf_dir):
     table, state = scratch_path(spark, "sightings"), scratch_path(spark, "sightings-state")
     responses = _poll_stream(spark, sf_dir)
     polled_twice = responses.withColumn("poll", F.explode(F.array(F.lit(1), F.lit(2)))).drop("poll")
-    rows = stream.first_sightings(stream.live_rows(polled_twice).select("id", "name", "last_updated"))
+    rows = stream.first_sightings(stream.live_rows(polled_twice).select("id", "name", "last_updated"), "1 hour")
     stream.append_table(rows, table, state).awaitTermination()
     return spark.read.parquet(table).select("id", "name", _text("last_updated").alias("last_updated"))
 

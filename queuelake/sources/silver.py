@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from queuelake.operators import flatten
 from queuelake.sources import sinks, validate
+from queuelake.sources.bronze import route
 
 # Per kind: the typed tables made from its documents, and the folders each is stored by.
 TABLES: dict[str, dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]]] = {
@@ -22,10 +24,20 @@ TABLES: dict[str, dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, .
 }
 
 
+def unrouted(responses: DataFrame) -> DataFrame:
+    """Responses that no kind takes, in the form of rejects: rule ROUTE, and what is amiss as the field."""
+    routed = route(responses)
+    taken = F.col("endpoint").isin(*TABLES) & F.col("status").between(200, 299)
+    amiss = F.when(F.col("endpoint").isin(*TABLES), "status").otherwise("path")
+    rest = routed.where(~F.coalesce(taken, F.lit(False)))
+    return rest.select("seq", "path", "fetched_at", "body", F.lit("ROUTE").alias("rule"), amiss.alias("field"))
+
+
 def store(responses: DataFrame, location: str, delivery: str) -> None:
     """Write checked documents, typed tables and rejects of one delivery of responses below `location`.
 
-    Bodies are parsed and checked once, on the way into `documents/<kind>`; tables and rejects are made
+    Every response ends up in the documents or the rejects of its kind, or in `rejects/unrouted`: those that
+    failed, and those whose path is of no kind. Bodies are parsed and checked once, on the way into `documents/<kind>`; tables and rejects are made
     from there. Every table keeps a delivery in a folder of its own, so running a delivery again after
     a failure replaces what it left behind and nothing else.
     """
@@ -33,6 +45,7 @@ def store(responses: DataFrame, location: str, delivery: str) -> None:
     def folder(name: str) -> str:
         return f"{location}/{name}/delivery={delivery}"
 
+    sinks.write_table(unrouted(responses), folder("rejects/unrouted"), (), "overwrite")
     for kind, tables in TABLES.items():
         checked = sinks.write_checked(responses, kind, folder(f"documents/{kind}"), "overwrite")
         for name, (flat, folders) in tables.items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from queuelake.operators import flatten
 from queuelake.operators.live import current_state, queue_offers
@@ -12,9 +12,16 @@ from queuelake.schemas import BRONZE
 from queuelake.sources.validate import documents
 
 
+#: Files of one micro-batch unless an option says otherwise: a backlog becomes many batches, and watermarks move on.
+FILES_PER_TRIGGER = 1000
+#: Keyed state outgrows a heap; this store keeps it on the executors' disks and in checkpoints.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def read_responses(spark: SparkSession, location: str, **options: str) -> DataFrame:
     """Landed responses as a stream of line-delimited JSON files."""
-    return spark.readStream.schema(BRONZE).options(**options).json(location)
+    rate = {} if {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options) else {"maxFilesPerTrigger": str(FILES_PER_TRIGGER)}
+    return spark.readStream.schema(BRONZE).options(**rate, **options).json(location)
 
 
 def live_rows(responses: DataFrame) -> DataFrame:
@@ -27,46 +34,57 @@ def offers(responses: DataFrame) -> DataFrame:
     return queue_offers(live_rows(responses))
 
 
-def first_sightings(rows: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop repeated polls of one entity state. State is kept for `delay` beyond the newest update;
-    rows later than that are dropped."""
+def first_sightings(rows: DataFrame, delay: str) -> DataFrame:
+    """Drop repeated polls of one entity state. State is kept for `delay` beyond the newest update; rows later
+    than that are dropped, and counted in the query's progress as `numRowsDroppedByWatermark`."""
     watermarked = rows.withWatermark("last_updated", delay)
     return watermarked.dropDuplicatesWithinWatermark(["id", "last_updated"])
 
 
-def write_board(rows: DataFrame, location: str, checkpoint: str, *columns: str) -> StreamingQuery:
+def _started(rows: DataFrame, mode: str, checkpoint: str, trigger: str | None) -> DataStreamWriter:
+    """`trigger` is an interval to keep running by; without one, what is there now is worked off."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    when = {"processingTime": trigger} if trigger else {"availableNow": True}
+    return rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**when)
+
+
+def write_board(
+    rows: DataFrame, location: str, checkpoint: str, *columns: str, trigger: str | None = None
+) -> StreamingQuery:
     """Keep the current board (newest row per entity), one complete version per trigger.
 
-    State holds one row per entity. Each version has its own folder, written by the executors: a batch
-    repeated after a failure replaces only its own version, and the one before stays readable meanwhile.
+    State holds one row per entity. A version has its own folder, written by the executors, and counts once it
+    is published: a small table names it after it is whole. A batch repeated after a failure replaces only its
+    own version. Versions before the last published one are deleted when the next is published.
     """
 
     def store(board: DataFrame, batch: int) -> None:
-        board.write.mode("overwrite").parquet(f"{location}/batch={batch}")
+        spark = board.sparkSession
+        before = published(spark, location)
+        board.write.mode("overwrite").parquet(f"{location}/versions/{batch}")
+        spark.range(batch, batch + 1).toDF("version").coalesce(1).write.mode("append").parquet(f"{location}/published")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/versions")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(path):
+            if int(status.getPath().getName()) not in (batch, before):
+                files.delete(status.getPath(), True)
+
+    return _started(current_state(rows, *columns), "complete", checkpoint, trigger).foreachBatch(store).start()
+
 
-    return (
-        current_state(rows, *columns)
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(store)
-        .start()
-    )
+def published(spark: SparkSession, location: str) -> int | None:
+    """Number of the newest whole version, if there is one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/published")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("version bigint").parquet(f"{location}/published").agg(F.max("version")).first()[0]
 
 
 def read_board(spark: SparkSession, location: str) -> DataFrame:
-    """The newest version stored by `write_board`."""
-    versions = spark.read.parquet(location)
-    newest = versions.agg(F.max("batch")).first()[0]
-    return versions.where(F.col("batch") == newest).drop("batch")
+    """The newest version that `write_board` has published; versions being written do not show."""
+    return spark.read.parquet(f"{location}/versions/{published(spark, location)}")
 
 
-def append_table(rows: DataFrame, location: str, checkpoint: str) -> StreamingQuery:
+def append_table(rows: DataFrame, location: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Append a stateless or deduplicated stream to a Parquet table, exactly once."""
-    return (
-        rows.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .format("parquet")
-        .start(location)
-    )
+    return _started(rows, "append", checkpoint, trigger).format("parquet").start(location)

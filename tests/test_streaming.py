@@ -51,6 +51,16 @@ def test_board_stream_equals_batch(spark, feed):
     assert got.exceptAll(expected.select(got.columns)).count() == 0
 
 
+def test_unfinished_board_does_not_show(spark, feed):
+    rows = live.with_wait(stream.live_rows(stream.read_responses(spark, feed, maxFilesPerTrigger="1")))
+    table = scratch_path(spark, "board")
+    stream.write_board(rows, table, scratch_path(spark, "board-state"), "name", "wait").awaitTermination()
+    whole = stream.read_board(spark, table).count()
+    assert stream.published(spark, table) == 4
+    spark.range(3).write.parquet(f"{table}/versions/5")
+    assert stream.read_board(spark, table).count() == whole > 3
+
+
 def poll_file(folder, number, polls):
     lines = []
     for seq, (entity, minute) in enumerate(polls):
@@ -85,7 +95,7 @@ def test_repeated_polls_are_dropped_and_late_ones_too(spark, tmp_path):
 def test_dedupe_equals_batch_without_late_rows(spark, feed):
     responses = stream.read_responses(spark, feed)
     rows = stream.live_rows(responses.withColumn("again", F.explode(F.array(F.lit(1), F.lit(2)))).drop("again"))
-    got = follow(spark, stream.first_sightings(rows.select("id", "last_updated")), "once")
+    got = follow(spark, stream.first_sightings(rows.select("id", "last_updated"), "1 hour"), "once")
     expected = batch_rows(spark, feed).select("id", "last_updated").distinct()
     assert got.count() == expected.count() > 0
     assert got.exceptAll(expected).count() == 0
