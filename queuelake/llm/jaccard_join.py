@@ -35,7 +35,7 @@ from queuelake.llm.shared import components, stored, with_ids
 WORDS = 5
 PERCENT = 80
 #: Cells of the table of shingle counts, and the pieces in which it is summed.
-_CELLS, _PIECES = 1 << 21, 16
+_CELLS, _PIECES = 1 << 24, 16
 #: Hubs of a group in each round, as masks that reorder the nodes; nodes of a block; nodes of a cluster cut in blocks.
 _HUBS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
 BLOCK_NODES, CLUSTER_NODES = 512, 50_000
@@ -91,12 +91,12 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         for rows, data, offsets in textbytes.slices(batches):
             row, value = shingles(data, offsets, width)
             count, node = _digests(row, value, len(rows))
-            table += np.bincount(_cell(value), minlength=_CELLS).astype(np.uint32)
+            np.add.at(table, _cell(value), 1)
             none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(count, pa.int64()), pa.array(node, pa.int64(), mask=count == 0), none, pa.nulls(len(rows), pa.binary())], schema=schema)
         if table.any():
             none = pa.nulls(_PIECES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(_PIECES), pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in np.split(table, _PIECES)], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(_PIECES), pa.int64()), pa.array([zlib.compress(np.minimum(p, 0xFFFF).astype(np.uint16).tobytes(), 1) for p in np.split(table, _PIECES)], pa.binary())], schema=schema)
 
     return run
 
@@ -104,18 +104,18 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 def _sum_cells(table: pa.Table) -> pa.Table:
     total = np.zeros(_CELLS // _PIECES, np.uint64)
     for counts in table.column("counts"):
-        total += np.frombuffer(zlib.decompress(counts.as_py()), np.uint32)
-    # Only the order of the counts matters, so they may stop at the largest value of the type.
-    total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
+        total += np.frombuffer(zlib.decompress(counts.as_py()), np.uint16)
+    # Only the order of the counts matters: eighths of their logarithm keep it well enough in a byte each.
+    total = np.rint(8 * np.minimum(np.log2(1.0 + total), 31)).astype(np.uint8)
     return pa.table({"piece": table.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 def _counts(sets: DataFrame) -> np.ndarray:
-    """How many distinct shingles of documents fall in each cell: 8 MB, whatever the input."""
+    """How many distinct shingles of documents fall in each cell, as a logarithm: 16 MB, whatever the input."""
     rows = sets.where("piece IS NOT NULL").select("piece", "counts").groupBy("piece").applyInArrow(_sum_cells, "piece bigint, counts binary").collect()
-    table = np.zeros((_PIECES, _CELLS // _PIECES), np.uint32)
+    table = np.zeros((_PIECES, _CELLS // _PIECES), np.uint8)
     for r in rows:
-        table[r.piece] = np.frombuffer(r.counts, np.uint32)
+        table[r.piece] = np.frombuffer(r.counts, np.uint8)
     return table.ravel()
 
 
