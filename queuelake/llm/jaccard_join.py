@@ -91,7 +91,7 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         for rows, data, offsets in textbytes.slices(batches):
             row, value = shingles(data, offsets, width)
             count, node = _digests(row, value, len(rows))
-            np.add.at(table, _cell(value), 1)
+            np.add.at(table, _cell(value), np.uint32(1))
             none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(count, pa.int64()), pa.array(node, pa.int64(), mask=count == 0), none, pa.nulls(len(rows), pa.binary())], schema=schema)
         if table.any():

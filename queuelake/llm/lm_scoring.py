@@ -126,18 +126,16 @@ class Letters:
 
 
 def _count_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables = np.zeros((len(ORDERS), 2, _CELLS), np.uint32)
+    tables, one = np.zeros(len(ORDERS) * 2 * _CELLS, np.uint32), np.uint32(1)
     for batch in batches:
         for start in range(0, len(batch), 5000):
             letters = Letters(batch.column("word").slice(start, 5000))
             for bit in range(7, -1, -1):
                 cells, value = letters.cells(bit)
                 for o, cell in enumerate(cells):
-                    tables[o] += np.bincount(cell + value.astype(np.int64) * _CELLS, minlength=2 * _CELLS).astype(np.uint32).reshape(2, _CELLS) if len(cell) > _CELLS // 4 else 0
-                    if len(cell) <= _CELLS // 4:
-                        np.add.at(tables[o], (value, cell), 1)
+                    np.add.at(tables, cell + (2 * o + value.astype(np.int64)) * _CELLS, one)
     if tables.any():
-        parts = np.array_split(tables.ravel(), _PIECES)
+        parts = np.array_split(tables, _PIECES)
         yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["piece", "counts"])
 
 
@@ -157,11 +155,21 @@ class Mixer:
         self.hits = np.full((_GATES, _BINS, 2), 0.0, np.float64)
 
     @staticmethod
-    def odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-        return np.log((ones + 0.3) / (zeros + 0.3))
+    def odds(counts: np.ndarray, cells: list[np.ndarray], value: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Log odds of a one under each predictor, and how many of them have been there; bits given in `value` are
+        taken out of the counts first."""
+        odds, seen = np.empty((len(cells), len(cells[0])), np.float32), np.zeros(len(cells[0]), np.int64)
+        for o, cell in enumerate(cells):
+            zeros, ones = counts[o, 0].take(cell), counts[o, 1].take(cell)
+            if value is not None:
+                ones -= value
+                zeros -= 1 - value
+            seen += (zeros + ones) > 0
+            np.log((ones + np.float32(0.3)) / (zeros + np.float32(0.3)), out=odds[o])
+        return odds, seen
 
     def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip((self.weights[gate] * odds).sum(axis=1), -12, 12)
+        return np.clip(np.einsum("ij,ij->j", self.weights.T.take(gate, axis=1), odds), -12, 12)
 
     def refined(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Probability of a one: the mixer's and, from the neighbouring cells of the table, the refined one, averaged."""
@@ -175,12 +183,12 @@ class Mixer:
 
     def learn(self, odds: np.ndarray, gate: np.ndarray, value: np.ndarray, rate: float) -> None:
         x = self.mixed(odds, gate)
-        error = (value - 1 / (1 + np.exp(-x)))[:, None] * odds
+        error = (value - 1 / (1 + np.exp(-x))) * odds
         number = np.bincount(gate, minlength=_GATES)
-        step = np.stack([np.bincount(gate, weights=error[:, o], minlength=_GATES) for o in range(error.shape[1])], axis=1)
+        step = np.stack([np.bincount(gate, weights=e, minlength=_GATES) for e in error], axis=1)
         self.weights += (rate * step / np.maximum(number, 1)[:, None]).astype(np.float32)
         near = np.rint((x + 12) * (_BINS - 1) / 24).astype(np.int64)
-        np.add.at(self.hits, (gate, near, value.astype(np.int64)), 1)
+        self.hits += np.bincount((gate * _BINS + near) * 2 + value, minlength=self.hits.size).reshape(self.hits.shape)
 
 
 def _gate(letters: Letters, seen: np.ndarray) -> np.ndarray:
@@ -197,9 +205,8 @@ def _learn(tables) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
                 for bit in range(7, -1, -1):
                     cells, value = letters.cells(bit)
                     # The word itself is taken out of the counts that predict it.
-                    zeros = np.stack([counts[o, 0][c] - (value == 0) for o, c in enumerate(cells)], axis=1).astype(np.float32)
-                    ones = np.stack([counts[o, 1][c] - (value == 1) for o, c in enumerate(cells)], axis=1).astype(np.float32)
-                    mixer.learn(Mixer.odds(zeros, ones), _gate(letters, (zeros + ones > 0).sum(axis=1)), value, 0.02 if words > 20_000 else 0.1)
+                    odds, seen = Mixer.odds(counts, cells, value.astype(np.float32))
+                    mixer.learn(odds, _gate(letters, seen), value, 0.02 if words > 20_000 else 0.1)
         if words:
             yield pa.RecordBatch.from_arrays([pa.array([words], pa.int64()), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.hits.tobytes()], pa.binary())], names=["words", "weights", "hits"])
 
@@ -212,10 +219,9 @@ def spelling_cost(column: pa.Array, counts: np.ndarray, mixer: Mixer) -> np.ndar
     total = np.zeros(len(letters.ends))
     for bit in range(7, -1, -1):
         cells, value = letters.cells(bit)
-        zeros = np.stack([counts[o, 0][c] for o, c in enumerate(cells)], axis=1).astype(np.float32)
-        ones = np.stack([counts[o, 1][c] for o, c in enumerate(cells)], axis=1).astype(np.float32)
-        gate = _gate(letters, (zeros + ones > 0).sum(axis=1))
-        p = mixer.refined(mixer.mixed(Mixer.odds(zeros, ones), gate), gate)
+        odds, seen = Mixer.odds(counts, cells)
+        gate = _gate(letters, seen)
+        p = mixer.refined(mixer.mixed(odds, gate), gate)
         total += np.bincount(letters.word, weights=np.log(np.where(value == 1, p, 1 - p)), minlength=len(total))
     return total
 
@@ -254,7 +260,7 @@ class Corpus:
         flat = np.zeros(len(ORDERS) * 2 * _CELLS, np.uint32)
         for r, part in ((r, np.array_split(flat, _PIECES)[r.piece]) for r in pieces):
             part[:] = np.frombuffer(r.counts, np.uint32)
-        self.bits = spark.sparkContext.broadcast(flat.reshape(len(ORDERS), 2, _CELLS))
+        self.bits = spark.sparkContext.broadcast(flat.reshape(len(ORDERS), 2, _CELLS).astype(np.float32))
         self.mixer = Mixer()
         # A row of some 50 KB for each task.
         learned = self.words.select("word").mapInArrow(_learn(self.bits), "words bigint, weights binary, hits binary")
