@@ -13,6 +13,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Whole texts go to Python tasks: a batch is bounded by its bytes, not by rows alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304b",
     # HotSpot never compiles methods above 8000 bytes of bytecode. The wide typed projections here would
     # otherwise be fused into one such method and run interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
