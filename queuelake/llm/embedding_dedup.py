@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuelake.llm.shared import components, stored
+from queuelake.session import prepare
 
 THRESHOLD = 0.98
 #: Vectors drawn, by a hash of their id, to learn the rotations.
@@ -161,7 +162,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, fit_vectors:
     smallest vec_id reachable. Rows that repeat a vec_id are vectors of their own that share a node's name. A row
     without vec_id links with nothing, has no component and is not kept. Other columns are not read.
     """
-    spark = vectors.sparkSession
+    spark = prepare(vectors.sparkSession)
     usable = vectors.where("label IS NOT NULL AND vec_id IS NOT NULL").select("vec_id", F.col("label").cast("int").alias("label"), "embedding")
     usable = stored(usable.mapInArrow(_units, "vec_id bigint, label int, size int, unit binary"), "units")
     nodes = stored(usable.groupBy("label", "size", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")

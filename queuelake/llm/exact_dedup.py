@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import stored
+from queuelake.session import prepare
 
 _STEP = 10
 _MEMBERS = pa.list_(pa.struct([("doc_id", pa.int64()), ("n_points", pa.int64())]))
@@ -36,7 +37,7 @@ def _entries(key: Callable[[bytes], int], with_body: bool) -> Callable[[Iterator
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         rid = context.partitionId() << 33 if context else 0
-        for rows, data, offsets in textbytes.slices(batches, 4 << 20):
+        for rows, data, offsets in textbytes.slices(batches, 2 << 20):
             kept = ~textbytes.spaces(data)
             count = np.zeros(len(data) + 1, np.int64)
             np.cumsum(kept, out=count[1:])
@@ -139,7 +140,7 @@ def exact_groups(docs: DataFrame, bucket_bytes: int = 16 << 20, key: Callable[[b
     doc_id count as rows of their own; if such an id is the keep_id, all rows of that id and class are kept. Columns other than
     doc_id and text are not read. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark = prepare(docs.sparkSession)
     index = stored(index_entries(docs, key).drop("body"), "hash-index")
     buckets = directory(index, bucket_bytes)
     # One row per bucket: bounded by the bytes of the texts over half of bucket_bytes.

@@ -31,6 +31,7 @@ from pyspark.sql import Window as W
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import components, stored, with_ids
+from queuelake.session import prepare
 
 WORDS = 5
 PERCENT = 80
@@ -302,7 +303,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     and link with nothing. Rows that repeat a doc_id are one document with several texts. A row without doc_id links
     with nothing and has no component. Columns other than doc_id and text are not read; no rows give no rows.
     """
-    spark = docs.sparkSession
+    spark = prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sets = stored(docs.mapInArrow(_sets(width), "doc_id bigint, n_shingles bigint, node bigint, piece bigint, counts binary"), "shingle-sets")
     rows = sets.where("piece IS NULL").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))

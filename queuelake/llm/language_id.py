@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import id_hash, stored
+from queuelake.session import prepare
 
 ORDER = 5
 #: Characters of each language, on average, that the models are fitted on.
@@ -237,7 +238,7 @@ def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
     is nothing to learn from, every row is. `rejected` is a decision beside the language: lang_pred stays the nearest.
     Ties go to the language that sorts first. Columns beyond doc_id, text and lang are not read.
     """
-    spark = docs.sparkSession
+    spark = prepare(docs.sparkSession)
     model = fit(docs) if model is None else model
     langs, spread = model["langs"], model["spread"]
     place = spark.sparkContext.broadcast(model)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import id_hash, stored
+from queuelake.session import prepare
 
 #: Letters of context of each bit predictor; 0 stands for all letters so far.
 ORDERS = (1, 2, 3, 4, 6, 0)
@@ -370,6 +371,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     If no row is there to learn from, counts are 0 and every word is spelled. Rows of one id are scored apart;
     columns beyond doc_id and text are not read; no rows give no rows.
     """
+    prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     corpus = Corpus(docs)
     facts = {"tokens": corpus.tokens, "distinct": corpus.distinct, "ends": corpus.ends, "of_class": corpus.of_class, "prior": corpus.prior, "own": corpus.own}

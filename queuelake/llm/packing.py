@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
+from queuelake.session import prepare
 
 SEQUENCE = 1024
 #: Documents in a group on average; the group's rows are all that one task holds.
@@ -150,6 +151,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k", capacity: i
     Null and empty texts are one end id. Rows with equal ids are packed as separate documents. No rows give no rows;
     other columns are not read.
     """
+    prepare(docs.sparkSession)
     groups = max(1, -(-docs.count() // group_docs))
     pieces = docs.select("doc_id", "text").mapInArrow(_cut(tokenizer, capacity, end_id, keep_ids), _PIECE)
     return pack(pieces if keep_ids else pieces.drop("ids"), groups, capacity).drop("spread")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import stored
+from queuelake.session import prepare
 
 WIDTH, GRAM = 200, 64
 RUN_ROWS = 20_000
@@ -341,6 +342,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, run_ro
     judged on the input; strings never cross documents. Texts shorter than `width`, empty and null ones (0 bytes)
     lose nothing. Rows are documents even where ids repeat. Other columns are not read; no rows give no rows.
     """
+    prepare(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
     marks = repeated_intervals(docs, width, gram, run_rows).withColumn("several", F.lit(None).cast("int"))
     copies = rows.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key", F.lit(None).cast("bigint").alias("pos"), F.lit(None).cast("int").alias("n"), F.lit(1).alias("several"))

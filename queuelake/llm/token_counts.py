@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from queuelake.llm import textbytes
+from queuelake.session import prepare
 
 VOCABULARY = "byte_bpe_50k"
 _NONE = -1
@@ -123,4 +124,5 @@ def count_tokens(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     into the longest pieces of the vocabulary; single bytes are pieces. Null, empty and blank texts have none. Rows
     that repeat count alike; columns beyond doc_id and text are not read; no rows give no rows.
     """
+    prepare(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_count(name), "doc_id bigint, n_bytes bigint, n_words bigint, n_tokens bigint, longest_word_tokens bigint")

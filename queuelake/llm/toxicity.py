@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from queuelake.llm import textbytes
 from queuelake.llm.shared import id_hash, stored
+from queuelake.session import prepare
 
 WINDOW, STRIDE = 24, 12
 #: Labelled documents to learn from: at most so many toxic and others, none longer than so many bytes.
@@ -290,6 +291,7 @@ def toxicity(docs: DataFrame, labels: DataFrame | None = None, network: Network
     modulo 3 is 1 (null ids count as empty text). Null and empty texts and texts without letters or digits score 0.
     Repeated rows score alike; columns beyond doc_id and text are not read; no rows give no rows.
     """
+    prepare(docs.sparkSession)
     network = fit(docs, labels) if network is None else network
     place = docs.sparkSession.sparkContext.broadcast(network)
     rows = docs.select("doc_id", (id_hash() % 3 == 1).alias("held_out"), "text")
