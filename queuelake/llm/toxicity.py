@@ -26,7 +26,7 @@ WINDOW, STRIDE = 24, 12
 FIT_TOXIC, FIT_OTHER, FIT_BYTES = 1500, 3000, 20_000
 CUT = 0.7
 _HIDDEN, _WORD, _CHAR, _CHAR_CELLS = 8, 8, 8, 4096
-_STEPS, _BATCH, _RESCORE = 1800, 192, 150
+_STEPS, _BATCH, _RESCORE = 1000, 192, 125
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[48:58] = _LETTERS[97:123] = _LETTERS[128:] = True
