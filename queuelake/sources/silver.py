@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queuelake.operators import flatten
+from queuelake.schemas import BRONZE
 from queuelake.sources import sinks, validate
 from queuelake.sources.bronze import route
 
@@ -51,3 +53,24 @@ def store(responses: DataFrame, location: str, delivery: str) -> None:
         for name, (flat, folders) in tables.items():
             sinks.write_table(flat(validate.accepted(checked)), folder(name), folders, "overwrite")
         sinks.write_table(validate.rejected(checked, kind), folder(f"rejects/{kind}"), (), "overwrite")
+
+
+def read(spark: SparkSession, location: str, name: str) -> DataFrame:
+    """A stored table, by its name or as `documents/<kind>`, `rejects/<kind>` or `rejects/unrouted`, all deliveries.
+
+    The schema is that of the code, not of the files: a kind that no delivery had a row of reads as empty, and
+    `delivery` is text whatever its values look like.
+    """
+    nothing = spark.createDataFrame([], BRONZE)
+    group, _, kind = name.partition("/")
+    if name == "rejects/unrouted":
+        rows = unrouted(nothing)
+    elif group == "rejects":
+        rows = validate.rejects(nothing, kind)
+    elif group == "documents":
+        rows = validate.check(nothing, kind)
+    else:
+        kind, flat = next((k, tables[name][0]) for k, tables in TABLES.items() if name in tables)
+        rows = flat(validate.documents(nothing, kind))
+    schema = T.StructType([*rows.schema.fields, T.StructField("delivery", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{location}/{name}")
