@@ -273,3 +273,10 @@ ORACLE: dict[str, str] = {
     "q73_stream_first_sightings": f"""WITH {_V5} SELECT DISTINCT id, name, strftime(last_updated, {_T}) AS last_updated FROM v5""",
     "q74_stream_board": f"WITH {_NEWEST_LIVE} {_BOARD}",
 }
+
+ORACLE["q80_stored_month_page"] = ORACLE["q06_month_page"]
+ORACLE["q81_stored_offers"] = ORACLE["q21_queue_offers"]
+ORACLE["q82_stored_rejects"] = " UNION ALL ".join(
+    f"SELECT seq, rule, field FROM ({ORACLE[name]})"
+    for name in ("q10_rejects_unreadable", "q11_rejects_required", "q12_rejects_domain", "q13_rejects_naive_instant")
+)

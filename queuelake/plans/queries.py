@@ -25,7 +25,7 @@ from queuelake.operators import (
 )
 from queuelake.plans import lake
 from queuelake.session import prepare, scratch_path
-from queuelake.sources import bronze, validate
+from queuelake.sources import bronze, silver, sinks, validate
 from queuelake.streaming import live as stream
 
 RANGE_START, RANGE_END = dt.date(1996, 12, 30), dt.date(1997, 11, 5)
@@ -181,10 +181,8 @@ def _(spark, sf_dir):
     return parks.select("destination_id", "park_ord", "park_id", "park_name")
 
 
-@query("q21_queue_offers")
-def _(spark, sf_dir):
-    offers = live.queue_offers(_live(spark, sf_dir))
-    return offers.select(
+def _offers(rows: DataFrame) -> DataFrame:
+    return live.queue_offers(rows).select(
         "seq",
         "variant_ord",
         "type",
@@ -203,6 +201,11 @@ def _(spark, sf_dir):
     )
 
 
+@query("q21_queue_offers")
+def _(spark, sf_dir):
+    return _offers(_live(spark, sf_dir))
+
+
 @query("q22_queue_wide")
 def _(spark, sf_dir):
     wide = live.queue_wide(_live(spark, sf_dir))
@@ -521,3 +524,28 @@ def _(spark, sf_dir):
     stream.write_board(rows, table, state, "name", "status", "wait").awaitTermination()
     board = stream.read_board(spark, table)
     return board.select("id", "name", "status", "wait", _text("last_updated").alias("last_updated"), "seq")
+
+
+@query("q80_stored_month_page")
+def _(spark, sf_dir):
+    """One month of a lake stored by endpoint, year and month: a scan of its folder."""
+    location = scratch_path(spark, "bronze")
+    sinks.write_bronze(lake.schedule_responses(spark, sf_dir), location)
+    pages = bronze.month_page(bronze.read_bronze(spark, location), PAGE_YEAR, PAGE_MONTH)
+    return flatten.schedule(validate.documents(pages, "schedule")).select("seq", "entity_id", "year", "month", "date", "type")
+
+
+@query("q81_stored_offers")
+def _(spark, sf_dir):
+    """Offers answered from the typed live table."""
+    location = scratch_path(spark, "silver")
+    silver.store(lake.live_responses(lake.polls(spark, sf_dir)), location, "all")
+    return _offers(silver.read(spark, location, "live"))
+
+
+@query("q82_stored_rejects")
+def _(spark, sf_dir):
+    """Every response that a delivery did not take: what is wrong with it, from the stored rejects."""
+    location = scratch_path(spark, "silver")
+    silver.store(lake.faulty_responses(spark, sf_dir), location, "all")
+    return silver.read(spark, location, "rejects/live").select("seq", "rule", "field")
