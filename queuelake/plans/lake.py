@@ -484,14 +484,15 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(digit == 2, "Not Found")
         .when(digit >= 5, "OK")
     )
+    later = F.col("ts").cast("timestamp") + F.expr("INTERVAL 90 SECONDS")
     hint = (
         F.when(forty == 0, "3")
         .when(forty == 10, "-2")
-        .when(forty == 20, "not-a-date-ever")
-        .when(forty == 30, "Wed, 21 Oct 2015 07:28:00 GMT")
+        .when(forty == 20, "whenever suits")
+        .when(forty == 30, F.concat(F.date_format(later, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")))
     )
     body = (
-        F.when(third == 0, '{"error":"bad id"}')
+        F.when(third == 0, '{"error":"no such ride"}')
         .when(third == 1, F.repeat(F.lit("x"), F.lit(150) + k))
         .otherwise("")
     )

@@ -35,10 +35,10 @@ _V9 = f"""{_V5}, v9 AS (
     CASE WHEN k % 10 = 0 THEN 'Too Many Requests' WHEN k % 10 = 1 THEN 'Bad Gateway' WHEN k % 10 = 2 THEN 'Not Found'
       WHEN k % 10 IN (3, 4) THEN NULL ELSE 'OK' END AS reason,
     CASE WHEN k % 10 = 3 THEN 'timeout' WHEN k % 10 = 4 THEN 'network' END AS failure,
-    CASE WHEN k % 40 = 0 THEN '3' WHEN k % 40 = 10 THEN '-2' WHEN k % 40 = 20 THEN 'not-a-date-ever'
-      WHEN k % 40 = 30 THEN 'Wed, 21 Oct 2015 07:28:00 GMT' END AS retry_after,
+    CASE WHEN k % 40 = 0 THEN '3' WHEN k % 40 = 10 THEN '-2' WHEN k % 40 = 20 THEN 'whenever suits'
+      WHEN k % 40 = 30 THEN strftime(last_updated + INTERVAL 90 SECOND, '%a, %d %b %Y %H:%M:%S GMT') END AS retry_after,
     CASE k % 3 WHEN 0 THEN 'application/json' WHEN 1 THEN 'text/plain' ELSE 'application/json; charset=utf-8' END AS content_type,
-    CASE k % 3 WHEN 0 THEN '{{"error":"bad id"}}' WHEN 1 THEN repeat('x', 150 + k) ELSE '' END AS body
+    CASE k % 3 WHEN 0 THEN '{{"error":"no such ride"}}' WHEN 1 THEN repeat('x', 150 + k) ELSE '' END AS body
   FROM v5)"""
 
 _V10 = f"""{_V5}, v10 AS (
@@ -86,7 +86,7 @@ _OFFERS = f"""{_V5}, offers AS (
 
 _STANDBY = "CASE WHEN k % 2 = 0 AND k % 10 <> 0 THEN CAST(trunc(value) AS BIGINT) END"
 
-_MESSAGE = """CASE WHEN k3 = 0 THEN left(concat(status, ' ', reason, ': bad id'), 300)
+_MESSAGE = """CASE WHEN k3 = 0 THEN left(concat(status, ' ', reason, ': no such ride'), 300)
     WHEN body = '' OR k3 = 2 THEN concat(status, ' ', reason)
     WHEN length(body) > 200 THEN concat(status, ' ', reason, ': ', left(body, 200), '...')
     ELSE concat(status, ' ', reason, ': ', body) END"""
@@ -94,7 +94,7 @@ _MESSAGE = """CASE WHEN k3 = 0 THEN left(concat(status, ' ', reason, ': bad id')
 _K3 = "CASE content_type WHEN 'application/json' THEN 0 WHEN 'text/plain' THEN 1 ELSE 2 END"
 
 _HINT = """CASE retry_after WHEN '3' THEN CAST(3 AS DOUBLE) WHEN '-2' THEN CAST(0 AS DOUBLE)
-    WHEN 'Wed, 21 Oct 2015 07:28:00 GMT' THEN CAST(0 AS DOUBLE) END"""
+    ELSE (epoch_us(try_strptime(retry_after, '%a, %d %b %Y %H:%M:%S GMT')) - epoch_us(received_at)) / 1e6 END"""
 
 _OUTCOME = """CASE WHEN failure = 'timeout' THEN 'timeout' WHEN failure = 'network' THEN 'network'
     WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status = 429 THEN 'rate_limited'
