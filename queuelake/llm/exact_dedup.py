@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,7 +127,7 @@ def _owner(table: pa.Table) -> pa.Table:
             chain.append((body, rid))
         heads.append(rid if head is None else head)
     first = pa.array(np.array(heads) == table.column("rid").to_numpy()) if heads else pa.array([], pa.bool_())
-    bodies = pa.compute.if_else(pa.compute.and_(first, pa.compute.greater(table.column("pages"), 1)), table.column("body"), pa.scalar(None, pa.binary()))
+    bodies = pc.if_else(pc.and_(first, pc.greater(table.column("pages"), 1)), table.column("body"), pa.scalar(None, pa.binary()))
     return table.set_column(table.schema.get_field_index("body"), "body", bodies).append_column("head", pa.array(heads, pa.int64())).select(
         ["rid", "key", "sha", "members", "body", "head"]
     )

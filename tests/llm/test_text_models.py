@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tests_prose import prose
 
-from queuelake.llm import language_id, lm_scoring, packing, source_mixing, token_counts, toxicity
+from queuelake.llm import language_id, lm_scoring, packing, source_mixing, textbytes, token_counts, toxicity
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -183,7 +183,7 @@ def test_kneser_ney_sums_to_one():
 
 
 def test_network_gradients():
-    words = toxicity.Words(*__import__("queuelake.llm.textbytes", fromlist=["utf8"]).utf8(pa.array(["some small words here", "and other ones"])))
+    words = toxicity.Words(*textbytes.utf8(pa.array(["some small words here", "and other ones"])))
     net = toxicity.Network(np.sort(words.hashes), 3)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
     token, live = toxicity._layout(words, np.arange(2))
@@ -229,7 +229,7 @@ def test_toxicity(spark, as_docs, odd_rows):
 
 def test_windows_cover_every_word():
     for n in (0, 1, 11, 24, 25, 36, 37, 100):
-        words = toxicity.Words(*__import__("queuelake.llm.textbytes", fromlist=["utf8"]).utf8(pa.array([" ".join(f"w{i}" for i in range(n))])))
+        words = toxicity.Words(*textbytes.utf8(pa.array([" ".join(f"w{i}" for i in range(n))])))
         covered = {k for f, s in zip(words.window_first.tolist(), words.window_size.tolist(), strict=True) for k in range(f, f + s)}
         assert covered == set(range(n)) and all(s > 0 for s in words.window_size)
 
