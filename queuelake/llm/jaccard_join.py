@@ -11,7 +11,7 @@
    which are intersected exactly. What links is merged into components.
 4. Lists that still hold nodes of different components are joined into clusters. A cluster's nodes, ordered by size,
    are cut into blocks; two blocks whose sizes can link are a tile, where every pair of nodes of different components
-   is tried, by bitmaps and then exactly. No pair that could join two components is left out. Should a cluster
+   is tried, by longer bitmaps and then exactly. No pair that could join two components is left out. Should a cluster
    outgrow `CLUSTER_NODES`, its lists propose their pairs one by one instead.
 
 Hashes have 64 bits and stand for the words.
@@ -162,9 +162,9 @@ def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held[0]
 
 
-def _signature(value: np.ndarray) -> bytes:
-    """Bitmap of the lowest hash bits; its length is a power of two of at least four times the set's size."""
-    bits = 1 << max(6, int(4 * len(value) - 1).bit_length())
+def _signature(value: np.ndarray, factor: int = 4) -> bytes:
+    """Bitmap of the lowest hash bits; its length is a power of two of at least `factor` times the set's size."""
+    bits = 1 << max(6, int(factor * len(value) - 1).bit_length())
     marks = np.zeros(bits, np.uint8)
     marks[(value & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(marks, bitorder="little").tobytes()
@@ -182,15 +182,15 @@ def _links(shared: int, n_a: int, n_b: int, percent: int) -> bool:
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def _candidates(width: int, bits: bool, arrays: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Bitmaps and sorted arrays of documents, as asked."""
+def _candidates(width: int, factor: int, arrays: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bitmaps (unless the factor is 0) and sorted arrays of documents, as asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in textbytes.slices(batches):
             row, value = shingles(data, offsets, width)
             count, node = _digests(row, value, len(rows))
             sets = np.split(value, np.cumsum(count)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count, pa.int64()), pa.array([_signature(s) for s in sets] if bits else [None] * len(sets), pa.binary()), pa.array([s.tobytes() for s in sets] if arrays else [None] * len(sets), pa.binary())], names=["node", "n", "bits", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count, pa.int64()), pa.array([_signature(s, factor) for s in sets] if factor else [None] * len(sets), pa.binary()), pa.array([s.tobytes() for s in sets] if arrays else [None] * len(sets), pa.binary())], names=["node", "n", "bits", "hashes"])
 
     return run
 
@@ -231,59 +231,57 @@ class _Sets:
         self.docs, self.width, self.percent = docs, width, percent
         self.of_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    def of(self, nodes: DataFrame, bits: bool = True, arrays: bool = True) -> DataFrame:
+    def of(self, nodes: DataFrame, factor: int, arrays: bool = False) -> DataFrame:
         ids = stored(self.of_node.join(nodes, "node", "left_semi").select("doc_id"), "set-ids")
-        return stored(with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, bits, arrays), "node bigint, n bigint, bits binary, hashes binary"), "sets")
+        return stored(with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, factor, arrays), "node bigint, n bigint, bits binary, hashes binary"), "sets")
 
     def verified(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         """Of proposed pairs (a, b), those that link."""
         side = lambda sets, x, what: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col(what).alias(f"{what}_{x}"))
         near = pairs.join(side(bitmaps, "a", "bits"), "a").join(side(bitmaps, "b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        near = stored(near.mapInArrow(_pass_bound(self.percent), "a bigint, b bigint"), "near-pairs")
-        arrays = self.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), bits=False)
+        return self.exact(near.mapInArrow(_pass_bound(self.percent), "a bigint, b bigint"))
+
+    def exact(self, near: DataFrame) -> DataFrame:
+        """Of pairs whose bitmaps allow it, those that link."""
+        side = lambda sets, x, what: sets.select(F.col("node").alias(x), F.col(what).alias(f"{what}_{x}"))
+        near = stored(near, "near-pairs")
+        arrays = self.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 0, arrays=True)
         met = near.join(side(arrays, "a", "hashes"), "a").join(side(arrays, "b", "hashes"), "b").select("a", "b", "hashes_a", "hashes_b")
         return stored(met.mapInArrow(_intersect(self.percent), "a bigint, b bigint"), "near-links")
 
 
 def _tile(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Links between nodes of different components in two blocks, enough to join what they join."""
+    """Pairs of nodes of different components in two blocks whose bitmaps let them link."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         node, size, component, block = (table.column(c).to_numpy() for c in ("node", "n", "component", "block"))
         x, y = table.column("tile_x")[0].as_py(), table.column("tile_y")[0].as_py()
         bodies = [np.frombuffer(b.as_buffer(), np.uint8) for b in table.column("bits")]
-        hashes = [np.frombuffer(b.as_buffer(), np.uint64) for b in table.column("hashes")]
         least = min(map(len, bodies))
         bits = np.stack([np.bitwise_or.reduce(b.reshape(-1, least), axis=0) for b in bodies]).view(np.uint64)
         right = np.flatnonzero(block == y)
-        parent = {c: c for c in component.tolist()}
-
-        def find(c: int) -> int:
-            while parent[c] != c:
-                parent[c] = c = parent[parent[c]]
-            return c
-
-        out: list[tuple[int, int]] = []
+        out: list[np.ndarray] = []
         for i in np.flatnonzero(block == x).tolist():
             # Two nodes of one block are tried once.
             others = right[right > i] if x == y else right
             lacks = np.bitwise_count(bits[i] & ~bits[others]).sum(axis=1, dtype=np.int64)
             lacked = np.bitwise_count(bits[others] & ~bits[i]).sum(axis=1, dtype=np.int64)
             bound = np.minimum(size[i] - lacks, size[others] - lacked)
-            for j in others[(component[others] != component[i]) & (100 * bound >= percent * (size[i] + size[others] - bound))].tolist():
-                p, q = find(int(component[i])), find(int(component[j]))
-                if p != q and _links(_shared(hashes[i], hashes[j]), len(hashes[i]), len(hashes[j]), percent):
-                    parent[max(p, q)] = min(p, q)
-                    out.append((int(node[i]), int(node[j])))
-        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+            near = others[(component[others] != component[i]) & (100 * bound >= percent * (size[i] + size[others] - bound))]
+            out.append(np.stack([np.full(len(near), node[i]), node[near]]))
+        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
     return run
 
 
 def _of_clusters(clusters: DataFrame, sets: _Sets, percent: int, block_nodes: int) -> DataFrame:
-    """Links found in tiles of blocks; clusters has cluster, node, component."""
-    full = sets.of(clusters.select("node"))
+    """Links found in tiles of blocks; clusters has cluster, node, component.
+
+    Bitmaps of these nodes are long, so that hardly a pair passes them that does not link.
+    """
+    full = sets.of(clusters.select("node"), 16)
     placed = clusters.join(full.select("node", "n"), "node").withColumn("block", F.floor((F.row_number().over(W.partitionBy("cluster").orderBy("n", "node")) - 1) / block_nodes).cast("int"))
     placed = stored(placed, "cluster-blocks")
     blocks = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -291,8 +289,8 @@ def _of_clusters(clusters: DataFrame, sets: _Sets, percent: int, block_nodes: in
     y = blocks.select("cluster", F.col("block").alias("tile_y"), F.col("low").alias("low_y"))
     tiles = x.join(y, "cluster").where(f"tile_x <= tile_y AND 100 * high_x >= {percent} * low_y").select("cluster", "tile_x", "tile_y")
     of_block = tiles.select("*", F.explode(F.array_distinct(F.array("tile_x", "tile_y"))).alias("block"))
-    rows = placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]).join(full, "node")
-    return rows.groupBy("cluster", "tile_x", "tile_y").applyInArrow(_tile(percent), "a bigint, b bigint")
+    rows = placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]).join(full.drop("hashes"), "node")
+    return sets.exact(rows.groupBy("cluster", "tile_x", "tile_y").applyInArrow(_tile(percent), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, block_nodes: int = BLOCK_NODES, cluster_nodes: int = CLUSTER_NODES) -> DataFrame:
@@ -314,7 +312,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     sorted_lists = listed.repartition("shingle").sortWithinPartitions("shingle", "node")
     lists = stored(sorted_lists.mapInArrow(_in_lists, "shingle bigint, node bigint, size int"), "shingle-lists")
     sets = _Sets(docs, rows, width, percent)
-    bitmaps = sets.of(lists.select("node").distinct(), arrays=False)
+    bitmaps = sets.of(lists.select("node").distinct(), 4)
 
     found, open_lists = None, lists.withColumn("component", F.col("node"))
     for turn in range(2):
