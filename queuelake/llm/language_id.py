@@ -27,7 +27,7 @@ ORDER = 5
 #: Characters of each language, on average, that the models are fitted on.
 FIT_SYMBOLS = 4_000_000
 #: A document is rejected beyond this many standard deviations and this factor of its language's cross-entropy.
-REJECT_DEVIATIONS, REJECT_FACTOR = 12.0, 1.5
+REJECT_DEVIATIONS, REJECT_FACTOR = 12.0, 2.0
 _FACTOR = [pow(0x9E6C63D0876A9A99, k, 1 << 64) for k in range(ORDER)]
 _CACHE_CELLS = 1 << 22
 
