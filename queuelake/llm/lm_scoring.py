@@ -45,7 +45,7 @@ _PRIOR = 20.0
 _CLASSES = 64
 #: The same for the words of a class, apart and per share of all tokens that such a word has.
 _CLASS_PRIOR, _SHARE_PRIOR = 300.0, 2e6
-_BLOCK_BYTES = 8 << 20
+_BLOCK_BYTES = 4 << 20
 _LN10 = float(np.log(10))
 
 
