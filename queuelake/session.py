@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import PurePosixPath
+import os
+import shutil
+from pathlib import Path, PurePosixPath
 from uuid import uuid4
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 _RUNTIME_CONF = {
@@ -26,9 +29,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in _RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    _ship(spark)
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the Python tasks, unless their path or working folder has it anyway."""
+    root = Path(__file__).resolve().parent.parent
+    known = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if any(Path(p).resolve() == root for p in known) or spark.conf.get("spark.queuelake.shipped", None):
+        return
+    folder = Path(SparkFiles.getRootDirectory()) / "shipped"
+    folder.mkdir(exist_ok=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(str(folder / "queuelake"), "zip", root, "queuelake"))
+    spark.conf.set("spark.queuelake.shipped", "true")
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the engine's settings; `master` and sizes come from spark-submit on a cluster."""
     builder = SparkSession.builder.appName(app)
