@@ -14,9 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from queuelake.llm.shared import stored
+
 REPETITION_LIMIT = 2.0
 BLOCK_TOKENS = 1 << 20
 _STEPS, _SHARPEST = 60, 8.0
+#: Most rows of a table of sources or blocks that is sent to every executor; a larger one is joined by a shuffle.
+_BROADCAST_ROWS = 500_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -26,6 +30,12 @@ def _hash(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
+def _sent(facts: DataFrame, name: str) -> DataFrame:
+    """A small table stored once, and sent along to the documents while its size allows."""
+    facts = stored(facts, name)
+    return F.broadcast(facts) if facts.count() <= _BROADCAST_ROWS else facts
+
+
 def exponent(sources: DataFrame, repetition_limit: float | None, target_entropy: float | None) -> float:
     """Bisected over the array of shares, one number for each source."""
     shares = sources.agg(F.sort_array(F.collect_list(F.col("tokens").cast("double"))).alias("t"))
@@ -80,6 +90,8 @@ def mix(docs: DataFrame, repetition_limit: float | None = REPETITION_LIMIT, targ
     sources = sources.select("_source", "tokens", passes, F.ceil(F.col("tokens") / block_tokens).cast("bigint").alias("blocks"))
     sources = sources.withColumn("whole", F.floor(F.col("passes") + 1e-9)).withColumn("budget", F.round((F.col("passes") - F.col("whole")) * F.col("tokens")).cast("bigint"))
 
+    sources = _sent(sources, "mix-sources")
+
     block = F.pmod("_turn", "blocks").alias("_block")
     placed = small.join(sources, "_source").select("_source", "_tokens", "_turn", block, "whole", "passes", "budget", "tokens")
     blocks = placed.groupBy("_source", "_block", "whole", "passes", "budget", "tokens").agg(F.sum("_tokens").alias("size"))
@@ -94,7 +106,8 @@ def mix(docs: DataFrame, repetition_limit: float | None = REPETITION_LIMIT, targ
     limit = F.when(F.col("before") >= F.col("budget"), -1).when(F.col("before") + F.col("size") <= F.col("budget"), (1 << 62)).otherwise(F.col("last"))
     blocks = blocks.join(last, ["_source", "_block"], "left").select("_source", "_block", "whole", "passes", "tokens", "before", F.coalesce(limit, F.lit(-1)).cast("bigint").alias("limit"))
 
-    # Sources and blocks carry their facts to the documents; Spark sends them along while they are small.
+    blocks = _sent(blocks, "mix-blocks")
+
     every = named.select(F.struct(*named.columns).alias("_row"), source, turn.alias("_turn")).join(sources.select("_source", "blocks"), "_source").withColumn("_block", F.pmod("_turn", "blocks"))
     every = every.join(blocks, ["_source", "_block"])
     copies = F.sequence(F.lit(0), (F.col("whole") - 1 + F.when(F.col("_turn") <= F.col("limit"), 1).otherwise(0)).cast("int"))
