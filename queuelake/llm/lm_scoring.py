@@ -1,20 +1,17 @@
 """Language-model scoring by logistic context mixing.
 
-The text of a document is a sequence of words (lower-case A-Z, split at white space) and one end. A word is coded in
-two parts: its class, which is the number of binary digits of its count in the training documents (0: they lack it),
-and then which word of the class it is. A word they have gets its share of the class's tokens. A word they lack is
-spelled, bit by bit: several predictors, each a table of bit counts under
-a hash of the last letters (or of all letters so far), are turned into log odds and added with weights from a gate,
-which is chosen by the place in the word and by how many of the contexts have been seen. An adaptive table refines the
-sum under the same gate. Tables, weights and refinement are learned from every word of the training documents: tables
-by counting, weights online over the words, each predicted as if it had not been counted; parts of the words learn
-apart and are averaged. Both are predicted adaptively within each document: the class from the classes so far and
-those that a tenth of the training documents show against the rest, the word from the class's words so far and its
-share; rare words repeat in a document more readily than common ones. Order does not matter to these predictions, so
-a document's probability follows from how often it has each word.
-
-Everything gathered from the corpus grows with it: counts of all words, joined to the words of each block of
-documents. Only the bit tables have a fixed size.
+The text of a document is a sequence of words (lower-case A-Z, split at white space) and one end, which counts as the
+empty word. Every word is coded letter by letter and bit by bit, up to a closing zero: several predictors, each a
+table of bit counts under a hash of the last letters, of all letters of the word so far, or of these and the word
+before, are turned into log odds and added with weights from a gate, which is chosen by the place in the word and by
+how many of the contexts have been seen. An adaptive table refines the sum under the same gate. Tables, weights and
+refinement are learned from every token of the training documents: tables by counting, weights online, each token
+predicted as if it had not been counted; parts of the tokens learn apart and are averaged. A block of documents works
+out each distinct pair of a word and the word before it once, with the number of its tokens as its weight. Within a
+document the mixer's probability of a word is averaged with the word's share of the document so far.
+
+Counts of all words, for the base, grow with the corpus and are joined to the words of each block. Only the bit
+tables have a fixed size.
 """
 
 from __future__ import annotations
@@ -33,73 +30,101 @@ from queuelake.llm import textbytes
 from queuelake.llm.shared import id_hash, stored
 from queuelake.session import prepare
 
-#: Letters of context of each bit predictor; 0 stands for all letters so far.
-ORDERS = (1, 2, 3, 4, 6, 0)
-_CELLS = 1 << 18
-_PIECES = 8
+#: Letters of context of each bit predictor; 0 stands for all letters so far, -1 for those and the word before.
+ORDERS = (1, 2, 3, 4, 6, 0, -1)
+_CELLS = 1 << 20
+_PIECES = 64
 _PLACES, _LEVELS = 8, len(ORDERS) + 1
 _GATES = _PLACES * _LEVELS
 _BINS = 33
-#: How many words' worth of evidence the corpus-wide shares of the classes are, against a document's own words.
-_PRIOR = 20.0
-_CLASSES = 64
-#: The same for the words of a class, apart and per share of all tokens that such a word has.
-_CLASS_PRIOR, _SHARE_PRIOR = 300.0, 2e6
-_BLOCK_BYTES = 4 << 20
-_LN10 = float(np.log(10))
+#: How many tokens of a document's own the mixer's probability is worth.
+_PRIOR = 1000.0
+_BLOCK_BYTES = 16 << 20
+#: Pairs worked out and learned from at once.
+_CHUNK, _LESSON = 16384, 8192
 
 
 # --- words of blocks ---------------------------------------------------------------------------------------------
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a slice, how often it has them, and how often in documents of the part set against the rest."""
-    for rows, data, offsets in textbytes.slices(batches, 4 << 20):
+    """Words of a slice and how often it has them."""
+    for _, data, offsets in textbytes.slices(batches, 4 << 20):
         data = textbytes.lower(data)
-        starts, ends, row = textbytes.words(data, offsets)
-        _, first, token, n = np.unique(textbytes.span_hashes(textbytes.prefix_sums(data), starts, ends), return_index=True, return_inverse=True, return_counts=True)
-        apart = rows.column("apart").to_numpy(zero_copy_only=False).astype(bool)
-        there = np.bincount(token[apart[row]], minlength=len(n))
-        yield pa.RecordBatch.from_arrays([textbytes.gather(data, starts[first], ends[first]), pa.array(n, pa.int64()), pa.array(there, pa.int64())], names=["word", "n", "apart"])
+        starts, ends, _ = textbytes.words(data, offsets)
+        _, first, n = np.unique(textbytes.span_hashes(textbytes.prefix_sums(data), starts, ends), return_index=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([textbytes.gather(data, starts[first], ends[first]), pa.array(n, pa.int64())], names=["word", "n"])
 
 
-_POSTINGS = "block bigint, word binary, rows binary, times binary, doc_ids array<bigint>, held_out array<boolean>, bytes array<bigint>"
+class Tokens:
+    """Tokens of a slice in order, ends of documents included: their rows, the distinct words (in `words`, `word` for
+    each pair) and the distinct pairs of a word and the hash of the one before (`before`, `pair` for each token)."""
 
-
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each block of documents, a row for each distinct word (in which rows, how often) and one that names the rows."""
-    context = TaskContext.get()
-    block = context.partitionId() << 32 if context else 0
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
-    names = [c.split()[0] for c in _POSTINGS.split(", ")]
-    for docs, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
-        low = textbytes.lower(data)
+    def __init__(self, low: np.ndarray, offsets: np.ndarray) -> None:
         starts, ends, row = textbytes.words(low, offsets)
-        word, first, token = np.unique(textbytes.span_hashes(textbytes.prefix_sums(low), starts, ends), return_index=True, return_inverse=True)
-        pair, times = np.unique(token.astype(np.int64) * len(docs) + row, return_counts=True)
-        word_of, row_of = pair // max(1, len(docs)), (pair % max(1, len(docs))).astype(np.uint16)
-        begin, size = textbytes.runs(word_of)
-        cut = lambda values, width: pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(begin, len(pair)).astype(np.int32) * np.int32(width)), pa.py_buffer(values.tobytes())])
-        none = lambda kind: pa.nulls(len(size), kind)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(size), block)), textbytes.gather(low, starts[first], ends[first]), cut(row_of, 2), cut(times.astype(np.uint32), 4), *(none(k) for k in kinds[4:])], names=names
-        )
-        named = [[docs.column("doc_id").to_pylist()], [docs.column("held_out").to_pylist()], [np.diff(offsets).tolist()]]
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b""], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *(pa.array(v, k) for v, k in zip(named, kinds[4:], strict=True))], names=names)
-        block += 1
+        rows = np.arange(len(offsets) - 1)
+        close = np.searchsorted(row, rows, "right")
+        starts, ends, self.row = np.insert(starts, close, offsets[1:]), np.insert(ends, close, offsets[1:]), np.insert(row, close, rows)
+        own = textbytes.span_hashes(textbytes.prefix_sums(low), starts, ends)
+        before = np.zeros(len(own), np.uint64)
+        before[1:] = own[:-1] + np.uint64(1)
+        before[np.flatnonzero(np.diff(self.row, prepend=-1))] = 0
+        _, first, self.token = np.unique(own, return_index=True, return_inverse=True)
+        self.words = textbytes.gather(low, starts[first], ends[first])
+        _, where, self.pair, self.n = np.unique(textbytes.mix(before) * np.uint64(0x9E3779B97F4A7C15) + own, return_index=True, return_inverse=True, return_counts=True)
+        self.word, self.before = self.token[where], before[where]
+
+    def chunks(self, size: int) -> Iterator[tuple[Pairs, np.ndarray, slice]]:
+        """Pairs (in the order of their hashes), how many tokens each of them has, and where they are."""
+        for start in range(0, len(self.word), size):
+            part = slice(start, start + size)
+            words, word = np.unique(self.word[part], return_inverse=True)
+            yield Pairs(self.words.take(pa.array(words)), word, self.before[part]), self.n[part], part
+
+
+_POSTINGS = "block bigint, word binary, rows binary, times binary, doc_ids array<bigint>, held_out array<boolean>, bytes array<bigint>, scores array<double>"
+
+
+def _postings(table, mixer: Mixer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
+    """For each block of documents, a row for each distinct word (in which rows, how often) and one that names the
+    rows and has their scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        block = context.partitionId() << 32 if context else 0
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.float64()))
+        names = [c.split()[0] for c in _POSTINGS.split(", ")]
+        for docs, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+            low = textbytes.lower(data)
+            starts, ends, row = textbytes.words(low, offsets)
+            word, first, token = np.unique(textbytes.span_hashes(textbytes.prefix_sums(low), starts, ends), return_index=True, return_inverse=True)
+            pair, times = np.unique(token.astype(np.int64) * len(docs) + row, return_counts=True)
+            word_of, row_of = pair // max(1, len(docs)), (pair % max(1, len(docs))).astype(np.uint16)
+            begin, size = textbytes.runs(word_of)
+            cut = lambda values, width: pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(begin, len(pair)).astype(np.int32) * np.int32(width)), pa.py_buffer(values.tobytes())])
+            none = lambda kind: pa.nulls(len(size), kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(size), block)), textbytes.gather(low, starts[first], ends[first]), cut(row_of, 2), cut(times.astype(np.uint32), 4), *(none(k) for k in kinds[4:])], names=names
+            )
+            named = [[docs.column("doc_id").to_pylist()], [docs.column("held_out").to_pylist()], [np.diff(offsets).tolist()], [document_scores(low, offsets, table.value, mixer).tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b""], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *(pa.array(v, k) for v, k in zip(named, kinds[4:], strict=True))], names=names)
+            block += 1
+
+    return run
 
 
 # --- spelling ----------------------------------------------------------------------------------------------------
 
 
 class Letters:
-    """Letters of words laid end to end, each word closed by a zero, and the hashed contexts of each letter."""
+    """Letters of words laid end to end, each word closed by a zero, and the hashed contexts of each letter, as if
+    no word were before."""
 
     def __init__(self, column: pa.Array) -> None:
         column = column.cast(pa.large_binary())
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
         body = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        size = np.diff(offsets) + 1
+        self.size = size = np.diff(offsets) + 1
         self.ends = np.cumsum(size)
         self.letter = np.zeros(int(size.sum()), np.uint8)
         solid = np.ones(len(self.letter), bool)
@@ -117,24 +142,66 @@ class Letters:
                 context.append(textbytes.mix(total + np.uint64(back << 56)))
         sums = textbytes.prefix_sums(self.letter)
         whole = textbytes.span_hashes(sums, np.arange(len(self.letter)) - self.place, np.arange(len(self.letter)))
-        self.context = [*context, whole]
+        self.context = [*context, whole, textbytes.mix(whole + np.uint64(1))]
 
     def cells(self, bit: int) -> tuple[list[np.ndarray], np.ndarray]:
         """Table cells of each predictor for one bit of every letter (7 is the first), and the bits."""
-        node = (self.letter.astype(np.uint64) | np.uint64(256)) >> np.uint64(bit + 1)
         value = (self.letter >> bit) & 1
-        return [(textbytes.mix(c + node * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(_CELLS - 1)).astype(np.int64) for c in self.context], value
+        node = self.node(bit)
+        return [_cell(c, node) for c in self.context], value
+
+    def node(self, bit: int) -> np.ndarray:
+        return ((self.letter.astype(np.uint64) | np.uint64(256)) >> np.uint64(bit + 1)) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _cell(context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The highest bits of a product; contexts are mixed before."""
+    cell = context + node
+    cell *= np.uint64(0xD6E8FEB86659FD93)
+    cell >>= np.uint64(65 - _CELLS.bit_length())
+    return cell.view(np.int64)
+
+
+class Pairs:
+    """Letters of words that follow others. What depends on the word alone is worked out once for all its pairs."""
+
+    def __init__(self, words: pa.Array, word: np.ndarray, before: np.ndarray) -> None:
+        self.letters = Letters(words)
+        size = self.letters.size[word]
+        self.pair = np.repeat(np.arange(len(word)), size)
+        self.at = np.arange(len(self.pair)) + np.repeat(self.letters.ends[word] - np.cumsum(size), size)
+        self.place = np.minimum(self.letters.place, _PLACES - 1)[self.at]
+        self.context = textbytes.mix(self.letters.context[-2][self.at] + (before * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))[self.pair])
+
+    def bits(self, bit: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """Cells of the predictors that depend on the word alone and the bit for each letter of each word; cells of
+        the other predictor and the bit for each letter of each pair."""
+        node, value = self.letters.node(bit), (self.letters.letter >> bit) & 1
+        return [_cell(c, node) for c in self.letters.context[:-1]], value, _cell(self.context, node[self.at]), value[self.at]
+
+    def odds(self, bit: int, look: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log odds of each predictor, gates and bits of all letters, with `look(predictor, cells, bits)`."""
+        cells, value, last, bits = self.bits(bit)
+        alone = np.stack([look(o, cell, value) for o, cell in enumerate(cells)])
+        odds = np.empty((len(ORDERS), len(bits)), np.float32)
+        alone.take(self.at, axis=1, out=odds[:-1])
+        odds[-1] = look(len(cells), last, bits)
+        seen = (alone != 0).sum(axis=0)[self.at] + (odds[-1] != 0)
+        return odds, self.place * _LEVELS + seen, bits
 
 
 def _count_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables, one = np.zeros(len(ORDERS) * 2 * _CELLS, np.uint32), np.uint32(1)
-    for batch in batches:
-        for start in range(0, len(batch), 5000):
-            letters = Letters(batch.column("word").slice(start, 5000))
+    tables = np.zeros(len(ORDERS) * 2 * _CELLS, np.uint32)
+    for _, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+        for pairs, n, _ in Tokens(textbytes.lower(data), offsets).chunks(_CHUNK):
+            n = n.astype(np.uint32)
+            of_word = np.zeros(len(pairs.letters.letter), np.uint32)
+            np.add.at(of_word, pairs.at, n[pairs.pair])
             for bit in range(7, -1, -1):
-                cells, value = letters.cells(bit)
+                cells, value, last, bits = pairs.bits(bit)
                 for o, cell in enumerate(cells):
-                    np.add.at(tables, cell + (2 * o + value.astype(np.int64)) * _CELLS, one)
+                    np.add.at(tables, cell + (2 * o + value.astype(np.int64)) * _CELLS, of_word)
+                np.add.at(tables, last + (2 * len(cells) + bits.astype(np.int64)) * _CELLS, n[pairs.pair])
     if tables.any():
         parts = np.array_split(tables, _PIECES)
         yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int64()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["piece", "counts"])
@@ -155,116 +222,131 @@ class Mixer:
         self.weights = np.full((_GATES, len(ORDERS)), 0.3, np.float32)
         self.hits = np.full((_GATES, _BINS, 2), 0.0, np.float64)
 
-    @staticmethod
-    def odds(counts: np.ndarray, cells: list[np.ndarray], value: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds of a one under each predictor, and how many of them have been there; bits given in `value` are
-        taken out of the counts first."""
-        odds, seen = np.empty((len(cells), len(cells[0])), np.float32), np.zeros(len(cells[0]), np.int64)
-        for o, cell in enumerate(cells):
-            zeros, ones = counts[o, 0].take(cell), counts[o, 1].take(cell)
-            if value is not None:
-                ones -= value
-                zeros -= 1 - value
-            seen += (zeros + ones) > 0
-            np.log((ones + np.float32(0.3)) / (zeros + np.float32(0.3)), out=odds[o])
-        return odds, seen
-
     def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ij->j", self.weights.T.take(gate, axis=1), odds), -12, 12)
+        total = np.zeros(len(gate), np.float32)
+        for w, o in zip(self.weights.T.copy(), odds, strict=True):
+            total += w.take(gate) * o
+        return np.clip(total, -12, 12)
 
-    def refined(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    def table(self) -> np.ndarray:
+        middle = 1 / (1 + np.exp(-(np.arange(_BINS) * 24 / (_BINS - 1) - 12)))
+        return ((self.hits[..., 1] + 20 * middle) / (self.hits.sum(axis=-1) + 20)).ravel()
+
+    def refined(self, x: np.ndarray, gate: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Probability of a one: the mixer's and, from the neighbouring cells of the table, the refined one, averaged."""
         at = (x + 12) * (_BINS - 1) / 24
         low = np.minimum(at.astype(np.int64), _BINS - 2)
         part = at - low
-        middle = 1 / (1 + np.exp(-(np.arange(_BINS) * 24 / (_BINS - 1) - 12)))
-        table = (self.hits[..., 1] + 20 * middle) / (self.hits.sum(axis=-1) + 20)
-        fine = table[gate, low] * (1 - part) + table[gate, low + 1] * part
-        return 0.5 / (1 + np.exp(-x)) + 0.5 * fine
+        low += gate * _BINS
+        fine = table.take(low) * (1 - part) + table.take(low + 1) * part
+        return 0.5 / (1 + np.exp(-x.astype(np.float64))) + 0.5 * fine
 
-    def learn(self, odds: np.ndarray, gate: np.ndarray, value: np.ndarray, rate: float) -> None:
+    def learn(self, odds: np.ndarray, gate: np.ndarray, value: np.ndarray, n: np.ndarray, rate: float) -> None:
+        """Learn from bits that come `n` times each."""
         x = self.mixed(odds, gate)
-        error = (value - 1 / (1 + np.exp(-x))) * odds
-        number = np.bincount(gate, minlength=_GATES)
-        step = np.stack([np.bincount(gate, weights=e, minlength=_GATES) for e in error], axis=1)
+        error = (value.astype(np.float32) - 1 / (1 + np.exp(-x))) * n
+        number = np.bincount(gate, weights=n, minlength=_GATES)
+        step = np.stack([np.bincount(gate, weights=error * o, minlength=_GATES) for o in odds], axis=1)
         self.weights += (rate * step / np.maximum(number, 1)[:, None]).astype(np.float32)
         near = np.rint((x + 12) * (_BINS - 1) / 24).astype(np.int64)
-        self.hits += np.bincount((gate * _BINS + near) * 2 + value, minlength=self.hits.size).reshape(self.hits.shape)
+        self.hits += np.bincount((gate * _BINS + near) * 2 + value, weights=n, minlength=self.hits.size).reshape(self.hits.shape)
 
 
-def _gate(letters: Letters, seen: np.ndarray) -> np.ndarray:
-    return np.minimum(letters.place, _PLACES - 1) * _LEVELS + seen
+def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log odds of a one in each cell; only cells that have counts are not 0."""
+    odds = np.log((ones + np.float32(0.3)) / (zeros + np.float32(0.3)))
+    odds[(odds == 0) & (ones > 0)] = 1e-6
+    return odds
 
 
 def _learn(tables) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, mixer, words = tables.value, Mixer(), 0
-        for batch in batches:
-            for start in range(0, len(batch), 2000):
-                letters = Letters(batch.column("word").slice(start, 2000))
-                words += len(letters.ends)
+        mixer, learned, tokens = Mixer(), 0, 0
+        # Both counts of a cell lie together, zeros as the real part.
+        counts = np.empty((len(ORDERS), _CELLS), np.complex64)
+        counts.real, counts.imag = tables.value[:, 0], tables.value[:, 1]
+
+        def look(o: int, cell: np.ndarray, value: np.ndarray) -> np.ndarray:
+            # The token itself is taken out of the counts that predict it.
+            both = counts[o].take(cell)
+            zeros, ones = both.real.copy(), both.imag.copy()
+            ones -= np.minimum(ones, value)
+            zeros -= np.minimum(zeros, 1 - value)
+            return log_odds(zeros, ones)
+
+        for _, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+            for pairs, n, _ in Tokens(textbytes.lower(data), offsets).chunks(_LESSON):
+                learned, tokens = learned + len(n), tokens + int(n.sum())
+                n = n.astype(np.float32)[pairs.pair]
                 for bit in range(7, -1, -1):
-                    cells, value = letters.cells(bit)
-                    # The word itself is taken out of the counts that predict it.
-                    odds, seen = Mixer.odds(counts, cells, value.astype(np.float32))
-                    mixer.learn(odds, _gate(letters, seen), value, 0.02 if words > 20_000 else 0.1)
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array([words], pa.int64()), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.hits.tobytes()], pa.binary())], names=["words", "weights", "hits"])
+                    odds, gate, value = pairs.odds(bit, look)
+                    mixer.learn(odds, gate, value, n, 0.02 if learned > 40_000 else 0.1)
+        if tokens:
+            yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([mixer.weights.tobytes()], pa.binary()), pa.array([mixer.hits.tobytes()], pa.binary())], names=["words", "weights", "hits"])
 
     return run
 
 
-def spelling_cost(column: pa.Array, counts: np.ndarray, mixer: Mixer) -> np.ndarray:
-    """Natural log probability of each word's letters and its close."""
-    letters = Letters(column)
-    total = np.zeros(len(letters.ends))
+def pair_cost(pairs: Pairs, table: np.ndarray, mixer: Mixer) -> np.ndarray:
+    """Natural log probability of each pair's letters and their close, from the log odds of all cells."""
+    total = np.zeros(pairs.pair[-1] + 1 if len(pairs.pair) else 0)
+    fine = mixer.table()
     for bit in range(7, -1, -1):
-        cells, value = letters.cells(bit)
-        odds, seen = Mixer.odds(counts, cells)
-        gate = _gate(letters, seen)
-        p = mixer.refined(mixer.mixed(odds, gate), gate)
-        total += np.bincount(letters.word, weights=np.log(np.where(value == 1, p, 1 - p)), minlength=len(total))
+        odds, gate, value = pairs.odds(bit, lambda o, cell, _: table[o].take(cell))
+        p = mixer.refined(mixer.mixed(odds, gate), gate, fine)
+        total += np.bincount(pairs.pair, weights=np.log(np.where(value == 1, p, 1 - p)), minlength=len(total))
     return total
 
 
+def spelling_cost(column: pa.Array, counts: np.ndarray, mixer: Mixer) -> np.ndarray:
+    """Natural log probability of words at the beginning of a text, each with its close."""
+    return pair_cost(Pairs(column, np.arange(len(column)), np.zeros(len(column), np.uint64)), log_odds(*counts.astype(np.float32).swapaxes(0, 1)), mixer)
+
+
+def document_scores(low: np.ndarray, offsets: np.ndarray, table: np.ndarray, mixer: Mixer) -> np.ndarray:
+    """Log10 probability of each document of a slice."""
+    tokens = Tokens(low, offsets)
+    cost = np.empty(len(tokens.word))
+    for pairs, _, part in tokens.chunks(_CHUNK):
+        cost[part] = pair_cost(pairs, table, mixer)
+    at = np.arange(len(tokens.row))
+    begin, size = textbytes.runs(tokens.row)
+    past = at - np.repeat(begin, size)
+    # How often the document had the word before.
+    same = tokens.row * len(tokens.words) + tokens.token
+    order = np.argsort(same, kind="stable")
+    begin, size = textbytes.runs(same[order])
+    had = np.empty(len(at))
+    had[order] = at - np.repeat(begin, size)
+    chance = (_PRIOR * np.exp(cost[tokens.pair]) + had) / (_PRIOR + past)
+    return np.bincount(tokens.row, weights=np.log10(chance), minlength=len(offsets) - 1)
+
+
 # --- documents ---------------------------------------------------------------------------------------------------
 
 
 class Corpus:
-    """What is learned from training documents: counts of words (a stored table), totals, and the spelling model."""
+    """What is learned from training documents: counts of words (a stored table), totals, and the mixing model."""
 
     def __init__(self, docs: DataFrame) -> None:
         spark = docs.sparkSession
-        training = docs.where(id_hash() % 10 != 0).select("text", (id_hash() % 10 == 1).alias("apart"))
-        words = training.mapInArrow(_count_words, "word binary, n bigint, apart bigint")
-        self.words = stored(words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("apart").alias("apart")), "word-counts")
+        training = docs.where(id_hash() % 10 != 0).select("text")
+        words = training.mapInArrow(_count_words, "word binary, n bigint")
+        self.words = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
         row = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-        ends = training.agg(F.count("*"), F.count(F.when(F.col("apart"), 1))).first()
-        self.ends = ends[0]
+        self.ends = training.count()
         self.tokens, self.distinct = row[0] + self.ends, row[1] + (self.ends > 0)
-        # Tokens of each class, and of each class by the rest among the tokens of the part; the end is a word too.
-        self.of_class, met = np.zeros(_CLASSES), np.zeros(_CLASSES)
-        digits = lambda n: F.when(n > 0, F.length(F.bin(n))).otherwise(0)
-        for r in self.words.groupBy(digits(F.col("n")).alias("class")).agg(F.sum("n").alias("n")).collect():
-            self.of_class[r["class"]] += r.n
-        for r in self.words.groupBy(digits(F.col("n") - F.col("apart")).alias("class")).agg(F.sum("apart").alias("n")).collect():
-            met[r["class"]] += r.n
-        self.of_class[self.ends.bit_length()] += self.ends
-        met[(ends[0] - ends[1]).bit_length()] += ends[1]
-        # Only classes that have words can come; half a token stands for what the part does not show.
-        possible = (self.of_class > 0) | (np.arange(_CLASSES) == 0)
-        self.prior = np.where(possible, met + 0.5, 0)
-        self.prior *= _PRIOR / self.prior.sum()
-        self.own = _CLASS_PRIOR + _SHARE_PRIOR * 2.0 ** np.arange(_CLASSES) / max(1, self.tokens)
-        pieces = self.words.select("word").mapInArrow(_count_bits, "piece bigint, counts binary")
-        pieces = pieces.groupBy("piece").applyInArrow(_sum_pieces, "piece bigint, counts binary").collect()
+        pieces = training.mapInArrow(_count_bits, "piece bigint, counts binary")
+        pieces = pieces.groupBy("piece").applyInArrow(_sum_pieces, "piece bigint, counts binary")
         flat = np.zeros(len(ORDERS) * 2 * _CELLS, np.uint32)
-        for r, part in ((r, np.array_split(flat, _PIECES)[r.piece]) for r in pieces):
-            part[:] = np.frombuffer(r.counts, np.uint32)
-        self.bits = spark.sparkContext.broadcast(flat.reshape(len(ORDERS), 2, _CELLS).astype(np.float32))
+        parts = np.array_split(flat, _PIECES)
+        for r in pieces.toLocalIterator():
+            parts[r.piece][:] = np.frombuffer(r.counts, np.uint32)
+        counts = flat.reshape(len(ORDERS), 2, _CELLS)
+        tables = spark.sparkContext.broadcast(counts)
         self.mixer = Mixer()
         # A row of some 50 KB for each task.
-        learned = self.words.select("word").mapInArrow(_learn(self.bits), "words bigint, weights binary, hits binary")
+        learned = training.mapInArrow(_learn(tables), "words bigint, weights binary, hits binary")
         total, weights = 0, 0
         for r in learned.toLocalIterator():
             weights = weights + r.words * np.frombuffer(r.weights, np.float32).reshape(_GATES, -1).astype(float)
@@ -272,78 +354,26 @@ class Corpus:
             total += r.words
         if total:
             self.mixer.weights = (weights / total).astype(np.float32)
+        tables.unpersist()
+        self.table = spark.sparkContext.broadcast(log_odds(*counts.astype(np.float32).swapaxes(0, 1)))
 
 
-def _word_scores(bits, facts: dict, mixer: Mixer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
-    """Add to each posting the log10 of the base and of the model's probability of its word, if known or spelled."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, float] = {}
-        for batch in batches:
-            n = pc.fill_null(batch.column("n"), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            base = np.log10((n + 0.1) / (facts["tokens"] + 0.1 * (facts["distinct"] + 1)))
-            kind = np.where(n > 0, np.frexp(n.astype(float))[1], 0)
-            model = np.log10(np.maximum(n, 1) / np.maximum(facts["of_class"][kind], 1))
-            new = np.flatnonzero(n == 0)
-            if len(new):
-                body = batch.column("word").take(pa.array(new))
-                words = body.to_pylist()
-                missing = list(dict.fromkeys(w for w in words if w not in cache))
-                if len(cache) > 200_000:
-                    cache.clear()
-                    missing = list(dict.fromkeys(words))
-                for i in range(0, len(missing), 4000):
-                    part = missing[i : i + 4000]
-                    cache.update(zip(part, (spelling_cost(pa.array(part, pa.binary()), bits.value, mixer) / _LN10).tolist(), strict=True))
-                model[new] = [cache[w] for w in words]
-            columns = [batch.column(c) for c in ("block", "rows", "times", "doc_ids", "held_out", "bytes")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kind, pa.int32()), pa.array(base), pa.array(model)], names=["block", "rows", "times", "doc_ids", "held_out", "bytes", "kind", "base", "model"])
-
-    return run
-
-
-_SCORED = "block bigint, rows binary, times binary, doc_ids array<bigint>, held_out array<boolean>, bytes array<bigint>, kind int, base double, model double"
 _RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
 
 
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    """Logarithm of the gamma function of positive numbers."""
-    shift = np.zeros(np.shape(x))
-    for i in range(7):
-        shift += np.log(x + i)
-    y = np.asarray(x, float) + 7
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
-
-
 def _block_sums(facts: dict) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         named = pc.is_valid(table.column("doc_ids"))
         names, posts = table.filter(named), table.filter(pc.invert(named)).combine_chunks()
-        ids, held, sizes = (names.column(c)[0].as_py() for c in ("doc_ids", "held_out", "bytes"))
+        ids, held, sizes, score = (names.column(c)[0].as_py() for c in ("doc_ids", "held_out", "bytes", "scores"))
         size = np.array([len(b) for b in posts.column("rows").to_pylist()], np.int64) // 2
         row = np.frombuffer(b"".join(posts.column("rows").to_pylist()), np.uint16).astype(np.int64)
         times = np.frombuffer(b"".join(posts.column("times").to_pylist()), np.uint32).astype(np.float64)
         sums = lambda values: np.bincount(row, weights=times * np.repeat(values, size), minlength=len(ids))
-        kind = np.repeat(posts.column("kind").to_numpy().astype(np.int64), size)
-        of_kind = np.bincount(row * _CLASSES + kind, weights=times, minlength=len(ids) * _CLASSES).reshape(-1, _CLASSES)
-        number, seen = sums(np.ones(len(size))), of_kind[:, 1:].sum(axis=1)
-        base = sums(posts.column("base").to_numpy())
-        ends, prior, own = facts["ends"], facts["prior"], facts["own"]
-        base += np.log10((ends + 0.1) / (facts["tokens"] + 0.1 * (facts["distinct"] + 1)))
-        # The first time a word comes its share counts, then what the document had of it as well.
-        start = np.log(own[kind]) + np.repeat(posts.column("model").to_numpy(), size) * _LN10
-        again = np.flatnonzero(times > 1)
-        weight = np.exp(start[again])
-        start[again] += log_gamma(weight + times[again]) - log_gamma(weight + 1)
-        total = np.bincount(row, weights=start, minlength=len(ids))
-        end = ends.bit_length()
-        of_kind[:, end] += 1
-        total += np.log(own[end] * ends / facts["of_class"][end]) if ends else 0.0
-        total += (log_gamma(own) - log_gamma(own + of_kind)).sum(axis=1)
-        chance = np.where(prior > 0, prior, 1.0)
-        total += np.where(of_kind > 0, log_gamma(chance + of_kind) - log_gamma(chance), 0).sum(axis=1)
-        total += log_gamma(prior.sum()) - log_gamma(prior.sum() + of_kind.sum(axis=1))
-        score = total / _LN10
+        n = posts.column("n").to_numpy().astype(float)
+        share = lambda n: np.log10((n + 0.1) / (facts["tokens"] + 0.1 * (facts["distinct"] + 1)))
+        ends, score = facts["ends"], np.array(score)
+        number, seen, base = sums(np.ones(len(size))), sums((n > 0).astype(float)), sums(share(n)) + share(ends)
         bits = -score / np.log10(2) / np.maximum(1, sizes)
         return pa.table(
             [
@@ -368,14 +398,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Learns from rows whose crc32(doc_id as text) modulo 10 is not 0 (null ids count as empty text); held_out marks the
     others. Null and empty texts are one end. base_score is the smoothed share of each token, summed as log10; score
     the model's log10 probability, and bits_per_byte the same per byte of text (of one byte if the text is empty).
-    If no row is there to learn from, counts are 0 and every word is spelled. Rows of one id are scored apart;
+    If no row is there to learn from, counts are 0 and every bit is even. Rows of one id are scored apart;
     columns beyond doc_id and text are not read; no rows give no rows.
     """
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     corpus = Corpus(docs)
-    facts = {"tokens": corpus.tokens, "distinct": corpus.distinct, "ends": corpus.ends, "of_class": corpus.of_class, "prior": corpus.prior, "own": corpus.own}
+    facts = {"tokens": corpus.tokens, "distinct": corpus.distinct, "ends": corpus.ends}
     rows = docs.select("doc_id", "text", (id_hash() % 10 == 0).alias("held_out"))
-    posted = rows.mapInArrow(_postings, _POSTINGS)
-    scored = posted.join(corpus.words, "word", "left").mapInArrow(_word_scores(corpus.bits, facts, corpus.mixer), _SCORED)
-    return scored.groupBy("block").applyInArrow(_block_sums(facts), _RESULT)
+    posted = rows.mapInArrow(_postings(corpus.table, corpus.mixer), _POSTINGS)
+    counted = posted.join(corpus.words, "word", "left").select(*posted.columns[:1], *posted.columns[2:], F.coalesce("n", F.lit(0)).alias("n"))
+    return counted.groupBy("block").applyInArrow(_block_sums(facts), _RESULT)

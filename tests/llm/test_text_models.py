@@ -140,6 +140,18 @@ def test_spelling_is_a_distribution():
     assert seen > other + 5
 
 
+def test_known_words_are_mixed_with_the_word_before(as_docs):
+    """A document of known words is likelier in the order that training documents have."""
+    phrase = "one small river runs through seven green valleys".split()
+    held = [i for i in range(400) if fold(i, 10) == 0][:2]
+    rows = [(i, " ".join(phrase * 4), "en", "s") for i in range(200) if fold(i, 10)]
+    rows += [(held[0], " ".join(phrase), "en", "s"), (held[1], " ".join(phrase[::-1]), "en", "s")]
+    found = {r.doc_id: r for r in lm_scoring.score_documents(as_docs(rows)).collect()}
+    straight, turned = (found[i] for i in held)
+    assert straight.held_out and turned.held_out and straight.n_known == turned.n_known == straight.n_tokens
+    assert abs(straight.base_score - turned.base_score) < 1e-9 and straight.score > turned.score + 3
+
+
 def test_scores_without_training_rows(as_docs):
     held = [i for i in range(60) if fold(i, 10) == 0]
     found = lm_scoring.score_documents(as_docs([(i, "some words", "en", "s") for i in held])).collect()
