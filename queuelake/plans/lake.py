@@ -530,6 +530,7 @@ def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("at"),
         (F.col("seq") % 2 == 0).alias("stored"),
         path.alias("path"),
+        F.struct("id", "status").alias("poll"),
     )
 
 
@@ -544,5 +545,18 @@ def stored_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a stored response, with a body of its own."""
+    body = F.to_json(F.struct(F.col("seq").alias("poll"), F.col("poll.id"), F.col("poll.status")))
+    return traffic(spark, sf_dir).select(
+        "seq",
+        "path",
+        F.col("at").alias("fetched_at"),
+        F.lit(200).alias("status"),
+        F.lit("application/json").alias("content_type"),
+        body.alias("body"),
+    )
+
+
 def requested_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic(spark, sf_dir).where(~F.col("stored")).select("seq", "path", F.col("at").alias("requested_at"))

@@ -50,6 +50,9 @@ _V10 = f"""{_V5}, v10 AS (
     CASE k % 5 WHEN 3 THEN 300 WHEN 4 THEN 0 ELSE 3600 END AS ttl
   FROM v5)"""
 
+# All events as landed responses, with what their bodies say.
+_V10L = f"""{_V10}, v10l AS (SELECT v10.seq, moment, path, v5.id, v5.status FROM v10 JOIN v5 USING (seq))"""
+
 _V11 = """v11a AS (SELECT p_partkey AS ord, lower(p_brand) AS slug, p_name AS name FROM part),
 labels AS (
   SELECT *, regexp_replace(lower(slug), '[^\\p{L}\\p{N}]', '', 'g') AS ns,
@@ -231,6 +234,10 @@ ORACLE: dict[str, str] = {
     "q45_newest_stored": f"""WITH {_V10}, ranked AS (
         SELECT *, row_number() OVER (PARTITION BY path ORDER BY moment DESC, seq DESC) AS rn FROM v10 WHERE stored)
         SELECT path, seq, strftime(moment, {_T}) AS fetched_at, '{{}}' AS body FROM ranked WHERE rn = 1""",
+    "q46_newest_payload": f"""WITH {_V10L}, ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY path ORDER BY moment DESC, seq DESC) AS rn FROM v10l)
+        SELECT path, seq, strftime(moment, {_T}) AS fetched_at,
+        concat('{{"poll":', seq, ',"id":"', id, '","status":"', status, '"}}') AS body FROM ranked WHERE rn = 1""",
     "q50_normalized_text": "SELECT doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') AS normalized FROM documents",
     "q51_current_waits": f"WITH {_V5} SELECT seq, id, {_STANDBY} AS wait FROM v5",
     "q52_instants": f"""WITH d AS (SELECT o_orderkey AS ord, o_orderkey % 4 AS form, strftime(o_orderdate, '%Y-%m-%d') AS day,

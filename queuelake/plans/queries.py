@@ -370,6 +370,12 @@ def _(spark, sf_dir):
     return newest.select("path", "seq", _text("fetched_at").alias("fetched_at"), "body")
 
 
+@query("q46_newest_payload")
+def _(spark, sf_dir):
+    newest = bronze.newest_per_path(lake.landed_traffic(spark, sf_dir))
+    return newest.select("path", "seq", _text("fetched_at").alias("fetched_at"), "body")
+
+
 @query("q50_normalized_text")
 def _(spark, sf_dir):
     documents = lake.table(spark, sf_dir, "documents")

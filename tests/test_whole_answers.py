@@ -8,10 +8,23 @@ from pyspark.sql import functions as F
 from queuelake.functions import http, times
 from queuelake.functions import live as live_functions
 from queuelake.operators import hierarchy, schedule
+from queuelake.plans import lake
+from queuelake.plans.queries import QUERIES
 from queuelake.session import scratch_path
 from queuelake.sources import silver
 
 
+def test_newest_payload_is_found_among_all_events(spark):
+    sf = "/root/testdata/sf0.001"
+    landed = lake.landed_traffic(spark, sf).collect()
+    assert len(landed) == spark.read.parquet(f"{sf}/events.parquet").count() == len({r.body for r in landed})
+    newest = {}
+    for r in sorted(landed, key=lambda r: (r.fetched_at, r.seq)):
+        newest[r.path] = (r.seq, r.body)
+    found = QUERIES["q46_newest_payload"](spark, sf).collect()
+    assert {r.path: (r.seq, r.body) for r in found} == newest and {r.seq % 2 for r in found} == {0, 1}
+
+
 def test_closure_counts_repeated_links_once_and_goes_as_deep_as_they_do(spark):
     chain = [(f"n{i:03d}", f"n{i - 1:03d}" if i else None) for i in range(12)]
     found = hierarchy.descendant_closure(spark.createDataFrame(chain * 3, "id string, parent_id string")).collect()
