@@ -281,8 +281,8 @@ def _(spark, sf_dir):
 
 @query("q28_destination_schedule")
 def _(spark, sf_dir):
-    docs = validate.documents(lake.destination_schedule_responses(spark, sf_dir), "schedule")
-    rows = flatten.destination_schedule(docs)
+    docs = validate.nested_schedules(lake.destination_schedule_responses(spark, sf_dir))
+    rows = flatten.nested_schedule(docs)
     return rows.select("root_id", "owner_id", "seq", "date", "type")
 
 

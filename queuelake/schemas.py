@@ -83,9 +83,9 @@ _ENTRY = _record(
 )
 _HEADER = ("id", "name", "entityType", "timezone")
 
-# A schedule document may repeat itself below `parks`. Two levels are unrolled; the third stays text so
-# that a deeper document can be rejected instead of silently losing rows.
-_NESTED_SCHEDULE = _record(*_HEADER, "parks", schedule=T.ArrayType(_ENTRY))
+# A schedule document may repeat itself below `parks`. Two levels are unrolled; the third stays text, from
+# which `validate.nested_schedules` goes on, and for which the two-level tables reject the document.
+NESTED_SCHEDULE = _record(*_HEADER, "parks", schedule=T.ArrayType(_ENTRY))
 
 LANDING: dict[str, T.StructType] = {
     "destinations": _record(
@@ -106,6 +106,6 @@ LANDING: dict[str, T.StructType] = {
     "children": _record(*_HEADER, children=T.ArrayType(_CHILD)),
     "live": _record(*_HEADER, liveData=T.ArrayType(_LIVE_ENTRY)),
     "schedule": _record(
-        *_HEADER, schedule=T.ArrayType(_ENTRY), parks=T.ArrayType(_NESTED_SCHEDULE)
+        *_HEADER, schedule=T.ArrayType(_ENTRY), parks=T.ArrayType(NESTED_SCHEDULE)
     ),
 }

@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queuelake import schemas as S
 from queuelake.functions.numbers import lax_boolean, lax_double
@@ -202,6 +203,53 @@ def documents(bronze: DataFrame, kind: str, per_element: bool = False) -> DataFr
     return decoded.withColumn("doc", doc).drop("corrupt")
 
 
+def nested_schedules(bronze: DataFrame) -> DataFrame:
+    """Valid schedule documents of any depth: `doc` and `owners`, the records below it as (place, park).
+
+    `place` is the positions in `parks` from the top. Levels below the second land as text; each round parses the
+    next one in every document until none is left. One faulty element at any depth rejects its document.
+    """
+    wrapper = T.StructType(
+        [
+            T.StructField("doc", T.ArrayType(S.NESTED_SCHEDULE)),
+            T.StructField("end", T.StringType()),
+            T.StructField(S.CORRUPT, T.StringType()),
+        ]
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT, "allowSingleQuotes": "false"}
+    rules = [*_ROOT, *_each("schedule", _ENTRY)]
+    faulty = _some("level.park", _element_broken(rules))
+    decoded = decode(of_kind(bronze, "schedule"), "schedule").where(f"NOT corrupt AND {_AS_JSON}")
+    decoded = decoded.where(f"NOT ({_any_broken([*_ON_DOCUMENT['schedule'], *_each('schedule', _ENTRY)], 'doc')})")
+    first = "transform(coalesce(doc.parks, array()), (p, i) -> named_struct('place', array(i), 'park', p))"
+    rows = decoded.drop("corrupt").withColumn("level", F.expr(first)).where(f"NOT {faulty}").withColumn("owners", F.col("level"))
+    done = None
+    while True:
+        # A level that is there but no list is parsed too, and is then an error.
+        below = F.expr("exists(level, n -> coalesce(n.park.parks <> '[]', false))")
+        flat = rows.where(~below).drop("level")
+        done = flat if done is None else done.unionByName(flat)
+        rows = rows.where(below)
+        if rows.isEmpty():
+            return done
+
+        def parsed(n: Column) -> Column:
+            text = F.concat(F.lit('{"doc":'), F.coalesce(n["park"]["parks"], F.lit("[]")), F.lit(',"end":"end"}'))
+            is_list = F.coalesce(F.ltrim(n["park"]["parks"]).startswith("["), F.lit(True))
+            return F.struct(n["place"].alias("place"), is_list.alias("is_list"), F.from_json(text, wrapper, options).alias("read"))
+
+        # The parse sits inside a generator, so that it is not repeated.
+        rows = rows.select("*", F.explode(F.array(F.transform("level", parsed))).alias("read")).where(
+            f"NOT exists(read, n -> NOT n.is_list OR n.read.{S.CORRUPT} IS NOT NULL OR n.read.doc IS NULL)"
+        )
+        deeper = (
+            "flatten(transform(read, n -> transform(n.read.doc,"
+            " (p, i) -> named_struct('place', concat(n.place, array(i)), 'park', p))))"
+        )
+        rows = rows.withColumn("level", F.expr(deeper)).drop("read").where(f"NOT {faulty}")
+        rows = rows.withColumn("owners", F.concat("owners", "level"))
+
+
 def _violations(kind: str) -> Column:
     """Every `(rule, field)` a document breaks. A body that does not parse breaks only VAL1."""
 

@@ -199,6 +199,26 @@ def test_destination_schedule_has_both_levels(landed):
     assert [(r.owner_id, r.date) for r in rows] == [("d", "2026-01-01"), ("p1", "2026-01-02"), ("p1", "2026-01-03")]
 
 
+def test_schedules_nest_to_any_depth(landed):
+    def park(name, day, *parks, **more):
+        return {"id": name, "schedule": [schedule_entry(day, **more)], "parks": list(parks)}
+
+    deep = park("d", "2026-01-01", park("p", "2026-01-02", park("q", "2026-01-03", park("r", "2026-01-04")), park("s", "2026-01-05")))
+    bad = park("d", "2026-01-01", park("p", "2026-01-02", park("q", "2026-01-03", park("r", "2026-01-04", type="CLOSED"))))
+    no_list = {"id": "e", "schedule": [schedule_entry("2026-01-01")], "parks": [{"id": "p", "parks": [{"id": "q", "parks": {"id": "r"}}]}]}
+    flat = {"id": "f", "schedule": [schedule_entry("2026-02-01")]}
+    found = landed(*[("/entity/d/schedule", b) for b in (deep, bad, no_list, flat)])
+    rows = flatten.nested_schedule(validate.nested_schedules(found)).collect()
+    assert sorted((r.seq, r.owner_place, r.owner_id, r.date) for r in rows) == [
+        (0, [], "d", "2026-01-01"),
+        (0, [0], "p", "2026-01-02"),
+        (0, [0, 0], "q", "2026-01-03"),
+        (0, [0, 0, 0], "r", "2026-01-04"),
+        (0, [0, 1], "s", "2026-01-05"),
+        (3, [], "f", "2026-02-01"),
+    ]
+
+
 def test_schedule_rules(landed):
     path = "/entity/d/schedule/2026/01"
     deep = {"id": "d", "parks": [{"id": "p", "parks": [{"id": "q"}]}]}
