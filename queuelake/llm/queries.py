@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, source_mixing, substring_dedup, token_counts, toxicity
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, phrase_index, source_mixing, substring_dedup, token_counts, toxicity
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -65,6 +65,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in ten-word passages of benchmark items."""
+    items = prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return phrase_index.contamination(documents(spark, sf_dir), items)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_lm_scoring": op2_lm_scoring,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
@@ -141,4 +148,28 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, source, copy AS mix_copy, block AS mix_block, round((copy + before::DOUBLE / total) / passes, 6) AS mix_place
         FROM (SELECT *, unnest(generate_series(0, (whole - 1 + CASE WHEN reached < budget THEN 1 ELSE 0 END)::BIGINT)) AS copy FROM r)
     """,
+    "op13_decontaminate": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+        ), b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+        ), p AS (
+            SELECT DISTINCT item_id::VARCHAR AS item_id, ws[i : i + 9] AS phrase
+            FROM b, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS g(i) WHERE len(ws) > 0
+        ), h AS (
+            SELECT rid, i, n, phrase
+            FROM (SELECT rid, i, n, ws[i : i + n - 1] AS phrase FROM d, (SELECT DISTINCT len(phrase) AS n FROM p), unnest(generate_series(1, len(ws) - n + 1)) AS g(i))
+            WHERE phrase IN (SELECT phrase FROM p)
+        ), c AS (
+            SELECT rid, count(DISTINCT j) AS n_hit FROM h, unnest(generate_series(i, i + n - 1)) AS g(j) GROUP BY rid
+        ), o AS (
+            SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+            FROM (SELECT DISTINCT rid, item_id FROM h JOIN p USING (phrase)) GROUP BY rid
+        )
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN c USING (rid) LEFT JOIN o USING (rid)
+    """,
 }
