@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, phrase_index, source_mixing, substring_dedup, token_counts, toxicity
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, phrase_index, source_mixing, spelling_variants, substring_dedup, token_counts, toxicity
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -65,6 +65,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the words they are likely variants of."""
+    return spelling_variants.spelling_variants(documents(prepare(spark), sf_dir))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in ten-word passages of benchmark items."""
     items = prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_decontaminate": op13_decontaminate,
 }
 
@@ -148,6 +154,42 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, source, copy AS mix_copy, block AS mix_block, round((copy + before::DOUBLE / total) / passes, 6) AS mix_place
         FROM (SELECT *, unnest(generate_series(0, (whole - 1 + CASE WHEN reached < budget THEN 1 ELSE 0 END)::BIGINT)) AS copy FROM r)
     """,
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE steps AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b : xor(a >> 1, 3988292384 * (a & 1))) ORDER BY i) AS step
+            FROM (SELECT i::BIGINT AS i FROM range(256) AS g(i))
+        ), run AS (
+            SELECT doc, run, count(*) AS times
+            FROM (SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) GROUP BY ALL
+        ), bytes AS (
+            SELECT *, flatten(list_transform(string_split(doc || ':' || run, ''), lambda c : CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195, ord(c) - 64] END)) AS bs
+            FROM run
+        ), hashed AS (
+            SELECT run, times, xor(list_reduce(list_prepend(4294967295, bs), lambda a, b : xor(a >> 8, step[xor(a & 255, b) + 1])), 4294967295) AS h FROM bytes, steps
+        ), word AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed
+        ), v AS (
+            SELECT word, sum(times)::BIGINT AS n FROM word WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+        ), cut AS (
+            SELECT word, substr(word, 1, i - 1) || substr(word, i + 1) AS less, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS mask
+            FROM v, unnest(generate_series(1, length(word))) AS g(i)
+        ), fewer AS (SELECT DISTINCT cut.word AS a, v.word AS b FROM cut JOIN v ON cut.less = v.word),
+        near AS (
+            SELECT a, b FROM fewer UNION SELECT b, a FROM fewer
+            UNION SELECT x.word, y.word FROM cut x JOIN cut y ON x.mask = y.mask WHERE x.word <> y.word
+        ), best AS (
+            SELECT a, count(*) AS n_near, first(b ORDER BY v.n DESC, b) AS b, max(v.n) AS n_b FROM near JOIN v ON v.word = b GROUP BY a
+        ), form AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN n_b >= 5 * n THEN b END AS form, CASE WHEN n_b >= 5 * n THEN n_b END AS form_n
+            FROM v LEFT JOIN best ON a = word
+        ), chain(word, reached, steps) AS (
+            SELECT word, word, 0 FROM form
+            UNION ALL SELECT chain.word, form.form, steps + 1 FROM chain JOIN form ON form.word = chain.reached WHERE form.form IS NOT NULL
+        )
+        SELECT form.word, form, root, n, n_near, form_n
+        FROM form JOIN (SELECT word, last(reached ORDER BY steps) AS root FROM chain GROUP BY word) USING (word)
+    """,
     "op13_decontaminate": r"""
         WITH d AS (
             SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
