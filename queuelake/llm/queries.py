@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, phrase_index, source_mixing, spelling_variants, substring_dedup, token_counts, toxicity
+from queuelake.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, lm_scoring, packing, phrase_index, prefix_trie, source_mixing, spelling_variants, substring_dedup, token_counts, toxicity
 from queuelake.llm.shared import documents
 from queuelake.session import prepare
 
@@ -70,6 +70,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(documents(prepare(spark), sf_dir))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in ten-word passages of benchmark items."""
     items = prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_decontaminate": op13_decontaminate,
 }
 
@@ -190,6 +196,36 @@ ORACLE: dict[str, str] = {
         SELECT form.word, form, root, n, n_near, form_n
         FROM form JOIN (SELECT word, last(reached ORDER BY steps) AS root FROM chain GROUP BY word) USING (word)
     """,
+    "op12_prefix_trie": r"""
+        WITH steps AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b : xor(a >> 1, 3988292384 * (a & 1))) ORDER BY i) AS step
+            FROM (SELECT i::BIGINT AS i FROM range(256) AS g(i))
+        ), own AS (
+            SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), hashed AS (
+            SELECT c, turns, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x : ord(x)::BIGINT)),
+                lambda a, b : xor(a >> 8, step[xor(a & 255, b) + 1])), 4294967295) % 9 AS h
+            FROM own, steps
+        ), rebuilt AS (
+            SELECT x.c, list_concat(coalesce(y.turns, [])[1 : h], x.turns[h + 1 :]) AS turns FROM hashed x LEFT JOIN own y ON y.c = x.c - x.c % 5
+        ), member AS (
+            SELECT c, d, turns[1 : d] AS path, len(turns) = d AS ends FROM rebuilt, unnest(generate_series(0, len(turns))) AS g(d)
+        ), node AS (
+            SELECT d, path, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids
+            FROM member GROUP BY d, path
+        ), child AS (
+            SELECT d - 1 AS d, path[1 : d - 1] AS path, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL
+        ), sub AS (
+            SELECT g.k AS d, path[1 : g.k] AS path, sum((n_children IS NULL)::BIGINT)::BIGINT AS n_leaves,
+                   sum(CASE WHEN d > 0 THEN (n_convs - 1) * strlen(path[d].t) ELSE 0 END)::BIGINT AS saved_tokens
+            FROM node LEFT JOIN child USING (d, path), unnest(generate_series(0, d)) AS g(k) GROUP BY ALL
+        )
+        SELECT node.conv_id, d AS depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+               n_leaves, saved_tokens, sha256(node.ids) AS ends_sha256
+        FROM node JOIN sub USING (d, path) LEFT JOIN child USING (d, path)
+        LEFT JOIN (SELECT d AS pd, path AS pp, conv_id FROM node) AS parent ON pd = d - 1 AND pp = path[1 : d - 1]
+    """,
     "op13_decontaminate": r"""
         WITH d AS (
             SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
