@@ -287,7 +287,7 @@ def _ends(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 def _subtrees(tree: DataFrame) -> DataFrame:
     """(conv_id, depth, n_leaves, saved_tokens) over whole subtrees, of stored nodes with what each has itself."""
-    deepest = tree.agg(F.max("depth")).first()[0]
+    deepest = tree.agg(F.max("depth")).first()[0] or 0
     jump, at = 1, tree
     while jump <= deepest:
         given = at.where(F.col("depth") >= jump).groupBy(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - jump).alias("depth"))
