@@ -256,20 +256,14 @@ def destination_schedule(documents: DataFrame) -> DataFrame:
     )
 
 
-def nested_schedule(documents: DataFrame) -> DataFrame:
+def nested_schedule(owners: DataFrame) -> DataFrame:
     """Entries of a destination and of all parks below it, at any depth (of `validate.nested_schedules`).
 
     `owner_place` is the way to the owner: positions in `parks`, none for the document itself.
     """
-    doc = F.col("doc")
-
-    def owned(place: Column, owner: Column, entries: Column) -> Column:
-        return F.struct(place.alias("owner_place"), owner.alias("owner_id"), entries.alias("entries"))
-
-    below = F.transform("owners", lambda o: owned(o["place"], o["park"]["id"], o["park"]["schedule"]))
-    own = owned(F.array().cast("array<int>"), doc["id"], doc["schedule"])
-    per_owner = documents.select(*_KEYS, doc["id"].alias("root_id"), F.explode(F.concat(F.array(own), below)).alias("_o"))
-    rows = per_owner.select(*_KEYS, "root_id", "_o.owner_place", "_o.owner_id", F.posexplode("_o.entries").alias("ord", "_e"))
+    rows = owners.select(
+        *_KEYS, "root_id", "owner_place", F.col("record.id").alias("owner_id"), F.posexplode("record.schedule").alias("ord", "_e")
+    )
     return rows.select(*_KEYS, "root_id", "owner_place", "owner_id", "ord", *_entry_columns())
 
 

@@ -58,7 +58,7 @@ def queue_offers(live_rows: DataFrame) -> DataFrame:
 
     A variant that is there with only null fields is an offer; one that is null or missing is not.
     """
-    keep = [c for c in (*_ENTRY, "last_updated") if c in live_rows.columns]
+    keep = [c for c in (*_ENTRY, "last_updated", "poll_date") if c in live_rows.columns]
     offers = F.array(*[_offer(i + 1, v) for i, v in enumerate(QUEUE_VARIANTS)])
     rows = _with_queue(live_rows, *keep).select(*keep, F.explode(offers).alias("_o"))
     return rows.where(F.col("_o").isNotNull()).select(*keep, "_o.*")

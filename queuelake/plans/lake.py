@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuelake.functions import paths
+from queuelake.session import scratch_path
 
 # Children per document: customers share a document by blocks of their unique key.
 _CHILD_BLOCK = 1024
@@ -25,10 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table followed as a stream of files."""
-    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
-    reader = spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir)
+    """The events table followed as a stream: its rows land in three files, earlier events first, one file a batch."""
+    events = table(spark, sf_dir, "events")
+    location = scratch_path(spark, "events")
+    micros = events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    early, late = micros.approxQuantile("at", [1 / 3, 2 / 3], 0.01) or (0.0, 0.0)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for part in (at <= early, (at > early) & (at <= late), at > late):
+        events.where(part).coalesce(1).write.mode("append").parquet(location)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(location)
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -413,6 +419,25 @@ def destination_schedule_responses(spark: SparkSession, sf_dir: str) -> DataFram
     return _response(rows, "schedule", root, F.col("ts"), _body(document, F.col("seq")))
 
 
+def deep_schedule_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedules of four levels: the entry of an order sits one to four levels down, by its key; the levels above have
+    none. Every eleventh has a bad entry at its lowest level."""
+    rows = openings(spark, sf_dir)
+    seq = F.col("seq")
+    kind = F.when(seq % 11 == 0, "SHUT").otherwise(F.col("type"))
+    entries = F.array(F.struct("date", kind.alias("type"), "openingTime", "closingTime"))
+    names = ("dest-", "land-", "park-", "area-")
+
+    def level(depth: int) -> Column:
+        fields = [_tagged(names[depth], "o_custkey").alias("id"), F.when(seq % 4 == depth, entries).alias("schedule")]
+        if depth + 1 < len(names):
+            fields.append(F.when(seq % 4 > depth, F.array(level(depth + 1))).alias("parks"))
+        return F.struct(*fields)
+
+    root = _tagged("dest-", "o_custkey")
+    return _response(rows, "schedule", root, F.col("ts"), _body(level(0), seq))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parent links of destinations, parks and entities."""
     none = F.lit(None).cast("string")

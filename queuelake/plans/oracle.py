@@ -287,3 +287,25 @@ ORACLE["q82_stored_rejects"] = " UNION ALL ".join(
     f"SELECT seq, rule, field FROM ({ORACLE[name]})"
     for name in ("q10_rejects_unreadable", "q11_rejects_required", "q12_rejects_domain", "q13_rejects_naive_instant")
 )
+ORACLE["q83_stream_silver"] = ORACLE["q72_stream_offers"]
+ORACLE["q84_delivery_counts"] = f"""WITH {_V5}, d AS (SELECT CASE WHEN seq % 100 = 1 THEN 'unrouted' ELSE 'live' END AS kind, k FROM v5)
+    SELECT 'all' AS delivery, kind, count(*) FILTER (kind = 'live' AND k % 12 > 3) AS accepted,
+    count(*) FILTER (kind = 'unrouted' OR k % 12 <= 3) AS rejected FROM d GROUP BY kind"""
+ORACLE["q85_reject_counts"] = f"""SELECT 'all' AS delivery, 'live' AS kind, rule, field, count(*) AS rejects
+    FROM ({ORACLE["q82_stored_rejects"]}) GROUP BY rule, field"""
+ORACLE["q86_stored_deep_schedule"] = f"""WITH {_V7} SELECT seq, concat('dest-', o_custkey) AS root_id, CAST(seq % 4 AS INTEGER) AS depth,
+    concat(CASE seq % 4 WHEN 0 THEN 'dest-' WHEN 1 THEN 'land-' WHEN 2 THEN 'park-' ELSE 'area-' END, o_custkey) AS owner_id,
+    date, type FROM v7 WHERE seq % 11 <> 0"""
+ORACLE["q87_stored_live_day"] = f"""WITH {_V5} SELECT seq, id, status, {_STANDBY} AS wait FROM v5
+    WHERE CAST(last_updated AS DATE) = DATE '2024-01-15'"""
+ORACLE["q88_stored_nested_tables"] = f"""WITH {_V7}, {_V5}, p AS ({ORACLE["q27_purchases"]})
+    SELECT CASE seq % 2 WHEN 0 THEN 'showtimes' ELSE 'operating_hours' END AS "table", seq, entity_id, strftime(opening_time, {_T}) AS what FROM v7
+    UNION ALL SELECT 'dining', seq, id, CASE WHEN k % 9 <> 0 THEN CAST(k % 8 + 1 AS VARCHAR) END FROM v5 WHERE k % 3 = 1
+    UNION ALL SELECT 'tags', seq, id, concat('tag', k % 4, CASE k % 3 WHEN 0 THEN ' STRING' WHEN 1 THEN ' NUMBER' ELSE ' OBJECT' END) FROM v5 WHERE k % 5 < 3
+    UNION ALL SELECT 'purchases', seq, entity_id, purchase_id FROM p"""
+ORACLE["q89_entity_upcoming"] = """WITH ranked AS (
+    SELECT l_orderkey AS seq, concat('ent-', l_orderkey) AS entity_id, strftime(l_shipdate, '%Y-%m-%d') AS date,
+      CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+      max(l_shipdate) OVER (PARTITION BY year(l_shipdate), month(l_shipdate)) AS newest, l_shipdate
+    FROM lineitem WHERE l_orderkey = 7)
+    SELECT seq, entity_id, date, year, month FROM ranked WHERE l_shipdate = newest"""

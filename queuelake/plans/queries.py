@@ -25,7 +25,8 @@ from queuelake.operators import (
 )
 from queuelake.plans import lake
 from queuelake.session import prepare, scratch_path
-from queuelake.sources import bronze, silver, sinks, validate
+from queuelake.parks import ParkLake
+from queuelake.sources import bronze, deliveries, silver, sinks, validate
 from queuelake.streaming import live as stream
 
 RANGE_START, RANGE_END = dt.date(1996, 12, 30), dt.date(1997, 11, 5)
@@ -555,3 +556,80 @@ def _(spark, sf_dir):
     location = scratch_path(spark, "silver")
     silver.store(lake.faulty_responses(spark, sf_dir), location, "all")
     return silver.read(spark, location, "rejects/live").select("seq", "rule", "field")
+
+
+@query("q83_stream_silver")
+def _(spark, sf_dir):
+    """Offers of all tables that a stream of polls keeps, a delivery per micro-batch."""
+    location = scratch_path(spark, "silver")
+    silver.follow(_poll_stream(spark, sf_dir), location, scratch_path(spark, "silver-state"), "polls").awaitTermination()
+    rows = silver.read(spark, location, "offers")
+    return rows.select("seq", "id", "variant_ord", "type", "wait_time")
+
+
+@query("q84_delivery_counts")
+def _(spark, sf_dir):
+    """What came of every response of a delivery, by its manifest."""
+    location = scratch_path(spark, "silver")
+    failed = F.when(F.col("seq") % 100 == 1, 503).otherwise(F.col("status"))
+    silver.store(lake.faulty_responses(spark, sf_dir).withColumn("status", failed), location, "all")
+    return deliveries.counts(spark, location)
+
+
+@query("q85_reject_counts")
+def _(spark, sf_dir):
+    """Rejects by rule and field, as counted while they were written."""
+    location = scratch_path(spark, "silver")
+    silver.store(lake.faulty_responses(spark, sf_dir), location, "all")
+    return deliveries.rule_counts(spark, location)
+
+
+@query("q86_stored_deep_schedule")
+def _(spark, sf_dir):
+    """Entries of stored schedules of four levels."""
+    location = scratch_path(spark, "silver")
+    silver.store(lake.deep_schedule_responses(spark, sf_dir), location, "all")
+    rows = silver.read(spark, location, "destination_schedule")
+    return rows.select("seq", "root_id", F.size("owner_place").alias("depth"), "owner_id", "date", "type")
+
+
+LIVE_DAY = dt.date(2024, 1, 15)
+
+
+@query("q87_stored_live_day")
+def _(spark, sf_dir):
+    """Waits polled on one day: a scan of that day's folder of the live table."""
+    location = scratch_path(spark, "silver")
+    silver.store(lake.live_responses(lake.polls(spark, sf_dir)), location, "all")
+    rows = live.with_wait(silver.read(spark, location, "live").where(F.col("poll_date") == LIVE_DAY))
+    return rows.select("seq", "id", "status", "wait")
+
+
+@query("q88_stored_nested_tables")
+def _(spark, sf_dir):
+    """Rows of the tables made from lists inside live entries, entities and schedules."""
+    location = scratch_path(spark, "silver")
+    for name, responses in {
+        "hours": lake.hours_responses(spark, sf_dir),
+        "dining": lake.dining_responses(spark, sf_dir),
+        "tags": lake.tagged_responses(spark, sf_dir),
+        "purchases": lake.purchase_responses(spark, sf_dir),
+    }.items():
+        # All landed on one day, as a full listing does.
+        silver.store(responses.withColumn("fetched_at", F.lit(NOW)), location, name)
+    return (
+        _hours(silver.read(spark, location, "showtimes")).select(F.lit("showtimes").alias("table"), "seq", "entity_id", F.col("start_time").alias("what"))
+        .union(_hours(silver.read(spark, location, "operating_hours")).select(F.lit("operating_hours"), "seq", "entity_id", "start_time"))
+        .union(silver.read(spark, location, "dining").select(F.lit("dining"), "seq", "entity_id", F.col("party_size").cast("int").cast("string")))
+        .union(silver.read(spark, location, "tags").select(F.lit("tags"), "seq", "entity_id", F.concat_ws(" ", "tag", "value_kind")))
+        .union(silver.read(spark, location, "purchases").select(F.lit("purchases"), "seq", "entity_id", "purchase_id"))
+    )
+
+
+@query("q89_entity_upcoming")
+def _(spark, sf_dir):
+    """One entity's schedule through its handle, from a stored lake of all entities."""
+    location = scratch_path(spark, "bronze")
+    sinks.write_bronze(lake.purchase_responses(spark, sf_dir), location)
+    handle = ParkLake(bronze.read_bronze(spark, location)).entity("ent-7")
+    return handle.schedule_between(dt.date(1992, 1, 1), dt.date(2010, 12, 31)).select("seq", "entity_id", "date", "year", "month")

@@ -83,9 +83,11 @@ _ENTRY = _record(
 )
 _HEADER = ("id", "name", "entityType", "timezone")
 
-# A schedule document may repeat itself below `parks`. Two levels are unrolled; the third stays text, from
-# which `validate.nested_schedules` goes on, and for which the two-level tables reject the document.
+# A schedule document may repeat itself below `parks`. In the typed landing form two levels are unrolled and the
+# third stays text, for which `validate.documents` rejects the document.
 NESTED_SCHEDULE = _record(*_HEADER, "parks", schedule=T.ArrayType(_ENTRY))
+# One level of a schedule of any depth: what is below stays a variant until its own level is made.
+SCHEDULE_LEVEL = _record(*_HEADER, parks=T.VariantType(), schedule=T.ArrayType(_ENTRY))
 
 LANDING: dict[str, T.StructType] = {
     "destinations": _record(

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import shutil
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path, PurePosixPath
 from uuid import uuid4
 
 from pyspark import SparkFiles
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME_CONF = {
     # Landed text becomes an instant only through an explicit offset or zone; UTC keeps the rest neutral.
@@ -80,3 +83,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     scheme, _, rest = base.rpartition("://")
     joined = str(PurePosixPath(rest) / f"{name}-{uuid4().hex}")
     return f"{scheme}://{joined}" if scheme else joined
+
+
+_open_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder and read back: what follows starts from files, not from the lineage."""
+    path = scratch_path(frame.sparkSession, name)
+    if (scope := _open_scope.get()) is not None:
+        scope.append(path)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is `stored` inside is deleted at the end: for work whose results are written elsewhere by then."""
+    paths: list[str] = []
+    token = _open_scope.set(paths)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
+def file_system(spark: SparkSession, location: str):  # noqa: ANN201
+    """The file system of a location, and its path there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete(spark: SparkSession, location: str) -> None:
+    files, path = file_system(spark, location)
+    files.delete(path, True)

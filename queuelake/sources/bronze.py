@@ -58,7 +58,7 @@ def upcoming(bronze: DataFrame) -> DataFrame:
     return route(bronze).where((F.col("endpoint") == "schedule") & F.col("month").isNull())
 
 
-def decode(bronze: DataFrame, kind: str) -> DataFrame:
+def decode(bronze: DataFrame, kind: str, landing: T.StructType | None = None) -> DataFrame:
     """Parse each body once into `doc` (all scalars text) and `corrupt`.
 
     The body is parsed as the only element of a list inside a wrapper object that closes with a marker.
@@ -68,7 +68,7 @@ def decode(bronze: DataFrame, kind: str) -> DataFrame:
     """
     wrapper = T.StructType(
         [
-            T.StructField("doc", T.ArrayType(LANDING[kind])),
+            T.StructField("doc", T.ArrayType(landing or LANDING[kind])),
             T.StructField("end", T.StringType()),
             T.StructField(CORRUPT, T.StringType()),
         ]

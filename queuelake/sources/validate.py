@@ -7,7 +7,7 @@ Rules
   VAL4  instants carry an offset
   VAL6  numbers are numbers, numeric text included
   VAL7  a tag value is text, number or object
-  NEST  schedules repeat below `parks` at most once
+  NEST  schedules repeat below `parks` at most once, in the typed form; `schedule_levels` reads any depth
   BOOL  flags are booleans
 Queue fields are nullable by design: a null wait, state or group never rejects anything.
 
@@ -22,11 +22,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from queuelake import schemas as S
 from queuelake.functions.numbers import lax_boolean, lax_double
 from queuelake.functions.times import aware_instant
+from queuelake.session import stored
 from queuelake.sources.bronze import decode, of_kind
 
 _AS_JSON = "coalesce(contains(content_type, 'application/json'), false)"
@@ -203,51 +203,86 @@ def documents(bronze: DataFrame, kind: str, per_element: bool = False) -> DataFr
     return decoded.withColumn("doc", doc).drop("corrupt")
 
 
-def nested_schedules(bronze: DataFrame) -> DataFrame:
-    """Valid schedule documents of any depth: `doc` and `owners`, the records below it as (place, park).
+class ScheduleLevels(NamedTuple):
+    """Schedule documents of any depth, level by level, all of it stored.
 
-    `place` is the positions in `parks` from the top. Levels below the second land as text; each round parses the
-    next one in every document until none is left. One faulty element at any depth rejects its document.
+    documents: every response with `doc` (its own level), `corrupt`, `valid` and its number `doc_key`
+    owners: of valid documents, the document and every park below it as (`owner_place`, `record`); the place is the
+        positions in `parks` from the top, none for the document itself
+    rejects: rule and field of every broken rule; `parks` is repeated once a level
     """
-    wrapper = T.StructType(
-        [
-            T.StructField("doc", T.ArrayType(S.NESTED_SCHEDULE)),
-            T.StructField("end", T.StringType()),
-            T.StructField(S.CORRUPT, T.StringType()),
-        ]
+
+    documents: DataFrame
+    owners: DataFrame
+    rejects: DataFrame
+
+
+_LIST_OF_PARKS = "schema_of_variant(record.parks) LIKE 'ARRAY%'"
+_LEVEL = [
+    *_ROOT,
+    *_each("schedule", _ENTRY),
+    Check("VAL2", "parks", lambda r: f"coalesce(schema_of_variant({r}.parks) NOT LIKE 'ARRAY%' AND schema_of_variant({r}.parks) <> 'VOID', false)"),
+]
+
+
+def _broken_rules(checks: list[Check], record: str, prefix: str = "") -> str:
+    """SQL list of the broken rules of a record."""
+    found = [f"CASE WHEN {c.broken(record)} THEN named_struct('rule', '{c.rule}', 'field', '{prefix}{c.field}') END" for c in checks]
+    return f"filter(array({', '.join(found)}), v -> v IS NOT NULL)"
+
+
+def schedule_levels(bronze: DataFrame) -> ScheduleLevels:
+    """Read schedule documents whose `parks` repeat the document to any depth.
+
+    A body is parsed once, its `parks` as a variant. Each level is made from the parks of the level above that have
+    any, one row per park, and stored; a document without parks takes no part in further rounds, and none is parsed
+    again. One faulty record at any depth rejects its document.
+    """
+    keys = ("seq", "path", "fetched_at")
+    decoded = decode(of_kind(bronze, "schedule"), "schedule", S.SCHEDULE_LEVEL)
+    own = F.expr(_broken_rules(_LEVEL, "doc"))
+    unreadable = "CASE WHEN corrupt THEN array(named_struct('rule', 'VAL1', 'field', 'body'))" + (
+        f" WHEN NOT {_AS_JSON} THEN array(named_struct('rule', 'VAL1', 'field', 'content_type')) END"
     )
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT, "allowSingleQuotes": "false"}
-    rules = [*_ROOT, *_each("schedule", _ENTRY)]
-    faulty = _some("level.park", _element_broken(rules))
-    decoded = decode(of_kind(bronze, "schedule"), "schedule").where(f"NOT corrupt AND {_AS_JSON}")
-    decoded = decoded.where(f"NOT ({_any_broken([*_ON_DOCUMENT['schedule'], *_each('schedule', _ENTRY)], 'doc')})")
-    first = "transform(coalesce(doc.parks, array()), (p, i) -> named_struct('place', array(i), 'park', p))"
-    rows = decoded.drop("corrupt").withColumn("level", F.expr(first)).where(f"NOT {faulty}").withColumn("owners", F.col("level"))
-    done = None
+    top = decoded.select(F.monotonically_increasing_id().alias("doc_key"), "*").withColumn("broken", F.coalesce(F.expr(unreadable), own))
+    top = stored(top, "schedule-documents")
+    owners = top.select(
+        "doc_key", *keys, F.col("doc.id").alias("root_id"), F.array().cast("array<int>").alias("owner_place"), F.col("doc").alias("record"), "broken"
+    )
+    depth, level = 0, owners.where("size(broken) = 0")
     while True:
-        # A level that is there but no list is parsed too, and is then an error.
-        below = F.expr("exists(level, n -> coalesce(n.park.parks <> '[]', false))")
-        flat = rows.where(~below).drop("level")
-        done = flat if done is None else done.unionByName(flat)
-        rows = rows.where(below)
-        if rows.isEmpty():
-            return done
-
-        def parsed(n: Column) -> Column:
-            text = F.concat(F.lit('{"doc":'), F.coalesce(n["park"]["parks"], F.lit("[]")), F.lit(',"end":"end"}'))
-            is_list = F.coalesce(F.ltrim(n["park"]["parks"]).startswith("["), F.lit(True))
-            return F.struct(n["place"].alias("place"), is_list.alias("is_list"), F.from_json(text, wrapper, options).alias("read"))
-
-        # The parse sits inside a generator, so that it is not repeated.
-        rows = rows.select("*", F.explode(F.array(F.transform("level", parsed))).alias("read")).where(
-            f"NOT exists(read, n -> NOT n.is_list OR n.read.{S.CORRUPT} IS NOT NULL OR n.read.doc IS NULL)"
-        )
-        deeper = (
-            "flatten(transform(read, n -> transform(n.read.doc,"
-            " (p, i) -> named_struct('place', concat(n.place, array(i)), 'park', p))))"
+        open_ = level.where(_LIST_OF_PARKS)
+        below = open_.select(
+            "doc_key", *keys, "root_id", "owner_place",
+            F.posexplode(F.try_variant_get("record.parks", "$", "array<variant>")).alias("at", "park"),
+        )
+        # The record sits inside a generator, so that filters on it do not read the variant again.
+        record = F.try_variant_get("park", "$", S.SCHEDULE_LEVEL.simpleString())
+        below = below.select(
+            "doc_key", *keys, "root_id", F.concat("owner_place", F.array("at")).alias("owner_place"), F.explode(F.array(record)).alias("record")
         )
-        rows = rows.withColumn("level", F.expr(deeper)).drop("read").where(f"NOT {faulty}")
-        rows = rows.withColumn("owners", F.concat("owners", "level"))
+        depth += 1
+        prefix = "parks." * depth
+        missing = f"array(named_struct('rule', 'VAL2', 'field', '{prefix[:-1]}'))"
+        broken = f"CASE WHEN record IS NULL THEN {missing} ELSE {_broken_rules(_LEVEL, 'record', prefix)} END"
+        level = stored(below.withColumn("broken", F.expr(broken)), "schedule-level")
+        if level.isEmpty():
+            break
+        owners = owners.unionByName(level)
+        level = level.where("size(broken) = 0")
+    faulty = stored(owners.where("size(broken) > 0").select("doc_key", F.explode("broken").alias("v")), "schedule-faults")
+    keys_of_faulty = faulty.select("doc_key").distinct()
+    marked = top.drop("broken").join(keys_of_faulty.withColumn("faulty", F.lit(True)), "doc_key", "left")
+    documents = marked.withColumn("valid", F.col("faulty").isNull()).drop("faulty")
+    told = faulty.select("doc_key", "v.rule", "v.field").distinct().join(top.select("doc_key", *keys, "body"), "doc_key")
+    return ScheduleLevels(
+        documents, owners.drop("broken").join(keys_of_faulty, "doc_key", "left_anti"), told.select(*keys, "body", "rule", "field")
+    )
+
+
+def nested_schedules(bronze: DataFrame) -> DataFrame:
+    """Owners of the valid schedule documents of any depth (see `schedule_levels`)."""
+    return schedule_levels(bronze).owners
 
 
 def _violations(kind: str) -> Column:
