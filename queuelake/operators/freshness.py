@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from queuelake.functions.paths import LONGEST_TTL, endpoint, ttl_seconds
+from queuelake.functions.paths import endpoint, ttl_seconds
+from queuelake.session import stored as stored_rows
 
 _SECOND = 1_000_000  # microseconds
 
@@ -17,73 +18,33 @@ def fresh_hits(requests: DataFrame, stored: DataFrame) -> DataFrame:
     limit of its endpoint. A stored null body is never a hit, but it still replaces what was stored
     before it.
 
-    No request meets every response of its path, and no group grows with the data:
-      1. both sides shrink to one row per path and instant, combined before the shuffle;
-      2. inside one second of one path (at most a million instants) a window finds the newest response;
-      3. seconds without one look back over seconds, at most the longest limit plus one hour of them;
-      4. requests pick up their instant's answer through an equi-join with a unique right side.
+    No task needs all moments of a path, whatever share of the rows it has:
+      1. requests and responses are sorted by path and moment over range partitions, so a busy path lies in many;
+      2. inside a part, a window finds the last response before each request;
+      3. each part hands on the last response of each path in it; of the parts that follow, those without one of their
+         own before a request take it from there. There is a row per path and part of these.
     """
-    responses = stored.where(
-        F.col("status").between(200, 299) & (ttl_seconds(endpoint(F.col("path"))) > 0)
-    )
-    moments = responses.select(
-        "path",
-        F.col("fetched_at").alias("at"),
-        F.struct(F.col("seq"), F.col("body").isNotNull().alias("usable")).alias("stored"),
-        F.lit(False).alias("asked"),
-    ).unionByName(
-        requests.where(ttl_seconds(endpoint(F.col("path"))) > 0).select(
-            "path",
-            F.col("requested_at").alias("at"),
-            F.lit(None).cast("struct<seq:bigint,usable:boolean>").alias("stored"),
-            F.lit(True).alias("asked"),
-        )
-    )
-    instants = moments.groupBy("path", "at").agg(
-        F.max("stored").alias("stored"), F.max("asked").alias("asked")
-    )
-    instants = instants.select(
-        "path",
-        "at",
-        F.expr(f"unix_micros(at) div {_SECOND}").alias("second"),
-        F.when(F.col("stored").isNotNull(), F.struct("at", "stored.seq", "stored.usable")).alias("stored"),
-        "asked",
-    )
-    in_second = Window.partitionBy("path", "second").orderBy("at")
-    local = instants.select(
-        "path", "at", "second", "asked", F.last("stored", ignorenulls=True).over(in_second).alias("found")
-    )
-
-    # One row per path and second, placed in its own window of LONGEST_TTL seconds and the next one.
-    # Both this summary and the lookup below start from the shuffle behind `local`, which runs once.
-    seconds = local.groupBy("path", "second").agg(
-        F.max("found").alias("newest"), F.max("asked").alias("asked")
-    )
-    placed = seconds.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("shift")
-    ).withColumn("slot", F.expr(f"second div {LONGEST_TTL} + shift"))
-    earlier = (
-        Window.partitionBy("path", "slot").orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        placed.where(F.when(F.col("shift") == 0, F.lit(True)).otherwise(F.col("newest").isNotNull()))
-        .withColumn("carried", F.last("newest", ignorenulls=True).over(earlier))
-        .where((F.col("shift") == 0) & F.col("asked") & F.col("carried").isNotNull())
-        .select("path", "second", "carried")
-    )
+    limited = F.coalesce(ttl_seconds(endpoint(F.col("path"))) > 0, F.lit(False))
+    response = F.struct(F.col("fetched_at").alias("at"), "seq", F.col("body").isNotNull().alias("usable"))
+    request = F.struct(*requests.columns)
+    responses = stored.where(F.col("status").between(200, 299) & limited).select(
+        "path", F.col("fetched_at").alias("at"), response.alias("stored"), F.lit(None).cast(requests.schema).alias("request")
+    )
+    asked = requests.where(limited).select("path", F.col("requested_at").alias("at"), F.lit(None).cast(responses.schema["stored"].dataType).alias("stored"), request.alias("request"))
+    moments = responses.unionByName(asked).repartitionByRange("path", "at")
+    moments = stored_rows(moments.withColumn("part", F.spark_partition_id()), "moments")
+
+    # A response counts for requests of its very moment; of responses of one moment the later one counts.
+    order = [F.col("at"), F.col("request").isNotNull(), F.col("stored.seq")]
+    before = Window.partitionBy("part", "path").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = moments.withColumn("found", F.last("stored", ignorenulls=True).over(before)).where("request IS NOT NULL")
+    handed = moments.groupBy("part", "path").agg(F.max("stored").alias("newest"))
+    earlier = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = handed.select("part", "path", F.last("newest", ignorenulls=True).over(earlier).alias("carried")).where("carried IS NOT NULL")
 
     limit = ttl_seconds(endpoint(F.col("path")))
-    answers = (
-        local.where("asked")
-        .join(carried, ["path", "second"], "left")
-        .select("path", "at", F.coalesce("found", "carried").alias("hit"))
-        .where(F.col("hit.usable"))
-        .where(F.unix_micros("at") < F.unix_micros("hit.at") + limit.cast("long") * _SECOND)
-        .select(
-            "path",
-            F.col("at").alias("requested_at"),
-            F.col("hit.seq").alias("stored_seq"),
-            F.col("hit.at").alias("stored_at"),
-        )
-    )
-    return requests.join(answers, ["path", "requested_at"], "left")
+    hit = local.join(carried, ["part", "path"], "left").select("path", "at", "request", F.coalesce("found", "carried").alias("hit"))
+    fresh = F.coalesce(F.col("hit.usable") & (F.unix_micros("at") < F.unix_micros("hit.at") + limit.cast("long") * _SECOND), F.lit(False))
+    answered = hit.select("request.*", F.when(fresh, F.col("hit.seq")).alias("stored_seq"), F.when(fresh, F.col("hit.at")).alias("stored_at"))
+    none = requests.where(~limited).withColumns({"stored_seq": F.lit(None).cast("bigint"), "stored_at": F.lit(None).cast("timestamp")})
+    return answered.unionByName(none)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuelake.functions.times import months_between_inclusive
@@ -83,10 +83,29 @@ def ranges(requests: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def range_counts(requests: DataFrame, entries: DataFrame) -> DataFrame:
-    """Number of entries per request, 0 included. Entries are counted per entity, page and date before
-    the join, so at most one row per date meets a request, however busy the entity."""
+    """Number of entries per request, 0 included, by running totals: two lookups a request, however long its range.
+
+    Entries shrink to a count per entity and date before the shuffle. A running total over an entity's dates, among
+    them those that requests ask about, gives what lies up to each; a request takes the total at its end less that at
+    the day before its start. An entity has at most as many rows as there are dates. Entries that lie on the page of
+    another month than their date's, or whose date is none, are counted by the join of `ranges`.
+    """
+    day = F.when(F.col("date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("date").try_cast("date"))
+    at_home = F.coalesce((F.year(day) == F.col("year")) & (F.month(day) == F.col("month")), F.lit(False))
     daily = entries.groupBy("entity_id", "year", "month", "date").agg(F.count(F.lit(1)).alias("n"))
-    counted = ranges(requests, daily).groupBy("req_id").agg(F.sum("n").alias("entries"))
+
+    asked = requests.select("req_id", "entity_id", _asked("start_date").alias("first"), _asked("end_date").alias("last")).where("first <= last")
+    ends = F.array(F.struct(F.date_sub("first", 1).alias("day"), F.lit(-1).alias("sign")), F.struct(F.col("last").alias("day"), F.lit(1).alias("sign")))
+    looked_up = asked.select("req_id", "entity_id", F.explode(ends).alias("e")).select("req_id", "entity_id", "e.day", "e.sign")
+    dates = daily.where(at_home).select("entity_id", day.alias("day"), "n")
+    moments = dates.unionByName(looked_up.select("entity_id", "day").distinct().withColumn("n", F.lit(0).cast("bigint")))
+    moments = moments.groupBy("entity_id", "day").agg(F.sum("n").alias("n"))
+    so_far = Window.partitionBy("entity_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    totals = moments.select("entity_id", "day", F.sum("n").over(so_far).alias("total"))
+    found = looked_up.join(totals, ["entity_id", "day"]).select("req_id", (F.col("sign") * F.col("total")).alias("n"))
+
+    strays = ranges(requests, daily.where(~at_home)).select("req_id", "n")
+    counted = found.unionByName(strays).groupBy("req_id").agg(F.sum("n").alias("entries"))
     return (
         requests.select("req_id")
         .join(counted, "req_id", "left")

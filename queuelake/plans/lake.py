@@ -136,6 +136,23 @@ def directory_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _response(rows, "destinations", None, _epoch(), F.to_json(F.struct("destinations")))
 
 
+def listing_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory documents of parts: one per block of their unique key, brands as destinations, parts as their parks."""
+    key = F.col("p_partkey")
+    block = F.floor(key / _CHILD_BLOCK).cast("bigint")
+    park = F.struct(key.alias("ord"), _tagged("park-", "p_partkey").alias("id"), F.col("p_name").alias("name"))
+    rows = table(spark, sf_dir, "part").select(block.alias("seq"), "p_brand", park.alias("park"))
+    brands = rows.groupBy("seq", "p_brand").agg(F.array_sort(F.collect_list("park")).alias("parks"))
+    entry = F.struct(
+        F.col("p_brand").alias("id"),
+        F.concat("p_brand", F.lit(" Resort")).alias("name"),
+        F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))).alias("slug"),
+        F.col("parks"),
+    )
+    listing = brands.groupBy("seq").agg(F.array_sort(F.collect_list(entry)).alias("destinations"))
+    return _response(listing, "destinations", None, _epoch(), _body(F.struct("destinations"), F.col("seq")))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities: one per customer, below the park of its nation."""
     key = F.col("c_custkey")

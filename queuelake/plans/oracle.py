@@ -309,3 +309,12 @@ ORACLE["q89_entity_upcoming"] = """WITH ranked AS (
       max(l_shipdate) OVER (PARTITION BY year(l_shipdate), month(l_shipdate)) AS newest, l_shipdate
     FROM lineitem WHERE l_orderkey = 7)
     SELECT seq, entity_id, date, year, month FROM ranked WHERE l_shipdate = newest"""
+ORACLE["q90_listed_destinations"] = """SELECT p_partkey // 1024 AS seq, p_brand AS id, concat(p_brand, ' Resort') AS name,
+    lower(replace(p_brand, '#', '-')) AS slug, CAST(count(*) AS INTEGER) AS parks,
+    CAST(row_number() OVER (PARTITION BY p_partkey // 1024 ORDER BY p_brand) - 1 AS INTEGER) AS ord
+    FROM part GROUP BY p_partkey // 1024, p_brand"""
+ORACLE["q91_listed_parks"] = """SELECT p_partkey // 1024 AS seq, p_brand AS destination_id,
+    CAST(row_number() OVER (PARTITION BY p_partkey // 1024, p_brand ORDER BY p_partkey) - 1 AS INTEGER) AS park_ord,
+    concat('park-', p_partkey) AS park_id, p_name AS park_name FROM part"""
+ORACLE["q92_newest_colocated"] = ORACLE["q46_newest_payload"]
+ORACLE["q93_colocated_ranges"] = ORACLE["q41_schedule_ranges"]

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from queuelake.operators import (
 from queuelake.plans import lake
 from queuelake.session import prepare, scratch_path
 from queuelake.parks import ParkLake
-from queuelake.sources import bronze, deliveries, silver, sinks, validate
+from queuelake.sources import bronze, colocated, deliveries, silver, sinks, validate
 from queuelake.streaming import live as stream
 
 RANGE_START, RANGE_END = dt.date(1996, 12, 30), dt.date(1997, 11, 5)
@@ -528,7 +529,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     table, state = scratch_path(spark, "board"), scratch_path(spark, "board-state")
     rows = live.with_wait(stream.live_rows(_poll_stream(spark, sf_dir)))
-    stream.write_board(rows, table, state, "name", "status", "wait").awaitTermination()
+    stream.write_board(rows, table, state, "name", "status", "wait", buckets=8).awaitTermination()
     board = stream.read_board(spark, table)
     return board.select("id", "name", "status", "wait", _text("last_updated").alias("last_updated"), "seq")
 
@@ -633,3 +634,39 @@ def _(spark, sf_dir):
     sinks.write_bronze(lake.purchase_responses(spark, sf_dir), location)
     handle = ParkLake(bronze.read_bronze(spark, location)).entity("ent-7")
     return handle.schedule_between(dt.date(1992, 1, 1), dt.date(2010, 12, 31)).select("seq", "entity_id", "date", "year", "month")
+
+
+@query("q90_listed_destinations")
+def _(spark, sf_dir):
+    """Entries of many directory documents."""
+    docs = validate.documents(lake.listing_responses(spark, sf_dir), "destinations")
+    return flatten.destinations(docs).select("seq", "ord", "id", "name", "slug", F.size("parks").alias("parks"))
+
+
+@query("q91_listed_parks")
+def _(spark, sf_dir):
+    """Parks of many directory documents."""
+    docs = validate.documents(lake.listing_responses(spark, sf_dir), "destinations")
+    parks = flatten.destination_parks(flatten.destinations(docs))
+    return parks.select("seq", "destination_id", "park_ord", "park_id", "park_name")
+
+
+def _colocated(spark: SparkSession, store: Callable[..., DataFrame], rows: DataFrame) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return store(rows, f"colocated_{uuid4().hex}", scratch_path(spark, "colocated"), buckets)
+
+
+@query("q92_newest_colocated")
+def _(spark, sf_dir):
+    """Newest response per path, from a table in buckets by path and day."""
+    responses = _colocated(spark, colocated.store_responses, lake.landed_traffic(spark, sf_dir))
+    newest = colocated.newest_per_path(responses)
+    return newest.select("path", "seq", _text("fetched_at").alias("fetched_at"), "body")
+
+
+@query("q93_colocated_ranges")
+def _(spark, sf_dir):
+    """Many date ranges, against a table in buckets by entity and page."""
+    entries = _colocated(spark, colocated.store_entries, _entries(spark, sf_dir).drop("purchases"))
+    rows = schedule.ranges(lake.range_requests(spark, sf_dir), entries)
+    return rows.select("req_id", "entity_id", "seq", "date", "type")

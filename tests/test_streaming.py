@@ -9,6 +9,7 @@ from queuelake.operators import flatten, live
 from queuelake.plans import lake
 from queuelake.schemas import BRONZE
 from queuelake.session import scratch_path
+from queuelake.sources.deliveries import folders
 from queuelake.sources import validate
 from queuelake.streaming import live as stream
 
@@ -99,3 +100,68 @@ def test_dedupe_equals_batch_without_late_rows(spark, feed):
     expected = batch_rows(spark, feed).select("id", "last_updated").distinct()
     assert got.count() == expected.count() > 0
     assert got.exceptAll(expected).count() == 0
+
+
+def board_of(spark, table):
+    text = F.date_format("last_updated", "HH:mm")
+    return sorted(tuple(r) for r in stream.read_board(spark, table).select("id", text, "name").collect())
+
+
+def buckets_written(spark, table, batch):
+    return set(folders(spark, f"{table}/buckets/batch={batch}"))
+
+
+def test_a_trigger_writes_the_buckets_it_changes(spark, tmp_path):
+    folder, table, state = tmp_path / "in", str(tmp_path / "board"), str(tmp_path / "state")
+    folder.mkdir()
+
+    def run():
+        rows = stream.live_rows(stream.read_responses(spark, str(folder)))
+        stream.write_board(rows, table, state, "name", buckets=16).awaitTermination()
+        return board_of(spark, table)
+
+    everyone = [f"ride{i}" for i in range(60)]
+    poll_file(folder, 1, [(e, 600) for e in everyone])
+    assert run() == sorted((e, "10:00", e) for e in everyone)
+    first = buckets_written(spark, table, 0)
+    assert len(first) > 10
+    poll_file(folder, 2, [("ride7", 610), ("ride7", 605), ("new", 590), ("ride8", 590)])  # the last is older than what is shown
+    expected = sorted([(e, "10:10" if e == "ride7" else "10:00", e) for e in everyone] + [("new", "09:50", "new")])
+    assert run() == expected
+    assert len(buckets_written(spark, table, 1)) <= 3
+    # Both versions can still be read; the one before goes when the next is published.
+    assert folders(spark, f"{table}/published") == ["version=0", "version=1"]
+    poll_file(folder, 3, [(e, 620) for e in [*everyone, "new"]])
+    run()
+    poll_file(folder, 4, [("ride1", 630)])
+    run()
+    assert folders(spark, f"{table}/published") == ["version=2", "version=3"]
+    assert folders(spark, f"{table}/buckets") == ["batch=2", "batch=3"]
+
+
+@pytest.mark.parametrize("published", [False, True])
+def test_a_board_survives_a_batch_that_fails(spark, tmp_path, monkeypatch, published):
+    """Repeated after it failed before or after it was published, a batch leaves the board it would have left."""
+    folder, table, state = tmp_path / "in", str(tmp_path / "board"), str(tmp_path / "state")
+    folder.mkdir()
+
+    def run():
+        rows = stream.live_rows(stream.read_responses(spark, str(folder)))
+        stream.write_board(rows, table, state, "name", buckets=4).awaitTermination()
+
+    poll_file(folder, 1, [("a", 600), ("b", 600), ("c", 600)])
+    run()
+    before = board_of(spark, table)
+    poll_file(folder, 2, [("a", 610), ("d", 610)])
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(stream, "folders" if published else "write_table", lost if not published else lambda *a: lost() if a[1].endswith("buckets") else folders(*a))
+        with pytest.raises(Exception, match="lost"):
+            run()
+    if not published:
+        assert board_of(spark, table) == before
+    run()
+    assert board_of(spark, table) == [("a", "10:10", "a"), ("b", "10:00", "b"), ("c", "10:00", "c"), ("d", "10:10", "d")]
