@@ -43,12 +43,8 @@ def with_retry_wait(
     attempts: DataFrame, max_retries: int = http.MAX_RETRIES, respect_429: bool = True
 ) -> DataFrame:
     """Bounds of the wait before a retry: the server's hint on a rate limit, else the backoff bounds."""
-    hint = F.when(
-        F.col("outcome") == "rate_limited",
-        http.retry_after_seconds(F.col("retry_after"), F.col("received_at")),
-    )
-    low = F.coalesce(hint, http.backoff_low(F.col("attempt")))
-    high = F.coalesce(hint, http.backoff_high(F.col("attempt")))
+    low = F.coalesce(hint(), http.backoff_low(F.col("attempt")))
+    high = F.coalesce(hint(), http.backoff_high(F.col("attempt")))
     ruled = with_retry_rule(attempts, max_retries, respect_429)
     return ruled.withColumns(
         {"wait_low": F.when(F.col("retryable"), low), "wait_high": F.when(F.col("retryable"), high)}
@@ -68,19 +64,27 @@ def successes(finals: DataFrame) -> DataFrame:
     return finals.where(F.col("outcome") == "ok")
 
 
-def dead_letters(finals: DataFrame) -> DataFrame:
-    """Requests that failed for good, with the message, and the server's hint for rate limits."""
-    message = (
+def message() -> Column:
+    """What a failed attempt is reported as."""
+    return (
         F.when(F.col("outcome") == "timeout", F.concat(F.lit("request to "), F.col("url"), F.lit(" timed out")))
         .when(F.col("outcome") == "network", F.concat(F.lit("network error calling "), F.col("url")))
         .otherwise(
             http.error_message(F.col("status"), F.col("reason"), F.col("content_type"), F.col("body"))
         )
     )
-    hint = F.when(
+
+
+def hint() -> Column:
+    """The server's hint in seconds, for rate limits."""
+    return F.when(
         F.col("outcome") == "rate_limited",
         http.retry_after_seconds(F.col("retry_after"), F.col("received_at")),
     )
+
+
+def dead_letters(finals: DataFrame) -> DataFrame:
+    """Requests that failed for good, with the message, and the server's hint for rate limits."""
     failed = finals.where(F.col("outcome") != "ok")
     return failed.select(
         "request_id",
@@ -88,6 +92,20 @@ def dead_letters(finals: DataFrame) -> DataFrame:
         "outcome",
         "status",
         "url",
-        message.alias("message"),
-        hint.alias("retry_after_seconds"),
+        message().alias("message"),
+        hint().alias("retry_after_seconds"),
+    )
+
+
+def landed(attempts: DataFrame) -> DataFrame:
+    """Responses for the lake: the attempts that ended their request well, in the form of bronze rows.
+
+    Which attempt was a request's last is found by numbers alone; bodies meet that answer in a join on the request and
+    the attempt, of which only good attempts are a part.
+    """
+    last = attempts.groupBy("request_id").agg(F.max("attempt").alias("attempt"))
+    good = classify(attempts).where(F.col("outcome") == "ok")
+    ended = good.join(last, ["request_id", "attempt"])
+    return ended.select(
+        F.col("request_id").alias("seq"), F.col("url").alias("path"), F.col("received_at").alias("fetched_at"), "status", "content_type", "body"
     )

@@ -556,6 +556,20 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attempt_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attempt log as a stream of files, a second between attempts in `logged_at`; the last file holds a sign of life
+    of a day later, after which every request has ended."""
+    rows = attempts(spark, sf_dir).withColumn("logged_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq")))
+    newest = rows.agg(F.max("seq")).first()[0] or 0
+    location = scratch_path(spark, "attempts")
+    for first, last in ((0, newest // 3), (newest // 3 + 1, 2 * newest // 3), (2 * newest // 3 + 1, newest)):
+        rows.where(F.col("seq").between(first, last)).coalesce(1).write.mode("append").parquet(location)
+    alive = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[:-1]]
+    end = spark.range(1).select(*alive, F.timestamp_seconds(F.lit(1_704_067_200 + 86_400 + newest)).alias("logged_at"))
+    end.write.mode("append").parquet(location)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(location)
+
+
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored responses (even `seq`) and requests (odd `seq`); a fifth of all rows share one path."""
     k = F.col("k") % 5

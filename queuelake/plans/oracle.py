@@ -318,3 +318,8 @@ ORACLE["q91_listed_parks"] = """SELECT p_partkey // 1024 AS seq, p_brand AS dest
     concat('park-', p_partkey) AS park_id, p_name AS park_name FROM part"""
 ORACLE["q92_newest_colocated"] = ORACLE["q46_newest_payload"]
 ORACLE["q93_colocated_ranges"] = ORACLE["q41_schedule_ranges"]
+ORACLE["q94_stream_outcomes"] = ORACLE["q66_final_outcomes"]
+ORACLE["q95_stream_dead_letters"] = ORACLE["q67_dead_letters"]
+ORACLE["q96_landed_successes"] = f"""WITH {_FINAL} SELECT request_id AS seq, url AS path, strftime(received_at, {_T}) AS fetched_at,
+    status, content_type, body FROM ranked WHERE rn = 1 AND {_OUTCOME} = 'ok'"""
+ORACLE["q97_strict_dates"] = f"SELECT ord, instant FROM ({ORACLE['q52_instants']}) WHERE NOT ends_with(v, 'bad')"

@@ -28,6 +28,7 @@ from queuelake.plans import lake
 from queuelake.session import prepare, scratch_path
 from queuelake.parks import ParkLake
 from queuelake.sources import bronze, colocated, deliveries, silver, sinks, validate
+from queuelake.streaming import attempts as log_stream
 from queuelake.streaming import live as stream
 
 RANGE_START, RANGE_END = dt.date(1996, 12, 30), dt.date(1997, 11, 5)
@@ -670,3 +671,36 @@ def _(spark, sf_dir):
     entries = _colocated(spark, colocated.store_entries, _entries(spark, sf_dir).drop("purchases"))
     rows = schedule.ranges(lake.range_requests(spark, sf_dir), entries)
     return rows.select("req_id", "entity_id", "seq", "date", "type")
+
+
+def _followed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, state = scratch_path(spark, "outcomes"), scratch_path(spark, "outcomes-state")
+    rows = log_stream.final_outcomes(lake.attempt_stream(spark, sf_dir), "1 minute", at="logged_at")
+    stream.append_table(rows, table, state).awaitTermination()
+    return spark.read.parquet(table)
+
+
+@query("q94_stream_outcomes")
+def _(spark, sf_dir):
+    """How requests ended, from the attempt log followed as a stream."""
+    return _followed_outcomes(spark, sf_dir).select("request_id", "attempts", "attempt", "status", "outcome")
+
+
+@query("q95_stream_dead_letters")
+def _(spark, sf_dir):
+    """Requests that failed for good, from the attempt log followed as a stream."""
+    return log_stream.dead_letters(_followed_outcomes(spark, sf_dir))
+
+
+@query("q96_landed_successes")
+def _(spark, sf_dir):
+    """Responses that reach the lake from the attempt log."""
+    rows = log.landed(lake.attempts(spark, sf_dir))
+    return rows.select("seq", "path", _text("fetched_at").alias("fetched_at"), "status", "content_type", "body")
+
+
+@query("q97_strict_dates")
+def _(spark, sf_dir):
+    """Instants of date texts that are known to be good, read so that a bad one would fail the query."""
+    good = lake.date_texts(spark, sf_dir).where(~F.col("v").endswith("bad"))
+    return good.select("ord", _text(times.parse_api_datetime("v", "tz", strict=True)).alias("instant"))

@@ -11,6 +11,7 @@ from queuelake.schemas import BRONZE
 from queuelake.session import scratch_path
 from queuelake.sources.deliveries import folders
 from queuelake.sources import validate
+from queuelake.streaming import attempts as log_stream
 from queuelake.streaming import live as stream
 
 SF = "/root/testdata/sf0.001"
@@ -165,3 +166,51 @@ def test_a_board_survives_a_batch_that_fails(spark, tmp_path, monkeypatch, publi
         assert board_of(spark, table) == before
     run()
     assert board_of(spark, table) == [("a", "10:10", "a"), ("b", "10:00", "b"), ("c", "10:00", "c"), ("d", "10:10", "d")]
+
+
+def attempt_file(folder, number, attempts):
+    lines = []
+    for request, attempt, second, status, hint in attempts:
+        at = f"2026-04-14T10:{second // 60:02d}:{second % 60:02d}Z"
+        lines.append(json.dumps({"request_id": request, "attempt": attempt, "url": f"/entity/{request}", "received_at": at, "status": status,
+                                 "reason": "x", "retry_after": hint, "content_type": "text/plain", "body": f"body {attempt}"}))
+    (folder / f"{number}.json").write_text("\n".join(lines))
+
+
+def test_outcomes_are_told_when_no_retry_can_come(spark, tmp_path):
+    """Over batches and restarts; a long hint keeps a request open; what comes after the end is kept apart."""
+    folder, table, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+    schema = ("request_id bigint, attempt int, url string, received_at timestamp, status int, reason string, failure string,"
+              " retry_after string, content_type string, body string")
+
+    def run():
+        attempts = spark.readStream.schema(schema).json(str(folder))
+        stream.append_table(log_stream.final_outcomes(attempts, "5 seconds", patience_seconds=20), table, state).awaitTermination()
+        return sorted((r.request_id, r.attempts, r.attempt, r.outcome) for r in spark.read.schema(OUTCOMES).parquet(table).collect())
+
+    attempt_file(folder, 1, [(1, 0, 0, 503, None), (2, 0, 1, 200, None), (3, 0, 2, 429, "100"), (1, 1, 9, 503, None)])
+    assert run() == []
+    attempt_file(folder, 2, [(1, 2, 15, 404, None), (4, 0, 60, 200, None)])  # joins what the first batch left open
+    assert run() == [(1, 3, 2, "api_error"), (2, 1, 0, "ok")]
+    attempt_file(folder, 3, [(3, 1, 101, 200, None), (2, 1, 4, 500, None), (5, 0, 160, 200, None)])  # as hinted; far too late
+    found = run()
+    assert found == [(1, 3, 2, "api_error"), (2, 1, 0, "ok"), (3, 2, 1, "ok"), (4, 1, 0, "ok")]
+    outcomes = spark.read.parquet(table)
+    letters = log_stream.dead_letters(outcomes).collect()
+    assert [(r.request_id, r.message) for r in letters] == [(1, "404 x: body 2")]
+    late = log_stream.late_attempts(spark.read.schema(schema).json(str(folder)), outcomes)
+    assert [(r.request_id, r.attempt) for r in late.collect()] == [(2, 1)]
+    attempt_file(folder, 4, [(2, 2, 100, 500, None)])  # beyond what its session was, and before the watermark
+    assert run() == found
+    late = log_stream.late_attempts(spark.read.schema(schema).json(str(folder)), outcomes)
+    assert sorted((r.request_id, r.attempt) for r in late.collect()) == [(2, 1), (2, 2)]
+
+
+OUTCOMES = "request_id bigint, attempts bigint, attempt int, status int, outcome string"
+
+
+def test_bodies_are_no_state(spark, tmp_path):
+    rows = log_stream.final_outcomes(lake.attempt_stream(spark, SF), "1 minute", at="logged_at")
+    assert "body" not in rows.columns and rows.isStreaming
+    assert {"message", "closed_at"} <= set(rows.columns)
