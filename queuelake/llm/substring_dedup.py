@@ -34,7 +34,7 @@ from queuelake.session import prepare
 WIDTH, GRAM = 200, 64
 RUN_ROWS = 20_000
 #: Bytes of contexts whose ranks are doubled together.
-_CHUNK = 8 << 20
+_CHUNK = 1 << 20
 #: Rows of step 1. pos: start of the first of n windows; back: bytes from there to the gram.
 _ROW = "fp bigint, ctx bigint, key bigint, pos bigint, n int, back int, state int"
 #: States before the sort: open, decided, stands for a decided context. After it: decided, open, decided witness.
@@ -206,8 +206,8 @@ def _contexts(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def _rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Dense ranks of pairs of ranks."""
-    return np.unique((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64), return_inverse=True)[1]
+    """Dense ranks of pairs of ranks, in 32 bits: there are fewer than bytes in a chunk."""
+    return np.unique((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64), return_inverse=True)[1].astype(np.uint32)
 
 
 def repeated_windows(fp: np.ndarray, back: np.ndarray, n: np.ndarray, bodies: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +220,7 @@ def repeated_windows(fp: np.ndarray, back: np.ndarray, n: np.ndarray, bodies: li
     # Windows can be equal only with the same gram at the same offset.
     name = _rank(np.unique(fp, return_inverse=True)[1][context], back[context] - number)
     eight = np.lib.stride_tricks.sliding_window_view(data, 8)
-    rank = np.unique(np.ascontiguousarray(eight).view(np.uint64).ravel(), return_inverse=True)[1]
+    rank = np.unique(np.ascontiguousarray(eight).view(np.uint64).ravel(), return_inverse=True)[1].astype(np.uint32)
     length = 8
     live = np.arange(len(context))
     while length < 64 and length * 2 <= width:
