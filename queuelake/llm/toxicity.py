@@ -10,6 +10,7 @@ of its toxic documents reach.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ WINDOW, STRIDE = 24, 12
 FIT_TOXIC, FIT_OTHER, FIT_BYTES = 1500, 3000, 20_000
 CUT = 0.7
 _HIDDEN, _WORD, _CHAR, _CHAR_CELLS = 8, 8, 8, 4096
-_STEPS, _BATCH, _RESCORE = 1000, 192, 125
+_STEPS, _BATCH, _RESCORE = 1800, 192, 150
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[48:58] = _LETTERS[97:123] = _LETTERS[128:] = True
@@ -259,14 +260,30 @@ def _best_cut(worst: np.ndarray, labels: np.ndarray) -> float:
     return float(np.nan_to_num((value[at] + value[at - 1]) / 2, neginf=0.0))
 
 
+def _train(table: pa.Table) -> pa.Table:
+    """The network fitted to one table of drawn documents, as bytes."""
+    table = table.sort_by([("toxic", "descending"), ("turn", "ascending")])
+    network = train(table.column("text").to_pylist(), table.column("toxic").to_numpy())
+    return pa.table({"network": pa.array([pickle.dumps(network)], pa.binary())})
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """Train on labelled documents whose crc32(doc_id as text) modulo 3 is not 1, drawn by a hash of their text."""
+    """Train on labelled documents whose crc32(doc_id as text) modulo 3 is not 1, drawn by a hash of their text.
+
+    Texts are drawn, not rows: a text that many documents have counts once for each label. The draw sees hashes and
+    ids; only texts that are drawn travel, to the task that trains. The driver gets the weights.
+    """
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where((id_hash() % 3 != 1) & (F.octet_length("text") <= FIT_BYTES) & (F.octet_length("text") > 0)).select("doc_id", "text")
-    rows = rows.join(known, "doc_id").select("text", "toxic", F.xxhash64("text", F.lit(23)).alias("turn"))
-    rows = stored(rows, "toxic-sample")
-    drawn = [r for toxic, most in ((1, FIT_TOXIC), (0, FIT_OTHER)) for r in rows.where(F.col("toxic") == toxic).orderBy("turn", "text").limit(most).collect()]
-    return train([r.text for r in drawn], np.array([r.toxic for r in drawn], int))
+    fits = docs.where((id_hash() % 3 != 1) & (F.octet_length("text") <= FIT_BYTES) & (F.octet_length("text") > 0))
+    rows = fits.select("doc_id", F.xxhash64("text", F.lit(23)).alias("turn")).join(known, "doc_id")
+    texts = stored(rows.groupBy("turn", "toxic").agg(F.min("doc_id").alias("doc_id")), "toxic-texts")
+    drawn = [texts.where(F.col("toxic") == toxic).orderBy("turn").limit(most) for toxic, most in ((1, FIT_TOXIC), (0, FIT_OTHER))]
+    drawn = stored(drawn[0].union(drawn[1]), "toxic-draw")
+    # A repeated doc_id may have several texts; the hash tells which was drawn.
+    sample = fits.select("doc_id", F.xxhash64("text", F.lit(23)).alias("turn"), "text").join(F.broadcast(drawn), ["doc_id", "turn"])
+    sample = stored(sample.dropDuplicates(["turn", "toxic"]).select("turn", "toxic", "text"), "toxic-sample")
+    fitted = sample.groupBy().applyInArrow(_train, "network binary").collect()
+    return pickle.loads(fitted[0].network) if fitted else train([], np.zeros(0, int))
 
 
 def _score(network) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
