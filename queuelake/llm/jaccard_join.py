@@ -4,7 +4,9 @@
    (the digest of the array), so copies never meet each other: tasks list a node once, whatever its copies.
 2. Shingles are ordered rarest first, by a table of counts over all documents (hashed, of fixed size; any common order
    gives right results, a better one gives shorter lists). A node of n shingles is listed under the first
-   n - ceil(t n) + 1 of them; two nodes that link share one of these.
+   n - ceil(t n) + 1 of them; two nodes that link share one of these, and the first one they share leads: it is among
+   the first n - ceil(2 t n / (1 + t)) + 1 of the smaller. A list, in order of size, is cut where no row leads to the
+   next ones within the sizes that can link, and rows that nothing leads to are dropped before anything is stored.
 3. In two rounds each list proposes pairs of its nodes with one of them, a hub; lists of one group get one of a few
    hubs, so a group of m near copies costs a few times m proposals. A proposed pair is compared by bitmap signatures:
    bits of one that the other lacks bound the overlap from above. Only pairs that pass meet with their sorted arrays,
@@ -40,6 +42,8 @@ _CELLS, _PIECES = 1 << 24, 16
 #: Hubs of a group in each round, as masks that reorder the nodes; nodes of a block; nodes of a cluster cut in blocks.
 _HUBS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
 BLOCK_NODES, CLUSTER_NODES = 512, 50_000
+#: Two rows of a list that can be those of the first shared shingle of a link.
+_MAY_LINK = "100L * least({a}size, {b}size) >= {percent}L * greatest({a}size, {b}size) AND ({a}leads OR {a}size > {b}size) AND ({b}leads OR {b}size > {a}size)"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +125,7 @@ def _counts(sets: DataFrame) -> np.ndarray:
 
 
 def _listed(width: int, percent: int, counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
-    """Rows (shingle, node, size) of the rarest shingles of each node, once per task."""
+    """Rows (shingle, node, size, leads) of the rarest shingles of each node, once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = counts.value, set()
@@ -134,32 +138,57 @@ def _listed(width: int, percent: int, counts) -> Callable[[Iterator[pa.RecordBat
             row, value = row[order], value[order]
             first, size = textbytes.runs(row)
             listed = size - (percent * size + 99) // 100 + 1
-            keep = np.arange(len(row)) - np.repeat(first, size) < np.repeat(listed, size)
-            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[row[keep]]), pa.array(np.repeat(size, size)[keep].astype(np.int32))], names=["shingle", "node", "size"])
+            leading = size - (2 * percent * size + 99 + percent) // (100 + percent) + 1
+            place = np.arange(len(row)) - np.repeat(first, size)
+            keep = place < np.repeat(listed, size)
+            leads = (place < np.repeat(leading, size))[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[row[keep]]), pa.array(np.repeat(size, size)[keep].astype(np.int32)), pa.array(leads)], names=["shingle", "node", "size", "leads"])
 
     return run
 
 
-def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by shingle and node, one per node of each shingle that lists two nodes or more."""
-    held: tuple[pa.RecordBatch, bool] | None = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        rows = pa.Table.from_batches([held[0], batch] if held else [batch]).combine_chunks().to_batches()[0]
-        shingle, node = rows.column("shingle").to_numpy(), rows.column("node").to_numpy()
-        new = np.ones(len(rows), bool)
-        new[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
-        rows, shingle = rows.filter(pa.array(new)), shingle[new]
-        keep = np.zeros(len(rows), bool)
-        keep[0] = held is not None and held[1]
-        follows = shingle[1:] == shingle[:-1]
-        keep[1:] |= follows
-        held = rows.slice(len(rows) - 1), bool(keep[-1])
-        keep[:-1] |= follows
-        yield rows.filter(pa.array(keep)).slice(0, int(keep[:-1].sum()))
-    if held and held[1]:
-        yield held[0]
+def _in_lists(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows sorted by shingle, size and node, one per node, where some row leads to another of a size that can link.
+
+    `shingle` becomes the name of the part of the list. The last row of a batch is held, as the next may follow it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([held[0], batch] if held else [batch]).combine_chunks().to_batches()[0]
+            shingle, node = rows.column("shingle").to_numpy(), rows.column("node").to_numpy()
+            new = np.ones(len(rows), bool)
+            new[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
+            rows, shingle, node = rows.filter(pa.array(new)), shingle[new], node[new]
+            size, leads = rows.column("size").to_numpy().astype(np.int64), rows.column("leads").to_numpy(zero_copy_only=False)
+            at = np.arange(len(rows))
+            begin = np.zeros(len(rows), np.int64)
+            begin[1:] = np.where(shingle[1:] != shingle[:-1], at[1:], 0)
+            begin = np.maximum.accumulate(begin)
+            # The size of the latest leading row of the list, this row included; 0 if there is none.
+            latest = np.maximum.accumulate(np.where(leads, at, -1))
+            reach = np.where(latest >= begin, size[latest], held[3] if held else 0)
+            reach[(latest < begin) & (begin > 0)] = 0
+            follows = np.zeros(len(rows), bool)
+            follows[0] = held is not None and held[1]
+            follows[1:] = (at[1:] > begin[1:]) & (100 * reach[:-1] >= percent * size[1:])
+            start = np.maximum.accumulate(np.where(leads & ~follows, at, -1))
+            name = textbytes.mix(shingle.view(np.uint64) + textbytes.mix(node.view(np.uint64)[start])).view(np.int64)
+            if held:
+                name[(start < 0) & (begin == 0)] = held[2]
+            keep = follows.copy()
+            keep[:-1] |= leads[:-1] & follows[1:]
+            rows = rows.set_column(0, "shingle", pa.array(name))
+            yield rows.slice(0, len(rows) - 1).filter(pa.array(keep[:-1])).select(["shingle", "node", "size", "leads"])
+            # Held with its own shingle, by which the next row is compared.
+            held = rows.slice(len(rows) - 1).set_column(0, "shingle", pa.array(shingle[-1:])), bool(follows[-1]), name[-1], int(reach[-1])
+        if held and held[1]:
+            yield held[0].set_column(0, "shingle", pa.array([held[2]], pa.int64()))
+
+    return run
 
 
 def _signature(value: np.ndarray, factor: int = 4) -> bytes:
@@ -307,10 +336,10 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     rows = sets.where("piece IS NULL").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     counts = spark.sparkContext.broadcast(_counts(sets))
 
-    listed = docs.where("doc_id IS NOT NULL").mapInArrow(_listed(width, percent, counts), "shingle bigint, node bigint, size int")
+    listed = docs.where("doc_id IS NOT NULL").mapInArrow(_listed(width, percent, counts), "shingle bigint, node bigint, size int, leads boolean")
     # A node is listed once by each task that has a copy.
-    sorted_lists = listed.repartition("shingle").sortWithinPartitions("shingle", "node")
-    lists = stored(sorted_lists.mapInArrow(_in_lists, "shingle bigint, node bigint, size int"), "shingle-lists")
+    sorted_lists = listed.repartition("shingle").sortWithinPartitions("shingle", "size", "node")
+    lists = stored(sorted_lists.mapInArrow(_in_lists(percent), "shingle bigint, node bigint, size int, leads boolean"), "shingle-lists")
     sets = _Sets(docs, rows, width, percent)
     bitmaps = sets.of(lists.select("node").distinct(), 4)
 
@@ -319,8 +348,9 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         # Which hub a list takes goes by its shingle.
         mask = F.element_at(F.array(*[F.lit(m) for m in _HUBS]), (F.pmod(F.shiftright("shingle", 7 + turn), F.lit(len(_HUBS))) + 1).cast("int"))
         turned = F.col("node").bitwiseXOR(mask)
-        hubs = open_lists.groupBy("shingle").agg(F.min(turned).alias("hub"))
-        stars = open_lists.join(hubs, "shingle").select(F.col("hub").bitwiseXOR(mask).alias("hub"), "node").where("hub <> node")
+        hubs = open_lists.groupBy("shingle").agg(F.min(F.struct(turned.alias("node"), F.col("size"), F.col("leads"))).alias("hub"))
+        stars = open_lists.join(hubs, "shingle").where(_MAY_LINK.format(a="hub.", b="", percent=percent))
+        stars = stars.select(F.col("hub.node").bitwiseXOR(mask).alias("hub"), "node").where("hub <> node")
         pairs = stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
         links = sets.verified(pairs, bitmaps)
         found = links if found is None else found.union(links)
@@ -340,7 +370,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         wide = open_lists.join(clusters.join(large, "cluster", "left_semi").select("node"), "node", "left_semi")
         met = wide.alias("a").join(
             wide.alias("b"),
-            F.expr(f"a.shingle = b.shingle AND a.component <> b.component AND a.node < b.node AND 100L * least(a.size, b.size) >= {percent}L * greatest(a.size, b.size)"),
+            F.expr("a.shingle = b.shingle AND a.component <> b.component AND a.node < b.node AND " + _MAY_LINK.format(a="a.", b="b.", percent=percent)),
         )
         rest = rest.union(sets.verified(met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), bitmaps))
 

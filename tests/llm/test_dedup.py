@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests_prose import prose
 
@@ -108,6 +109,23 @@ def test_near_duplicates(as_docs, odd_rows, block_nodes, cluster_nodes):
     assert len(set(expected.values())) < len(expected) - 20
 
 
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_lists_are_cut_where_nothing_leads_on(batch):
+    """Every pair that a list has to propose stays in one part of it, however the rows are cut in batches."""
+    draw = random.Random(6)
+    rows = sorted((draw.randrange(12), int(1.3 ** draw.randrange(1, 14)) + draw.randrange(3), node) for node in range(160))
+    leads = [draw.random() < 0.4 for _ in rows]
+    table = pa.table({"shingle": [r[0] for r in rows], "node": [r[2] for r in rows], "size": pa.array([r[1] for r in rows], pa.int32()), "leads": leads})
+    twice = table.take(pa.array([i for i in range(len(rows)) for _ in range(1 + i % 2)]))
+    found = [r for b in jaccard_join._in_lists(80)(iter(twice.to_batches(max_chunksize=batch))) for r in b.to_pylist()]
+    part = {r["node"]: r["shingle"] for r in found}
+    assert len(part) == len(found)
+    pairs = [(x[2], y[2]) for i, x in enumerate(rows) for y in rows[i + 1 :] if leads[i] and x[0] == y[0] and 100 * x[1] >= 80 * y[1]]
+    assert all(part[x] == part[y] for x, y in pairs)
+    assert set(part) == {node for pair in pairs for node in pair}
+    assert len(set(part.values())) > 12
+
+
 def test_overlap_bound_never_below():
     draw = np.random.default_rng(4)
     for n, m in ((1, 1), (30, 37), (200, 160), (900, 5)):
