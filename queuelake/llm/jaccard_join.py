@@ -92,16 +92,19 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("piece", pa.int64()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(_CELLS, np.uint32)
+        # A task counts to 255 in a cell: what is more frequent than that is no rare shingle anyway.
+        table = np.zeros(_CELLS, np.uint8)
         for rows, data, offsets in textbytes.slices(batches):
             row, value = shingles(data, offsets, width)
             count, node = _digests(row, value, len(rows))
-            np.add.at(table, _cell(value), np.uint32(1))
+            cell, n = np.unique(_cell(value), return_counts=True)
+            table[cell] = np.minimum(table[cell] + n, 255)
             none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(count, pa.int64()), pa.array(node, pa.int64(), mask=count == 0), none, pa.nulls(len(rows), pa.binary())], schema=schema)
         if table.any():
-            none = pa.nulls(_PIECES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(_PIECES), pa.int64()), pa.array([zlib.compress(np.minimum(p, 0xFFFF).astype(np.uint16).tobytes(), 1) for p in np.split(table, _PIECES)], pa.binary())], schema=schema)
+            none = pa.nulls(1, pa.int64())
+            for piece, counts in enumerate(np.split(table, _PIECES)):
+                yield pa.RecordBatch.from_arrays([none, none, none, pa.array([piece], pa.int64()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], schema=schema)
 
     return run
 
@@ -109,7 +112,7 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 def _sum_cells(table: pa.Table) -> pa.Table:
     total = np.zeros(_CELLS // _PIECES, np.uint64)
     for counts in table.column("counts"):
-        total += np.frombuffer(zlib.decompress(counts.as_py()), np.uint16)
+        total += np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
     # Only the order of the counts matters: eighths of their logarithm keep it well enough in a byte each.
     total = np.rint(8 * np.minimum(np.log2(1.0 + total), 31)).astype(np.uint8)
     return pa.table({"piece": table.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
@@ -340,6 +343,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     # A node is listed once by each task that has a copy.
     sorted_lists = listed.repartition("shingle").sortWithinPartitions("shingle", "size", "node")
     lists = stored(sorted_lists.mapInArrow(_in_lists(percent), "shingle bigint, node bigint, size int, leads boolean"), "shingle-lists")
+    counts.unpersist()
     sets = _Sets(docs, rows, width, percent)
     bitmaps = sets.of(lists.select("node").distinct(), 4)
 

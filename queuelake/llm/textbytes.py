@@ -50,7 +50,10 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) with at most `limit` bytes of column `text`, or one longer row."""
+    """(rows, bytes, offsets) with at most `limit` bytes of column `text`, or one longer row.
+
+    At the end the task's worker, which waits for the next task, gives back the memory that batches had.
+    """
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         row = 0
@@ -58,6 +61,7 @@ def slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
             end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
             yield batch.slice(row, end - row), data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
             row = end
+    pa.default_memory_pool().release_unused()
 
 
 def lower(data: np.ndarray) -> np.ndarray:
