@@ -287,6 +287,16 @@ def _learn(tables) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return run
 
 
+def _add_lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the lessons of a task's rows come to: their words, and sums of weights (times words) and of hits."""
+    words, weights, hits = 0, 0, 0
+    for batch in batches:
+        for n, w, h in zip(*(batch.column(c).to_pylist() for c in ("words", "weights", "hits")), strict=True):
+            words, weights, hits = words + n, weights + n * np.frombuffer(w, np.float32).astype(float), hits + np.frombuffer(h)
+    if words:
+        yield pa.RecordBatch.from_arrays([pa.array([words], pa.int64()), pa.array([weights.tobytes()], pa.binary()), pa.array([hits.tobytes()], pa.binary())], names=["words", "weights", "hits"])
+
+
 def pair_cost(pairs: Pairs, table: np.ndarray, mixer: Mixer) -> np.ndarray:
     """Natural log probability of each pair's letters and their close, from the log odds of all cells."""
     total = np.zeros(pairs.pair[-1] + 1 if len(pairs.pair) else 0)
@@ -345,15 +355,12 @@ class Corpus:
         counts = flat.reshape(len(ORDERS), 2, _CELLS)
         tables = spark.sparkContext.broadcast(counts)
         self.mixer = Mixer()
-        # A row of some 50 KB for each task.
-        learned = training.mapInArrow(_learn(tables), "words bigint, weights binary, hits binary")
-        total, weights = 0, 0
-        for r in learned.toLocalIterator():
-            weights = weights + r.words * np.frombuffer(r.weights, np.float32).reshape(_GATES, -1).astype(float)
-            self.mixer.hits += np.frombuffer(r.hits).reshape(self.mixer.hits.shape)
-            total += r.words
-        if total:
-            self.mixer.weights = (weights / total).astype(np.float32)
+        # All parts learn at the same time; their rows of some 40 KB are added up by tasks that read many of them.
+        lessons = "words bigint, weights binary, hits binary"
+        learned = stored(training.mapInArrow(_learn(tables), lessons), "lessons").mapInArrow(_add_lessons, lessons).collect()
+        if learned:
+            self.mixer.weights = (sum(np.frombuffer(r.weights) for r in learned) / sum(r.words for r in learned)).astype(np.float32).reshape(_GATES, -1)
+            self.mixer.hits = sum(np.frombuffer(r.hits) for r in learned).reshape(self.mixer.hits.shape)
         tables.unpersist()
         self.table = spark.sparkContext.broadcast(log_odds(*counts.astype(np.float32).swapaxes(0, 1)))
 
