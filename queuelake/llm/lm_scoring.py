@@ -82,17 +82,16 @@ class Tokens:
             yield Pairs(self.words.take(pa.array(words)), word, self.before[part]), self.n[part], part
 
 
-_POSTINGS = "block bigint, word binary, rows binary, times binary, doc_ids array<bigint>, held_out array<boolean>, bytes array<bigint>, scores array<double>"
+_POSTINGS = "block bigint, word binary, rows binary, times binary, docs binary"
 
 
 def _postings(table, mixer: Mixer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
     """For each block of documents, a row for each distinct word (in which rows, how often) and one that names the
-    rows and has their scores."""
+    rows and has their scores, as one Arrow table in a column: lists would cost every row of a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         block = context.partitionId() << 32 if context else 0
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.float64()))
         names = [c.split()[0] for c in _POSTINGS.split(", ")]
         for docs, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
             low = textbytes.lower(data)
@@ -102,12 +101,15 @@ def _postings(table, mixer: Mixer) -> Callable[[Iterator[pa.RecordBatch]], Itera
             word_of, row_of = pair // max(1, len(docs)), (pair % max(1, len(docs))).astype(np.uint16)
             begin, size = textbytes.runs(word_of)
             cut = lambda values, width: pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(begin, len(pair)).astype(np.int32) * np.int32(width)), pa.py_buffer(values.tobytes())])
-            none = lambda kind: pa.nulls(len(size), kind)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(size), block)), textbytes.gather(low, starts[first], ends[first]), cut(row_of, 2), cut(times.astype(np.uint32), 4), *(none(k) for k in kinds[4:])], names=names
+                [pa.array(np.full(len(size), block)), textbytes.gather(low, starts[first], ends[first]), cut(row_of, 2), cut(times.astype(np.uint32), 4), pa.nulls(len(size), pa.binary())], names=names
             )
-            named = [[docs.column("doc_id").to_pylist()], [docs.column("held_out").to_pylist()], [np.diff(offsets).tolist()], [document_scores(low, offsets, table.value, mixer).tolist()]]
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b""], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *(pa.array(v, k) for v, k in zip(named, kinds[4:], strict=True))], names=names)
+            facts = [docs.column("doc_id"), docs.column("held_out"), pa.array(np.diff(offsets)), pa.array(document_scores(low, offsets, table.value, mixer))]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, (facts := pa.RecordBatch.from_arrays(facts, names=["doc_id", "held_out", "bytes", "score"])).schema) as out:
+                out.write_batch(facts)
+            none = pa.nulls(1, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([b""], pa.binary()), none, none, pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=names)
             block += 1
 
     return run
@@ -370,25 +372,26 @@ _RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tra
 
 def _block_sums(facts: dict) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        named = pc.is_valid(table.column("doc_ids"))
+        named = pc.is_valid(table.column("docs"))
         names, posts = table.filter(named), table.filter(pc.invert(named)).combine_chunks()
-        ids, held, sizes, score = (names.column(c)[0].as_py() for c in ("doc_ids", "held_out", "bytes", "scores"))
+        docs = pa.ipc.open_stream(names.column("docs")[0].as_buffer()).read_all()
+        sizes, score = docs.column("bytes").to_numpy(), docs.column("score").to_numpy()
         size = np.array([len(b) for b in posts.column("rows").to_pylist()], np.int64) // 2
         row = np.frombuffer(b"".join(posts.column("rows").to_pylist()), np.uint16).astype(np.int64)
         times = np.frombuffer(b"".join(posts.column("times").to_pylist()), np.uint32).astype(np.float64)
-        sums = lambda values: np.bincount(row, weights=times * np.repeat(values, size), minlength=len(ids))
+        sums = lambda values: np.bincount(row, weights=times * np.repeat(values, size), minlength=len(docs))
         n = posts.column("n").to_numpy().astype(float)
         share = lambda n: np.log10((n + 0.1) / (facts["tokens"] + 0.1 * (facts["distinct"] + 1)))
-        ends, score = facts["ends"], np.array(score)
+        ends = facts["ends"]
         number, seen, base = sums(np.ones(len(size))), sums((n > 0).astype(float)), sums(share(n)) + share(ends)
         bits = -score / np.log10(2) / np.maximum(1, sizes)
         return pa.table(
             [
-                pa.array(ids, pa.int64()),
-                pa.array(held, pa.bool_()),
+                docs.column("doc_id"),
+                docs.column("held_out"),
                 pa.array(number.astype(np.int64) + 1),
                 pa.array(seen.astype(np.int64) + int(ends > 0)),
-                pa.array(np.full(len(ids), facts["tokens"])),
+                pa.array(np.full(len(docs), facts["tokens"])),
                 pa.array(base),
                 pa.array(score),
                 pa.array(bits),
