@@ -239,6 +239,99 @@ def test_toxicity(spark, as_docs, odd_rows):
     assert len(plain) == len(odd_rows) and all(r.score == 0 for r in plain if r.doc_id in (1, 2, 3))
 
 
+def plain_probability(net, text):
+    """The score of one text, word by word and window by window, with plain loops."""
+    if not text:
+        return 0.0
+    lower = re.sub(rb"[A-Z]", lambda m: m.group().lower(), text.encode())
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", lower)
+    if not words:
+        return 0.0
+    known = {int(h): i + 1 for i, h in enumerate(net.vocabulary)}
+    w, h = {k: v.astype(float) for k, v in net.w.items()}, toxicity._HIDDEN
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        one = toxicity.Words(np.frombuffer(word, np.uint8), np.array([0, len(word)]))
+        framed = [0, 1, *word, 2, 0]
+        cells = []
+        for i in range(2, len(word) + 2):
+            code = framed[i - 1] << 16 | framed[i] << 8 | framed[i + 1]
+            cells.append(int(textbytes.mix(np.array([code], np.uint64))[0]) % toxicity._SHORT_CELLS)
+            code = code << 16 | framed[i - 2] << 8 | framed[i + 2]
+            cells.append(toxicity._SHORT_CELLS + int(textbytes.mix(np.array([code], np.uint64))[0]) % toxicity._LONG_CELLS)
+        return np.concatenate([w["words"][known.get(int(one.hashes[0]), 0)], w["chars"][cells].sum(axis=0) / np.sqrt(len(cells))])
+
+    logits = []
+    start = 0
+    while True:
+        window = [vector(x) for x in words[start : start + toxicity.WINDOW]]
+        states = {}
+        for side, order in (("f", range(len(window))), ("b", range(len(window) - 1, -1, -1))):
+            state, states[side] = np.zeros(h), {}
+            for t in order:
+                x, inner = window[t] @ w[f"in_{side}"] + w[f"bias_{side}"], state @ w[f"state_{side}"]
+                z, r = sigmoid(x[:h] + inner[:h]), sigmoid(x[h : 2 * h] + inner[h : 2 * h])
+                new = np.tanh(x[2 * h :] + r * inner[2 * h :])
+                state = states[side][t] = z * state + (1 - z) * new
+        both = np.array([np.concatenate([states["f"][t], states["b"][t]]) for t in range(len(window))])
+        share = np.exp(both @ w["attend"])
+        logits.append(share @ both / share.sum() @ w["out"] + w["out_bias"][0])
+        if start + toxicity.WINDOW >= len(words):
+            break
+        start += toxicity.STRIDE
+    logits = np.array(logits)
+    toxic, clean = sigmoid(logits).sum() + 0.02, sigmoid(-logits).sum() + 0.02
+    facts = [max(-15, min(15, logits.max())), np.log(toxic / clean), np.log(toxic), np.log(len(logits) + 1)]
+    return sigmoid(np.dot(facts, net.pool[:-1]) + net.pool[-1])
+
+
+def test_trained_network_against_plain_loops(spark, as_docs, odd_rows):
+    draw = random.Random(3)
+    texts, labels = [], []
+    for i in range(240):
+        words = prose(i, draw.randrange(5, 60))
+        if i % 4 == 0:
+            words[draw.randrange(len(words))] = draw.choice(["vileword", "nästy"]) + draw.choice(["", "s", "ed"])
+        texts.append(" ".join(words))
+        labels.append(int(i % 4 == 0))
+    net = toxicity.train(texts, np.array(labels), steps=60)
+    rows = [(i, t[:6000] if t else t, x, s) for i, t, x, s in odd_rows] + [(100 + i, t, "en", "s") for i, t in enumerate(texts[:20])]
+    found = toxicity.toxicity(as_docs(rows), network=net).collect()
+    assert len(found) == len(rows)
+    expected = Counter((i, round(plain_probability(net, t), 3)) for i, t, *_ in rows)
+    near = sorted(expected.elements(), key=str)
+    for row, (i, score) in zip(sorted(found, key=lambda r: str((r.doc_id, round(r.score, 3)))), near, strict=True):
+        assert row.doc_id == i and abs(row.score - score) < 2e-3, (row, score)
+    whole = toxicity.toxicity(as_docs(odd_rows), network=net).collect()
+    assert len({r.score for r in whole if r.doc_id == 7}) == 1
+
+
+def test_toxicity_by_the_share_of_odd_words():
+    """Words that clean documents have now and then, too, and that no word of the vocabulary equals."""
+    draw = random.Random(8)
+    parts = ["ka", "lo", "mi", "ne", "ru", "sa", "te", "vo", "zi", "pa", "du", "go"]
+
+    def text(toxic):
+        size = draw.randrange(40, 400)
+        words = ["".join(draw.choices(parts, k=draw.randrange(2, 5))) for _ in range(size)]
+        for k in range(size):
+            if toxic and draw.random() < 0.05:
+                words[k] = "zigo" + "".join(draw.choices(parts, k=2))
+        return " ".join(words)
+
+    labels = np.array([int(i % 5 == 0) for i in range(1500)])
+    texts = [text(x) for x in labels]
+    net = toxicity.train(texts[:1200], labels[:1200], steps=900)
+    found = [plain > 0.5 for plain in _scores(net, texts[1200:])]
+    assert np.mean(np.array(found) == labels[1200:]) > 0.9
+
+
+def _scores(net, texts):
+    words = toxicity.Words(*textbytes.utf8(pa.array(texts)))
+    return net.probability(net.score_windows(words), words.window_row, len(texts))[0]
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 11, 24, 25, 36, 37, 100):
         words = toxicity.Words(*textbytes.utf8(pa.array([" ".join(f"w{i}" for i in range(n))])))
