@@ -1,8 +1,9 @@
 """Near-duplicate embeddings: iterative quantisation, multi-index Hamming tables, exact reranking.
 
 ITQ learns, on a bounded sample, a centre and rotations under which the signs of a vector are a balanced binary code.
-Each code is cut into pieces of `PIECE_BITS` bits; a table per piece holds every vector under (label, piece). Vectors
-that meet in a table are compared as original vectors in double precision. A pair is counted only in the first table
+Codes are cut into pieces: as wide as a label's rows ask, so that a bucket of evenly spread vectors stays small, and so
+many of them that a pair just above the threshold meets in one with `MEET`, whatever the dimension (short vectors get
+more rotations). A table per piece holds every vector under (label, piece). Vectors that meet in a table are compared as original vectors in double precision. A pair is counted only in the first table
 where it meets, so the codes settle what was counted where and no list of pairs is needed.
 
 Bit-equal vectors of a label are one node with its number of copies. A bucket is worked on in tiles of at most
@@ -26,7 +27,18 @@ from queuelake.session import prepare
 THRESHOLD = 0.98
 #: Vectors drawn, by a hash of their id, to learn the rotations.
 FIT_VECTORS = 20_000
-ROTATIONS, PIECE_BITS, TILE_ROWS = 3, 16, 2048
+#: The narrowest piece, and the rows of a label that a value of a piece may have when codes are even.
+PIECE_BITS, PIECE_ROWS = 16, 16
+#: The share of pairs at the threshold that meet, if bits of a code were independent.
+MEET = 0.994
+TILE_ROWS = 2048
+FEW_AXES = 8
+
+
+def tables(width: int, threshold: float = THRESHOLD) -> int:
+    """How many pieces of so many bits it takes: a bit of two vectors at an angle differs with angle / pi."""
+    same = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** width
+    return int(np.ceil(np.log(1 - MEET) / np.log1p(-min(same, 1 - 1e-12))))
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,52 +62,51 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def itq(sample: np.ndarray, seed: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Centre and rotation (principal axes, then turned to lie near the corners of a cube)."""
+    """Centre and rotation (principal axes, then turned to lie near the corners of a cube).
+
+    In fewer than `FEW_AXES` dimensions learned turns of all seeds end up alike, and pieces would miss the same pairs:
+    there the turn stays as drawn.
+    """
     centre = sample.mean(axis=0)
     spread = sample - centre
     axes = np.linalg.svd(spread, full_matrices=False)[2] if len(spread) >= sample.shape[1] else np.eye(sample.shape[1])
     spread = spread @ axes.T
     turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(sample.shape[1],) * 2))[0]
-    for _ in range(rounds):
+    for _ in range(rounds if sample.shape[1] >= FEW_AXES else 0):
         left, _, right = np.linalg.svd(np.where(spread @ turn >= 0, 1.0, -1.0).T @ spread)
         turn = (left @ right).T
     return centre, axes.T @ turn
 
 
-def fit(vectors: DataFrame, fit_vectors: int = FIT_VECTORS, rotations: int = ROTATIONS) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
-    """Rotations for each length of vector in the sample."""
+def fit(vectors: DataFrame, fit_vectors: int, bits: dict[int, int]) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """For each length of vector, rotations enough for so many bits, learned from those of the sample."""
     rows = vectors.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(fit_vectors).select("unit").collect()
     by_size: dict[int, list] = {}
     for r in rows:
         by_size.setdefault(len(r.unit) // 8, []).append(np.frombuffer(r.unit))
-    return {size: [itq(np.array(v), seed) for seed in range(rotations)] for size, v in by_size.items()}
+    return {size: [itq(np.array(by_size[size]), seed) if size in by_size else _plain(size, seed) for seed in range(-(-n // size))] for size, n in bits.items()}
+
+
+def _plain(size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """A rotation without learning, for a length the sample lacks."""
+    return np.zeros(size), np.linalg.qr(np.random.default_rng(seed).normal(size=(size, size)))[0]
 
 
-def _codes(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
+def _codes(model, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
     """Rows (node, label, size, pieces) with the pieces of all codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turns = dict(model.value)
-        count = len(next(iter(turns.values()))) if turns else ROTATIONS
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            sizes = batch.column("size").to_numpy()
-            for size in np.unique(sizes).tolist():
-                if size not in turns:  # A length the sample lacks: rotations without learning.
-                    turns[size] = [(np.zeros(size), np.linalg.qr(np.random.default_rng(s).normal(size=(size, size)))[0]) for s in range(count)]
-                rows = batch.filter(pa.array(sizes == size))
+            sizes, widths = batch.column("size").to_numpy(), batch.column("width").to_numpy()
+            for size, width in np.unique(np.stack([sizes, widths]), axis=1).T.tolist():
+                rows = batch.filter(pa.array((sizes == size) & (widths == width)))
                 unit = np.frombuffer(b"".join(rows.column("unit").to_pylist())).reshape(-1, size)
-                bits = np.concatenate([(unit - centre) @ turn >= 0 for centre, turn in turns[size]], axis=1)
-                short = -bits.shape[1] % PIECE_BITS
-                bits = np.pad(bits, ((0, 0), (0, short)))
-                pieces = np.packbits(bits, axis=1).reshape(len(rows), -1, PIECE_BITS // 8).astype(np.int32)
-                pieces = pieces[:, :, 0] << 8 | pieces[:, :, 1]
-                out[0] += rows.column("node").to_pylist()
-                out[1] += rows.column("label").to_pylist()
-                out[2] += [size] * len(rows)
-                out[3] += pieces.tolist()
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["node", "label", "size", "pieces"])
+                number = tables(width, threshold)
+                turns = model.value[size][: -(-number * width // size)]
+                bits = np.concatenate([(unit - centre) @ turn >= 0 for centre, turn in turns], axis=1)[:, : number * width]
+                pieces = bits.reshape(-1, width) @ (1 << np.arange(width, dtype=np.int64))
+                pieces = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * number, pa.int32()), pa.array(pieces))
+                yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("label"), rows.column("size"), pieces], names=["node", "label", "size", "pieces"])
 
     return run
 
@@ -168,8 +179,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, fit_vectors:
     nodes = stored(usable.groupBy("label", "size", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
     members = usable.join(nodes, ["label", "size", "unit"]).select("vec_id", "node", "copies")
 
-    model = spark.sparkContext.broadcast(fit(nodes.withColumnRenamed("node", "vec_id"), fit_vectors))
-    coded = stored(nodes.select("node", "label", "size", "unit").mapInArrow(_codes(model), "node bigint, label int, size int, pieces array<int>"), "codes")
+    width = F.least(F.lit(30), F.greatest(F.lit(PIECE_BITS), F.ceil(F.log2(F.count("*") / F.lit(PIECE_ROWS))))).cast("int")
+    widths = stored(nodes.groupBy("label", "size").agg(width.alias("width")), "vector-widths")
+    bits = {r.size: tables(r.width, threshold) * r.width for r in widths.groupBy("size").agg(F.max("width").alias("width")).collect()}
+    model = spark.sparkContext.broadcast(fit(nodes.withColumnRenamed("node", "vec_id"), fit_vectors, bits))
+    wide = nodes.join(widths, ["label", "size"]).select("node", "label", "size", "unit", "width")
+    coded = stored(wide.mapInArrow(_codes(model, threshold), "node bigint, label int, size int, pieces array<bigint>"), "codes")
     entries = coded.select("node", "label", "size", "pieces", F.posexplode("pieces").alias("piece_no", "piece"))
     bucket = ["label", "size", "piece_no", "piece"]
     blocks = F.ceil(F.col("rows") / F.lit(tile_rows)).cast("int")

@@ -202,6 +202,25 @@ def test_near_vectors(spark):
             assert (found[i].n_links, found[i].component_id, found[i].kept) == (0, i, True)
 
 
+@pytest.mark.parametrize("size,width", [(2, 16), (5, 16), (8, 16), (16, 16), (32, 16), (64, 16), (200, 16), (64, 22)])
+def test_recall_just_above_the_threshold(spark, monkeypatch, size, width):
+    """Pairs at a cosine of 0.981, whatever the dimension and the width of the pieces."""
+    monkeypatch.setattr(embedding_dedup, "PIECE_BITS", width)
+    draw = np.random.default_rng(size)
+    rows, planted = [], 250
+    for i in range(planted):
+        one = draw.normal(size=size)
+        one /= np.linalg.norm(one)
+        side = draw.normal(size=size)
+        side -= one * (side @ one)
+        other = 0.981 * one + np.sqrt(1 - 0.981**2) * side / np.linalg.norm(side)
+        # A label for every pair: the pair is found, or nothing is.
+        rows += [(2 * i, [float(x) for x in one], i), (2 * i + 1, [float(x) for x in other], i)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").coalesce(4)
+    found = embedding_dedup.near_vectors(frame).where("n_links = 1").count()
+    assert found >= 0.95 * 2 * planted, found / planted / 2
+
+
 @pytest.mark.parametrize("run", [exact_dedup.exact_groups, jaccard_join.near_duplicates, substring_dedup.remove_repeats])
 def test_no_rows(as_docs, run):
     assert run(as_docs([(1, "x", "en", "s")]).where("doc_id = 0")).count() == 0
