@@ -36,8 +36,13 @@ def entity_path(entity_id: Column) -> Column:
 
 def month_path(entity_id: Column, year: Column, month: Column) -> Column:
     """Path of one schedule page; the month is padded to two digits, the year is not padded."""
+    return page_path(entity_path(entity_id), year, month)
+
+
+def page_path(entity: Column, year: Column, month: Column) -> Column:
+    """`month_path` below the path of an entity."""
     return F.concat(
-        entity_path(entity_id),
+        entity,
         F.lit("/schedule/"),
         year.cast("string"),
         F.lit("/"),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuelake.functions import paths
-from queuelake.operators.schedule import asked_months
+from queuelake.operators.schedule import asked_dates, asked_months
 
 
 def month_paths(requests: DataFrame) -> DataFrame:
@@ -19,8 +19,22 @@ def month_paths(requests: DataFrame) -> DataFrame:
 
 
 def manifest(requests: DataFrame) -> DataFrame:
-    """Distinct pages a table of range requests needs."""
-    return month_paths(requests).select("path").distinct()
+    """Distinct pages a table of range requests needs.
+
+    Ranges shrink to spans of pages, and an entity's spans are taken by their start: each adds the pages behind the
+    furthest end before it. So only spans travel and are held, and pages, however many, come once each.
+    """
+    start, end = asked_dates()
+    entity = paths.entity_path(F.col("entity_id"))
+    # Without an entity there is no page, and one row says so.
+    spans = requests.where(start <= end).select(
+        entity.alias("entity"), *[F.when(entity.isNull(), 0).otherwise(F.year(d) * 12 + F.month(d) - 1).alias(n) for n, d in (("first", start), ("last", end))]
+    )
+    furthest = spans.groupBy("entity", "first").agg(F.max("last").alias("last"))
+    before = Window.partitionBy("entity").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    told = furthest.withColumn("first", F.greatest("first", F.max("last").over(before) + 1)).where("first <= last")
+    pages = told.select("entity", F.explode(F.sequence("first", "last")).alias("page"))
+    return pages.select(paths.page_path(F.col("entity"), F.floor(F.col("page") / 12), F.pmod("page", F.lit(12)) + 1).alias("path"))
 
 
 def to_fetch(wanted: DataFrame, stored: DataFrame, now: dt.datetime | Column) -> DataFrame:

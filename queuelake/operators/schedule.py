@@ -45,6 +45,11 @@ def _asked(column: str) -> Column:
     return F.col(column).try_cast("date")
 
 
+def asked_dates() -> tuple[Column, Column]:
+    """Start and end of a range request; null where they are no dates."""
+    return _asked("start_date"), _asked("end_date")
+
+
 def bad_requests(requests: DataFrame) -> DataFrame:
     """Range requests whose start or end is not a date."""
     return requests.where(_asked("start_date").isNull() | _asked("end_date").isNull())
@@ -52,7 +57,7 @@ def bad_requests(requests: DataFrame) -> DataFrame:
 
 def asked_months(requests: DataFrame) -> DataFrame:
     """Requests once per month page they touch; reversed ranges and `bad_requests` touch none."""
-    start, end = _asked("start_date"), _asked("end_date")
+    start, end = asked_dates()
     months = requests.select("*", F.explode(months_between_inclusive(start, end)).alias("_m"))
     return months.select(
         "*", F.year("_m").alias("year"), F.month("_m").alias("month")

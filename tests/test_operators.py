@@ -118,6 +118,20 @@ def test_manifest_has_each_page_once(spark):
     assert got == ["/entity/a%20b/schedule/2026/12", "/entity/a%20b/schedule/2027/01"]
 
 
+def test_manifest_holds_spans_instead_of_pages(spark):
+    rng = random.Random(5)
+    days = [dt.date(1999, 10, 1) + dt.timedelta(days=17 * i) for i in range(60)]
+    requests = [(i, rng.choice(["a b", "c/d", "e", None]), rng.choice(days).isoformat(), rng.choice(days).isoformat()) for i in range(200)]
+    requests += [(200, "e", "0000-11-30", "0001-02-01"), (201, "e", "soon", "2000-01-01"), (202, None, "2000-01-01", None), (203, "f", "2000-05-02", "2000-05-01")]
+    asked = spark.createDataFrame(requests, "req_id int, entity_id string, start_date string, end_date string")
+    got, whole = ingest.manifest(asked), ingest.month_paths(asked).select("path").distinct()
+    assert got.columns == ["path"] and Counter(got.collect()) == Counter(whole.collect())
+    # What follows the pages keeps none of them: no shuffle, sort or aggregate stands above them.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    assert not [step for step in ("Aggregate", "Window", "Sort", "Deduplicate") if step in above]
+
+
 def test_descendants_of_any_depth(spark):
     rng = random.Random(3)
     parent = {f"n{i}": (f"n{rng.randrange(max(1, i // 2))}" if i else None) for i in range(200)}
