@@ -16,6 +16,9 @@ from queuelake.session import scratch_path
 # Children per document: customers share a document by blocks of their unique key.
 _CHILD_BLOCK = 1024
 
+# Rows of a file that a stream is followed by.
+_FILE_ROWS = 20_000
+
 # Zone of every region's parks.
 _ZONES = ("Africa/Johannesburg", "America/New_York", "Asia/Tokyo", "Europe/Paris", "Asia/Dubai")
 
@@ -25,16 +28,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _followed(parts: list[DataFrame], rows: int, name: str) -> DataFrame:
+    """Parts of a table as a stream, a micro-batch each, in their order. The `rows` of all parts lie in as many files as
+    they ask, so a batch is the work of many tasks; every part has the same number of files, some of them empty if need be."""
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    location = scratch_path(spark, name)
+    files = max(1, -(-rows // (len(parts) * _FILE_ROWS)))
+    for number, part in enumerate(parts, 1):
+        part.repartition(files).write.mode("append").parquet(location)
+        missing = number * files - len(spark.read.schema(schema).parquet(location).inputFiles())
+        for _ in range(missing):
+            part.limit(0).coalesce(1).write.mode("append").parquet(location)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(location)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table followed as a stream: its rows land in three files, earlier events first, one file a batch."""
+    """The events table followed as a stream of three micro-batches, earlier events first."""
     events = table(spark, sf_dir, "events")
-    location = scratch_path(spark, "events")
     micros = events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
     early, late = micros.approxQuantile("at", [1 / 3, 2 / 3], 0.01) or (0.0, 0.0)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    for part in (at <= early, (at > early) & (at <= late), at > late):
-        events.where(part).coalesce(1).write.mode("append").parquet(location)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(location)
+    parts = [events.where(part) for part in (at <= early, (at > early) & (at <= late), at > late)]
+    return _followed(parts, events.count(), "events")
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -557,17 +572,15 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempt_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The attempt log as a stream of files, a second between attempts in `logged_at`; the last file holds a sign of life
-    of a day later, after which every request has ended."""
+    """The attempt log as a stream, a second between attempts in `logged_at`; the last micro-batch is a sign of life of a
+    day later, after which every request has ended."""
     rows = attempts(spark, sf_dir).withColumn("logged_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq")))
-    newest = rows.agg(F.max("seq")).first()[0] or 0
-    location = scratch_path(spark, "attempts")
-    for first, last in ((0, newest // 3), (newest // 3 + 1, 2 * newest // 3), (2 * newest // 3 + 1, newest)):
-        rows.where(F.col("seq").between(first, last)).coalesce(1).write.mode("append").parquet(location)
+    newest, count = table(spark, sf_dir, "events").agg(F.max("event_id"), F.count(F.lit(1))).first()
+    newest = newest or 0
+    thirds = ((0, newest // 3), (newest // 3 + 1, 2 * newest // 3), (2 * newest // 3 + 1, newest))
     alive = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields[:-1]]
     end = spark.range(1).select(*alive, F.timestamp_seconds(F.lit(1_704_067_200 + 86_400 + newest)).alias("logged_at"))
-    end.write.mode("append").parquet(location)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(location)
+    return _followed([*[rows.where(F.col("seq").between(*third)) for third in thirds], end], count, "attempts")
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:

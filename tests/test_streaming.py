@@ -35,6 +35,27 @@ def follow(spark, rows, name):
     return spark.read.parquet(table)
 
 
+@pytest.mark.parametrize("ties", [False, True])
+def test_a_followed_table_is_dealt_to_many_files_a_batch(spark, tmp_path, ties):
+    """Three batches, earlier rows first, each of many files and whole; also when nearly all rows are of one moment."""
+    n = 130_000
+    second = F.when(F.col("id") < 4, F.col("id")).otherwise(4) if ties else F.col("id")
+    spark.range(n).select(F.col("id").alias("event_id"), F.timestamp_seconds(second).cast("timestamp_ntz").alias("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    batches = []
+
+    def note(batch, number):
+        at = F.unix_seconds(F.col("ts").cast("timestamp"))
+        batch = batch.select(at.alias("at"), F.input_file_name().alias("file"))
+        batches.append(tuple(batch.agg(F.count("*"), F.count_distinct("file"), F.min("at"), F.max("at")).first()))
+
+    events = lake.event_stream(spark, str(tmp_path)).select("*")
+    events.writeStream.foreachBatch(note).option("checkpointLocation", scratch_path(spark, "noted")).trigger(availableNow=True).start().awaitTermination()
+    assert sum(rows for rows, *_ in batches) == n and len(batches) == 3
+    kept = [b for b in batches if b[0]]
+    assert all(a[3] < b[2] for a, b in zip(kept, kept[1:]))
+    assert all(files > 1 for rows, files, *_ in batches if rows > n // 4)
+
+
 def test_offers_stream_equals_batch(spark, feed):
     responses = stream.read_responses(spark, feed, maxFilesPerTrigger="2")
     got = follow(spark, stream.offers(responses), "offers")
