@@ -13,7 +13,8 @@
    which are intersected exactly. What links is merged into components.
 4. Lists that still hold nodes of different components are joined into clusters. A cluster's nodes, ordered by size,
    are cut into blocks; two blocks whose sizes can link are a tile, where every pair of nodes of different components
-   is tried, by longer bitmaps and then exactly. No pair that could join two components is left out. Should a cluster
+   is tried, by longer bitmaps and then exactly, until a link makes the two components one. No pair that could join
+   two components is left out, and a tile gives fewer links than it has components. Should a cluster
    outgrow `CLUSTER_NODES`, its lists propose their pairs one by one instead.
 
 Hashes have 64 bits and stand for the words.
@@ -42,6 +43,8 @@ _CELLS, _PIECES = 1 << 24, 16
 #: Hubs of a group in each round, as masks that reorder the nodes; nodes of a block; nodes of a cluster cut in blocks.
 _HUBS = (0, 0x5DEECE66D1234567, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
 BLOCK_NODES, CLUSTER_NODES = 512, 50_000
+#: Shingles of a node that takes one place in a block; a longer one takes more.
+NODE_SHINGLES = 2048
 #: Two rows of a list that can be those of the first shared shingle of a link.
 _MAY_LINK = "100L * least({a}size, {b}size) >= {percent}L * greatest({a}size, {b}size) AND ({a}leads OR {a}size > {b}size) AND ({b}leads OR {b}size > {a}size)"
 
@@ -283,26 +286,35 @@ class _Sets:
 
 
 def _tile(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Pairs of nodes of different components in two blocks whose bitmaps let them link."""
+    """Links that join components in two blocks: no more than the block's components less one.
+
+    Every pair of nodes of different components whose bitmaps let them link is tried exactly, until a link ties the two.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         node, size, component, block = (table.column(c).to_numpy() for c in ("node", "n", "component", "block"))
         x, y = table.column("tile_x")[0].as_py(), table.column("tile_y")[0].as_py()
         bodies = [np.frombuffer(b.as_buffer(), np.uint8) for b in table.column("bits")]
+        sets = [np.frombuffer(b.as_buffer(), np.uint64) for b in table.column("hashes")]
         least = min(map(len, bodies))
         bits = np.stack([np.bitwise_or.reduce(b.reshape(-1, least), axis=0) for b in bodies]).view(np.uint64)
+        tied = np.unique(component, return_inverse=True)[1]
         right = np.flatnonzero(block == y)
-        out: list[np.ndarray] = []
+        out: list[tuple[int, int]] = []
         for i in np.flatnonzero(block == x).tolist():
             # Two nodes of one block are tried once.
             others = right[right > i] if x == y else right
+            others = others[tied[others] != tied[i]]
             lacks = np.bitwise_count(bits[i] & ~bits[others]).sum(axis=1, dtype=np.int64)
             lacked = np.bitwise_count(bits[others] & ~bits[i]).sum(axis=1, dtype=np.int64)
             bound = np.minimum(size[i] - lacks, size[others] - lacked)
-            near = others[(component[others] != component[i]) & (100 * bound >= percent * (size[i] + size[others] - bound))]
-            out.append(np.stack([np.full(len(near), node[i]), node[near]]))
-        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+            near = np.flatnonzero(100 * bound >= percent * (size[i] + size[others] - bound))
+            for j in others[near[np.argsort(-bound[near], kind="stable")]].tolist():
+                if tied[i] != tied[j] and _links(_shared(sets[i], sets[j]), size[i], size[j], percent):
+                    out.append((i, j))
+                    tied[tied == tied[j]] = tied[i]
+        a, b = node[np.array(out, np.int64).reshape(-1, 2)].T
         return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
     return run
@@ -311,18 +323,22 @@ def _tile(percent: int) -> Callable[[pa.Table], pa.Table]:
 def _of_clusters(clusters: DataFrame, sets: _Sets, percent: int, block_nodes: int) -> DataFrame:
     """Links found in tiles of blocks; clusters has cluster, node, component.
 
-    Bitmaps of these nodes are long, so that hardly a pair passes them that does not link.
+    Bitmaps of these nodes are long, so that hardly a pair passes them that does not link. A block has at most
+    `block_nodes` nodes, fewer if they are long: a tile fits in a task whatever the texts. Of nodes that a link ties to
+    many, as all of a group of copies, a tile gives one link for each component, not one for each node.
     """
-    full = sets.of(clusters.select("node"), 16)
-    placed = clusters.join(full.select("node", "n"), "node").withColumn("block", F.floor((F.row_number().over(W.partitionBy("cluster").orderBy("n", "node")) - 1) / block_nodes).cast("int"))
+    full = sets.of(clusters.select("node"), 16, arrays=True)
+    share = F.greatest("n", F.lit(NODE_SHINGLES))
+    before = F.sum(share).over(W.partitionBy("cluster").orderBy("n", "node").rowsBetween(W.unboundedPreceding, W.currentRow)) - share
+    placed = clusters.join(full.select("node", "n"), "node").withColumn("block", F.floor(before / (block_nodes * NODE_SHINGLES)).cast("int"))
     placed = stored(placed, "cluster-blocks")
-    blocks = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    x = blocks.select("cluster", F.col("block").alias("tile_x"), F.col("high").alias("high_x"))
-    y = blocks.select("cluster", F.col("block").alias("tile_y"), F.col("low").alias("low_y"))
-    tiles = x.join(y, "cluster").where(f"tile_x <= tile_y AND 100 * high_x >= {percent} * low_y").select("cluster", "tile_x", "tile_y")
+    blocks = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("least"), F.max("component").alias("most"))
+    x = blocks.select("cluster", F.col("block").alias("tile_x"), F.col("high").alias("high_x"), F.col("least").alias("least_x"), F.col("most").alias("most_x"))
+    y = blocks.select("cluster", F.col("block").alias("tile_y"), F.col("low").alias("low_y"), F.col("least").alias("least_y"), F.col("most").alias("most_y"))
+    tiles = x.join(y, "cluster").where(f"tile_x <= tile_y AND 100 * high_x >= {percent} * low_y AND least(least_x, least_y) < greatest(most_x, most_y)").select("cluster", "tile_x", "tile_y")
     of_block = tiles.select("*", F.explode(F.array_distinct(F.array("tile_x", "tile_y"))).alias("block"))
-    rows = placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]).join(full.drop("hashes"), "node")
-    return sets.exact(rows.groupBy("cluster", "tile_x", "tile_y").applyInArrow(_tile(percent), "a bigint, b bigint"))
+    rows = placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]).join(full, "node")
+    return stored(rows.groupBy("cluster", "tile_x", "tile_y").applyInArrow(_tile(percent), "a bigint, b bigint"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, block_nodes: int = BLOCK_NODES, cluster_nodes: int = CLUSTER_NODES) -> DataFrame:

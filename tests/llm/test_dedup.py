@@ -221,6 +221,38 @@ def test_recall_just_above_the_threshold(spark, monkeypatch, size, width):
     assert found >= 0.95 * 2 * planted, found / planted / 2
 
 
+def test_tile_gives_few_links():
+    """A tile joins its components by fewer links than it has components, whatever the pairs that link."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    # A group of 60 near copies and one far set.
+    sets = [np.sort(np.concatenate([base[:-4], rng.integers(0, 1 << 63, 4, dtype=np.uint64)])) for _ in range(60)]
+    sets += [np.sort(rng.integers(0, 1 << 63, 200, dtype=np.uint64))]
+    linked = {(a, b) for a in range(61) for b in range(a + 1, 61) if jaccard_join._links(jaccard_join._shared(sets[a], sets[b]), 200, 200, 80)}
+    for components_ in (list(range(61)), [0] * 30 + list(range(30, 61))):
+        for block in ([0] * 61, [i % 2 for i in range(61)]):
+            table = pa.table({
+                "node": pa.array(range(61), pa.int64()), "n": pa.array([200] * 61, pa.int64()), "component": pa.array(components_, pa.int64()), "block": pa.array(block, pa.int32()),
+                "bits": pa.array([jaccard_join._signature(s, 16) for s in sets], pa.binary()), "hashes": pa.array([s.tobytes() for s in sets], pa.binary()),
+                "tile_x": pa.array([0] * 61, pa.int32()), "tile_y": pa.array([max(block)] * 61, pa.int32()),
+            })
+            found = [(r["a"], r["b"]) for r in jaccard_join._tile(80)(table).to_pylist()]
+            assert set(found) <= linked
+            assert len(found) < len(set(components_))
+            tried = [(a, b) for a, b in linked if block[a] != block[b] or not max(block)]
+            whole = [(components_[a], components_[b]) for a, b in tried]
+            assert union([(components_[a], components_[b]) for a, b in found], components_) == union(whole, components_)
+
+
+def test_long_nodes_take_more_places(as_docs, monkeypatch):
+    """Blocks cut by size give the same components as blocks cut by nodes."""
+    monkeypatch.setattr(jaccard_join, "NODE_SHINGLES", 20)
+    texts = [" ".join(prose(f"{n} {k}", n)) for n in (30, 60, 120, 240) for k in range(3)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(100 + i, t + " more", "en", "s") for i, t in enumerate(texts)]
+    found = rows_of(jaccard_join.near_duplicates(as_docs(rows), block_nodes=2), "doc_id", "component_id")
+    assert found == sorted([(i, i) for i in range(12)] + [(100 + i, i) for i in range(12)], key=repr)
+
+
 @pytest.mark.parametrize("run", [exact_dedup.exact_groups, jaccard_join.near_duplicates, substring_dedup.remove_repeats])
 def test_no_rows(as_docs, run):
     assert run(as_docs([(1, "x", "en", "s")]).where("doc_id = 0")).count() == 0
