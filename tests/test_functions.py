@@ -56,6 +56,18 @@ def test_bad_dates_are_null_or_fail_when_strict(spark, evaluate):
         evaluate([("not a date", "UTC")], schema, strict)
 
 
+def test_aware_instant_casts_the_usual_form_as_it_is(evaluate):
+    """The form that APIs write goes through no replacement, and means what the other forms mean."""
+    sql = times.aware_instant("v")
+    assert sql.index("try_cast(v AS TIMESTAMP)") < sql.index("regexp_replace")
+    usual = ["2024-01-15T09:30:00Z", "2024-01-15T09:30:00.25Z", "2024-01-15T09:30:00+05:30", "2024-01-15T09:30:00-14:00", "2024-02-30T09:30:00Z", "2024-01-15T24:00:00Z", "2024-01-15T09:30:00+19:00"]
+    other = [v.replace("T", "_") for v in usual]
+    of = lambda cases: evaluate([(v,) for v in cases], "v string", F.expr(sql).cast("string"))
+    assert of(usual) == of(other)
+    assert of(usual)[:3] == ["2024-01-15 09:30:00", "2024-01-15 09:30:00.25", "2024-01-15 04:00:00"]
+    assert of(usual)[4:] == [None, None, None]
+
+
 def test_aware_instant_wants_an_offset_or_an_epoch(evaluate):
     cases = {
         "2026-04-14T09:00:00-04:00": "2026-04-14 13:00:00",
