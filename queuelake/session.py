@@ -24,6 +24,8 @@ _RUNTIME_CONF = {
     # HotSpot never compiles methods above 8000 bytes of bytecode. The wide typed projections here would
     # otherwise be fused into one such method and run interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A task that writes into several folders has a file open in each; it sorts its rows only beyond so many.
+    "spark.sql.maxConcurrentOutputFileWriters": "128",
 }
 
 
@@ -93,7 +95,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, name)
     if (scope := _open_scope.get()) is not None:
         scope.append(path)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -75,13 +75,33 @@ class _Attempt:
         self.rules: dict[str, int] = {}
         self.tables: dict[str, int] = {}
 
-    def write(self, rows: DataFrame, name: str, folders: tuple[str, ...] = (), **counts: Column) -> dict[str, int]:
+    def write(self, rows: DataFrame, name: str, folders: tuple[str, ...] = (), gather: bool = False, mode: str = "overwrite", **counts: Column) -> dict[str, int]:
         seen = Observation()
-        sinks.write_table(rows, self.folder(name), folders, "overwrite", (seen, {"rows": F.count(F.lit(1)), **counts}))
-        if seen.get["rows"]:
+        sinks.write_table(rows, self.folder(name), folders, mode, (seen, {"rows": F.count(F.lit(1)), **counts}), gather=gather)
+        if seen.get["rows"] and mode == "overwrite":
             self.tables[name] = seen.get["rows"]
         return seen.get
 
+    def write_schedules(self, responses: DataFrame) -> tuple[validate.ScheduleLevels, dict[str, int]]:
+        """Documents whose own level tells whether they are valid go where they belong as they are parsed. Those with
+        parks lie beside them, below no value of `valid`, until the levels below are read (see `drop_open`)."""
+        name, seen = "documents/schedule", {}
+        counts = {"accepted": F.count_if("valid"), "rejected": F.count_if(~F.col("valid"))}
+
+        def keep(rows: DataFrame) -> DataFrame:
+            seen.update(self.write(rows, name, ("valid",), **counts))
+            return self.read(name, rows.schema)
+
+        levels = validate.schedule_levels(responses, keep)
+        if seen["rows"] > seen["accepted"] + seen["rejected"]:
+            late = self.write(levels.late, name, ("valid",), mode="append", **counts)
+            seen.update({c: seen[c] + late[c] for c in counts})
+        return levels, seen
+
+    def drop_open(self) -> None:
+        """What `write_schedules` has laid beside the valid and the broken documents and has written there by now."""
+        delete(self.spark, f"{self.folder('documents/schedule')}/valid=__HIVE_DEFAULT_PARTITION__")
+
     def folder(self, name: str) -> str:
         return f"{self.location}/{name}/delivery={self.delivery}/attempt={self.name}"
 
@@ -118,7 +138,7 @@ def store(responses: DataFrame, location: str, delivery: str) -> None:
     routed = route(responses).withColumn("kind", _kind())
     schema = T.StructType([f for f in routed.schema.fields if f.name != "kind"])
     try:
-        sinks.write_table(routed, landed, ("kind",), observe=(seen, {"rows": F.count(F.lit(1)), **per_kind}))
+        sinks.write_table(routed, landed, ("kind",), observe=(seen, {"rows": F.count(F.lit(1)), **per_kind}), gather=False)
         for kind in (*TABLES, "unrouted"):
             if seen.get[kind]:
                 with scratch_scope(spark):
@@ -136,11 +156,11 @@ def _store_kind(attempt: _Attempt, kind: str, responses: DataFrame) -> None:
     sources: dict[str, DataFrame] = {}
     if kind == "schedule":
         # Schedules may repeat below their parks to any depth, which the typed landing form does not hold.
-        levels = validate.schedule_levels(responses)
+        levels, seen = attempt.write_schedules(responses)
         checked, sources["owners"], rejects = levels.documents.drop("doc_key"), levels.owners, levels.rejects
     else:
         checked, rejects = validate.check(responses, kind), None
-    seen = attempt.write(checked, f"documents/{kind}", ("valid",), accepted=F.count_if("valid"), rejected=F.count_if(~F.col("valid")))
+        seen = attempt.write(checked, f"documents/{kind}", ("valid",), accepted=F.count_if("valid"), rejected=F.count_if(~F.col("valid")))
     attempt.accepted[kind], attempt.rejected[kind] = seen["accepted"], seen["rejected"]
     checked = attempt.read(f"documents/{kind}", checked.schema)
 
@@ -164,6 +184,8 @@ def _store_kind(attempt: _Attempt, kind: str, responses: DataFrame) -> None:
                 done.result()
         for job in jobs:
             job.result()
+    if kind == "schedule":
+        attempt.drop_open()
 
 
 def follow(responses: DataFrame, location: str, checkpoint: str, name: str, trigger: str | None = None) -> StreamingQuery:
@@ -192,7 +214,7 @@ def compact(spark: SparkSession, location: str, into: str, *merged: str) -> None
     for name in sorted({t for r in rows for t in r.tables}):
         table = read(spark, location, name, only=merged).drop("delivery")
         folders = ("valid",) if name.startswith("documents/") else next((t[name][2] for t in TABLES.values() if name in t), ())
-        attempt.write(table, name, folders)
+        attempt.write(table, name, folders, gather=True)
     for r in rows:
         for total, part in ((attempt.accepted, r.accepted), (attempt.rejected, r.rejected), (attempt.rules, r.rules)):
             for key, n in part.items():

@@ -40,14 +40,16 @@ def write_table(
     mode: str = "append",
     observe: tuple[Observation, dict[str, Column]] | None = None,
     order: tuple[str, ...] = (),
+    gather: bool = True,
 ) -> None:
     """Store a typed table. Rows of one folder are spread over several tasks, so a hot folder is no
-    single writer; AQE merges the small ones. What is to be observed is counted on the way into the files."""
-    if partition_by:
+    single writer; AQE merges the small ones. Without `gather` every task writes a file of its own in each folder it
+    has rows of: no row is shuffled for it. What is to be observed is counted on the way into the files."""
+    if partition_by and gather:
         rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
     if order:
         rows = rows.sortWithinPartitions(*partition_by, *order)
     if observe is not None:
         # Last of all: below a shuffle that turns out empty a count would be optimized away.
         rows = rows.observe(observe[0], *[c.alias(n) for n, c in observe[1].items()])
-    rows.write.mode(mode).partitionBy(*partition_by).parquet(location)
+    rows.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(location)

@@ -207,12 +207,14 @@ class ScheduleLevels(NamedTuple):
     """Schedule documents of any depth, level by level, all of it stored.
 
     documents: every response with `doc` (its own level), `corrupt`, `valid` and its number `doc_key`
+    late: those of the documents that have parks, so that only the levels below told whether they are valid
     owners: of valid documents, the document and every park below it as (`owner_place`, `record`); the place is the
         positions in `parks` from the top, none for the document itself
     rejects: rule and field of every broken rule; `parks` is repeated once a level
     """
 
     documents: DataFrame
+    late: DataFrame
     owners: DataFrame
     rejects: DataFrame
 
@@ -231,12 +233,13 @@ def _broken_rules(checks: list[Check], record: str, prefix: str = "") -> str:
     return f"filter(array({', '.join(found)}), v -> v IS NOT NULL)"
 
 
-def schedule_levels(bronze: DataFrame) -> ScheduleLevels:
+def schedule_levels(bronze: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> ScheduleLevels:
     """Read schedule documents whose `parks` repeat the document to any depth.
 
     A body is parsed once, its `parks` as a variant. Each level is made from the parks of the level above that have
     any, one row per park, and stored; a document without parks takes no part in further rounds, and none is parsed
-    again. One faulty record at any depth rejects its document.
+    again. One faulty record at any depth rejects its document. `keep` stores the parsed documents and reads them back;
+    `valid` is null there for those that have parks.
     """
     keys = ("seq", "path", "fetched_at")
     decoded = decode(of_kind(bronze, "schedule"), "schedule", S.SCHEDULE_LEVEL)
@@ -245,11 +248,12 @@ def schedule_levels(bronze: DataFrame) -> ScheduleLevels:
         f" WHEN NOT {_AS_JSON} THEN array(named_struct('rule', 'VAL1', 'field', 'content_type')) END"
     )
     top = decoded.select(F.monotonically_increasing_id().alias("doc_key"), "*").withColumn("broken", F.coalesce(F.expr(unreadable), own))
-    top = stored(top, "schedule-documents")
-    owners = top.select(
-        "doc_key", *keys, F.col("doc.id").alias("root_id"), F.array().cast("array<int>").alias("owner_place"), F.col("doc").alias("record"), "broken"
-    )
-    depth, level = 0, owners.where("size(broken) = 0")
+    top = top.withColumn("valid", F.expr("CASE WHEN size(broken) > 0 THEN false WHEN schema_of_variant(doc.parks) LIKE 'ARRAY%' THEN NULL ELSE true END"))
+    top = stored(top, "schedule-documents") if keep is None else keep(top)
+    own_level = (F.col("doc.id").alias("root_id"), F.array().cast("array<int>").alias("owner_place"), F.col("doc").alias("record"))
+    with_parks = top.where("valid IS NULL")
+    owners = with_parks.select("doc_key", *keys, *own_level, "broken")
+    depth, level = 0, owners
     while True:
         open_ = level.where(_LIST_OF_PARKS)
         below = open_.select(
@@ -270,13 +274,17 @@ def schedule_levels(bronze: DataFrame) -> ScheduleLevels:
             break
         owners = owners.unionByName(level)
         level = level.where("size(broken) = 0")
-    faulty = stored(owners.where("size(broken) > 0").select("doc_key", F.explode("broken").alias("v")), "schedule-faults")
+    below_top = owners.where("size(broken) > 0").select("doc_key", F.explode("broken").alias("v"))
+    faulty = stored(below_top.unionByName(top.where("NOT valid").select("doc_key", F.explode("broken").alias("v"))), "schedule-faults")
     keys_of_faulty = faulty.select("doc_key").distinct()
-    marked = top.drop("broken").join(keys_of_faulty.withColumn("faulty", F.lit(True)), "doc_key", "left")
-    documents = marked.withColumn("valid", F.col("faulty").isNull()).drop("faulty")
-    told = faulty.select("doc_key", "v.rule", "v.field").distinct().join(top.select("doc_key", *keys, "body"), "doc_key")
+    marked = with_parks.drop("broken").join(keys_of_faulty.withColumn("faulty", F.lit(True)), "doc_key", "left")
+    late = marked.withColumn("valid", F.col("faulty").isNull()).drop("faulty")
+    told = faulty.select("doc_key", "v.rule", "v.field").distinct().join(top.where("NOT coalesce(valid, false)").select("doc_key", *keys, "body"), "doc_key")
     return ScheduleLevels(
-        documents, owners.drop("broken").join(keys_of_faulty, "doc_key", "left_anti"), told.select(*keys, "body", "rule", "field")
+        top.where("valid IS NOT NULL").drop("broken").unionByName(late),
+        late,
+        top.where("valid").select("doc_key", *keys, *own_level).unionByName(owners.drop("broken").join(keys_of_faulty, "doc_key", "left_anti")),
+        told.select(*keys, "body", "rule", "field"),
     )
 
 
