@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from queuelake.llm import textbytes
-from queuelake.llm.shared import components, stored, with_ids
+from queuelake.llm.shared import BROADCAST_IDS, components, stored, with_ids
 from queuelake.session import prepare
 
 WORDS = 5
@@ -266,9 +266,11 @@ class _Sets:
         self.docs, self.width, self.percent = docs, width, percent
         self.of_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    def of(self, nodes: DataFrame, factor: int, arrays: bool = False) -> DataFrame:
+    def of(self, nodes: DataFrame, factor: int, arrays: bool = False, keep: bool = True) -> DataFrame:
+        """Sets of nodes, stored unless they are read once."""
         ids = stored(self.of_node.join(nodes, "node", "left_semi").select("doc_id"), "set-ids")
-        return stored(with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, factor, arrays), "node bigint, n bigint, bits binary, hashes binary"), "sets")
+        made = with_ids(self.docs, ids, "doc_id").mapInArrow(_candidates(self.width, factor, arrays), "node bigint, n bigint, bits binary, hashes binary")
+        return stored(made, "sets") if keep else made
 
     def verified(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         """Of proposed pairs (a, b), those that link."""
@@ -321,23 +323,27 @@ def _tile(percent: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def _of_clusters(clusters: DataFrame, sets: _Sets, percent: int, block_nodes: int) -> DataFrame:
-    """Links found in tiles of blocks; clusters has cluster, node, component.
+    """Links found in tiles of blocks; clusters has cluster, node, component, n.
 
     Bitmaps of these nodes are long, so that hardly a pair passes them that does not link. A block has at most
     `block_nodes` nodes, fewer if they are long: a tile fits in a task whatever the texts. Of nodes that a link ties to
     many, as all of a group of copies, a tile gives one link for each component, not one for each node.
+    Bitmaps and arrays are made where the texts are and go from there to the tiles, unless the tiles' rows are too many
+    to be sent to the texts.
     """
-    full = sets.of(clusters.select("node"), 16, arrays=True)
     share = F.greatest("n", F.lit(NODE_SHINGLES))
     before = F.sum(share).over(W.partitionBy("cluster").orderBy("n", "node").rowsBetween(W.unboundedPreceding, W.currentRow)) - share
-    placed = clusters.join(full.select("node", "n"), "node").withColumn("block", F.floor(before / (block_nodes * NODE_SHINGLES)).cast("int"))
+    placed = clusters.withColumn("block", F.floor(before / (block_nodes * NODE_SHINGLES)).cast("int"))
     placed = stored(placed, "cluster-blocks")
     blocks = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("least"), F.max("component").alias("most"))
     x = blocks.select("cluster", F.col("block").alias("tile_x"), F.col("high").alias("high_x"), F.col("least").alias("least_x"), F.col("most").alias("most_x"))
     y = blocks.select("cluster", F.col("block").alias("tile_y"), F.col("low").alias("low_y"), F.col("least").alias("least_y"), F.col("most").alias("most_y"))
     tiles = x.join(y, "cluster").where(f"tile_x <= tile_y AND 100 * high_x >= {percent} * low_y AND least(least_x, least_y) < greatest(most_x, most_y)").select("cluster", "tile_x", "tile_y")
     of_block = tiles.select("*", F.explode(F.array_distinct(F.array("tile_x", "tile_y"))).alias("block"))
-    rows = placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]).join(full, "node")
+    places = stored(placed.select("cluster", "node", "component", "block").join(of_block, ["cluster", "block"]), "tile-places")
+    full = sets.of(places.select("node").distinct(), 16, arrays=True, keep=False)
+    # A place has some six times the bytes of an id.
+    rows = full.join(F.broadcast(places) if places.count() <= BROADCAST_IDS // 6 else places, "node")
     return stored(rows.groupBy("cluster", "tile_x", "tile_y").applyInArrow(_tile(percent), "a bigint, b bigint"), "near-links")
 
 
@@ -382,7 +388,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     heads = open_lists.groupBy("shingle").agg(F.min("node").alias("a"))
     joined = open_lists.join(heads, "shingle").select("a", F.col("node").alias("b")).distinct()
     clusters = components(joined).select(F.col("id").alias("node"), F.col("component_id").alias("cluster"))
-    clusters = stored(clusters.join(open_lists.select("node", "component").distinct(), "node"), "clusters")
+    clusters = stored(clusters.join(open_lists.select("node", "component", F.col("size").cast("bigint").alias("n")).distinct(), "node"), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("nodes"))
     large = sizes.where(F.col("nodes") > cluster_nodes).select("cluster")
     rest = _of_clusters(clusters.join(large, "cluster", "left_anti"), sets, percent, block_nodes)

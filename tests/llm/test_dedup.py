@@ -260,3 +260,22 @@ def test_no_rows(as_docs, run):
 
 def test_no_vectors(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
+
+
+def test_sets_of_tiles_are_not_stored(as_docs, monkeypatch):
+    """Bitmaps and arrays of a cluster's nodes go from the texts to the tiles, without a copy of them in between."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :]), "en", "s") for i in range(0, 240, 2)]
+    whole, done = [], jaccard_join.stored
+
+    def stored(frame, name):
+        out = done(frame, name)
+        if name == "sets":
+            whole.append(out.where("bits IS NOT NULL AND hashes IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    # No hub links these, so their lists are left to the tiles.
+    monkeypatch.setattr(jaccard_join._Sets, "verified", lambda self, pairs, bitmaps: pairs.limit(0))
+    found = rows_of(jaccard_join.near_duplicates(as_docs(rows), block_nodes=8), "doc_id", "component_id")
+    assert found == sorted([(r[0], 0) for r in rows], key=repr) and whole and not any(whole)
