@@ -45,7 +45,9 @@ _BINS = 33
 _STEPS = 1536
 #: How many tokens of a document's own the mixer's probability is worth.
 _PRIOR = 1000.0
-_BLOCK_BYTES = 16 << 20
+_BLOCK_BYTES = 14 << 20
+#: Rows of a block have numbers of two bytes.
+_BLOCK_ROWS = 1 << 16
 #: The hash of the empty word.
 _END = np.uint64(0)
 #: Pairs worked out and learned from at once; lessons are shorter until the first pairs are learned.
@@ -58,6 +60,22 @@ _LEVEL_ODDS[[0, 128]] = 0, 1e-6
 # --- words of blocks ---------------------------------------------------------------------------------------------
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows, bytes and offsets of blocks of documents. Spark's batches are far smaller: what they share is worked out
+    once for all of a block."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        for part in (batch.slice(k, _BLOCK_ROWS) for k in range(0, len(batch), _BLOCK_ROWS)):
+            more = part.column("text").nbytes
+            if held and (size + more > _BLOCK_BYTES or rows + len(part) > _BLOCK_ROWS):
+                whole = pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size, rows = [], 0, 0
+                yield from textbytes.slices(whole, _BLOCK_BYTES)
+            held, size, rows = [*held, part], size + more, rows + len(part)
+    if held:
+        yield from textbytes.slices(pa.Table.from_batches(held).combine_chunks().to_batches(), _BLOCK_BYTES)
+
+
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each distinct value is first, in that order, and which of them each value is."""
     which = pa.array(values).dictionary_encode().indices.to_numpy().astype(np.int64)
@@ -80,7 +98,7 @@ def _spans(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.nd
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a slice and how often it has them."""
-    for _, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+    for _, data, offsets in _blocks(batches):
         data = textbytes.lower(data)
         starts, ends, _ = textbytes.words(data, offsets)
         first, which = _distinct(_spans(data, offsets, starts, ends))
@@ -102,14 +120,16 @@ class Tokens:
         starts, ends = np.insert(starts, close, offsets[1:]), np.insert(ends, close, offsets[1:])
         first, self.token = _distinct(own)
         self.words, self.end = textbytes.gather(low, starts[first], ends[first]), self.token[-1]
-        before = np.zeros(len(own), np.int64)
+        hashes = np.append(np.zeros(1, np.uint64), textbytes.mix(own[first] + np.uint64(1)))
+        del starts, ends, own
+        before = np.zeros(len(self.token), np.int64)
         before[1:] = self.token[:-1] + 1
         before[np.flatnonzero(np.diff(self.row, prepend=-1))] = 0
         self.key = self.token * (len(first) + 1) + before
         key = np.sort(self.key)
         begin, self.n = textbytes.runs(key)
         self.word, before = np.divmod(key[begin], len(first) + 1)
-        self.before = np.append(np.zeros(1, np.uint64), textbytes.mix(own[first] + np.uint64(1)))[before]
+        self.before = hashes[before]
 
     def pair(self) -> np.ndarray:
         """Which pair each token is."""
@@ -139,7 +159,7 @@ def _postings(table, mixer: Mixer) -> Callable[[Iterator[pa.RecordBatch]], Itera
         context = TaskContext.get()
         block = context.partitionId() << 32 if context else 0
         names = [c.split()[0] for c in _POSTINGS.split(", ")]
-        for docs, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+        for docs, data, offsets in _blocks(batches):
             low = textbytes.lower(data)
             tokens = Tokens(low, offsets)
             pair = tokens.token * len(docs) + tokens.row
@@ -331,7 +351,7 @@ def _count_after(code) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((1, 2 * _CELLS), np.uint32)
-        for _, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+        for _, data, offsets in _blocks(batches):
             for words, word, before, n, _ in Tokens(textbytes.lower(data), offsets).chunks(_CHUNK):
                 pairs = Pairs(Letters(words, code.value), word, before)
                 cell = pairs.cells()
@@ -362,14 +382,15 @@ class Mixer:
         the gates of the words' bits if the last predictor has not seen them, then if it has; which of these each of
         the pairs' bits is; and the step of its weighted sum."""
         letters = pairs.letters
-        seen = np.minimum(letters.place, _PLACES - 1)[letters.of] * _LEVELS
+        seen = np.zeros(len(letters.of), np.uint8)
         for o in odds:
             seen += o != 0
-        gate = np.concatenate([seen, seen + 1])
-        alone = np.zeros(len(gate), np.float32)
+        gate = (np.minimum(letters.place, _PLACES - 1) * _LEVELS).take(letters.of) + seen
+        gate = np.stack([gate, gate + 1])
+        alone = np.zeros(gate.shape, np.float32)
         weights = self.weights.T.copy()
         for w, o in zip(weights, odds, strict=False):
-            alone += w.take(gate) * np.concatenate([o, o])
+            alone += w.take(gate) * o
         which = pairs.at + (last != 0) * len(seen)
         total = weights[-1].take(gate).take(which, mode="clip")
         total *= last
@@ -400,19 +421,18 @@ class Mixer:
     def learn(self, pairs: Pairs, odds: list[np.ndarray], last: np.ndarray, n: np.ndarray, rate: float) -> None:
         """Learn from pairs that come `n` times each. Sums over the pairs of a word come before those over words."""
         gate, which, at = self.mixed(pairs, odds, last)
-        both, n = len(gate), np.repeat(n.astype(np.float32), pairs.size)
-        near = (gate * (2 * _BINS) + np.concatenate([pairs.letters.value] * 2)).take(which, mode="clip")
+        n = np.repeat(n.astype(np.float32), pairs.size)
+        near = (gate * (2 * _BINS) + pairs.letters.value).take(which, mode="clip")
         # The bit is the lowest one of its place among the hits.
         error = ((near & 1).astype(np.float32) - _STEP_CHANCES.take(at)) * n
-        number = np.bincount(which, weights=n, minlength=both)
-        off = np.bincount(which, weights=error, minlength=both)
-        off_last = np.bincount(which, weights=error * last, minlength=both)
-        step = [*(off * np.concatenate([o, o]) for o in odds), off_last]
-        step = np.stack([np.bincount(gate, weights=s, minlength=_GATES) for s in step], axis=1)
-        number = np.bincount(gate, weights=number, minlength=_GATES)
-        self.weights += (rate * step / np.maximum(number, 1)[:, None]).astype(np.float32)
+        off = np.bincount(which, weights=error, minlength=gate.size).reshape(gate.shape)
+        off_last = np.bincount(which, weights=error * last, minlength=gate.size)
+        step = [*((off * o).ravel() for o in odds), off_last]
+        step = np.stack([np.bincount(gate.ravel(), weights=s, minlength=_GATES) for s in step], axis=1)
         near += _STEP_BINS.take(at)
-        self.hits += np.bincount(near, weights=n, minlength=self.hits.size).reshape(self.hits.shape)
+        hits = np.bincount(near, weights=n, minlength=self.hits.size).reshape(self.hits.shape)
+        self.weights += (rate * step / np.maximum(hits.sum(axis=(1, 2)), 1)[:, None]).astype(np.float32)
+        self.hits += hits
 
 
 _STEP_ODDS = np.arange(_STEPS + 1) * 24 / _STEPS - 12
@@ -441,7 +461,7 @@ def _learn(learning) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         mixer, learned, words = Mixer(), 0, 0
         # The token itself is taken out of the counts that predict it.
         table, code = learning.value
-        for _, data, offsets in textbytes.slices(batches, _BLOCK_BYTES):
+        for _, data, offsets in _blocks(batches):
             tokens = Tokens(textbytes.lower(data), offsets)
             words += int(tokens.n.sum())
             # Words with very many pairs fill lessons: in a row they would be all that the weights remember.
@@ -477,7 +497,7 @@ def pair_cost(pairs: Pairs, table: np.ndarray, mixer: Mixer, logs: np.ndarray) -
     odds = [_LEVEL_ODDS.take(t.take(cell)) for t, cell in zip(table, pairs.letters.alone(), strict=False)]
     gate, which, at = mixer.mixed(pairs, odds, _LEVEL_ODDS.take(table[-1].take(pairs.cells())))
     at *= 2
-    at += (gate * (2 * _STEPS + 2) + np.concatenate([pairs.letters.value] * 2)).take(which, mode="clip")
+    at += (gate * (2 * _STEPS + 2) + pairs.letters.value).take(which, mode="clip")
     return np.add.reduceat(logs.take(at), pairs.stop - pairs.size, dtype=np.float64)
 
 
@@ -502,8 +522,10 @@ def document_scores(tokens: Tokens, docs: int, table: np.ndarray, code: Code, mi
     begin, size = textbytes.runs(same // max(1, len(at)))
     had = np.empty(len(at))
     had[order] = at - np.repeat(begin, size)
-    chance = (_PRIOR * np.exp(cost)[tokens.pair()] + had) / (_PRIOR + past)
-    return np.bincount(tokens.row, weights=np.log10(chance), minlength=docs)
+    pair = tokens.pair()
+    # The chance of a very long word that the document has not had is too small for a double; its logarithm is not.
+    chance = np.log(_PRIOR * np.exp(cost)[pair] + had, out=cost[pair] + np.log(_PRIOR), where=had > 0) - np.log(_PRIOR + past)
+    return np.bincount(tokens.row, weights=chance / np.log(10), minlength=docs)
 
 
 # --- documents ---------------------------------------------------------------------------------------------------
@@ -553,15 +575,25 @@ class Corpus:
 _RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
 
 
+def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """How many numbers each row has, and all numbers, from a column of their bytes."""
+    sizes, body = [np.empty(0, np.int64)], [np.empty(0, kind)]
+    for part in column.chunks:
+        part = part.cast(pa.large_binary())
+        offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+        sizes.append(np.diff(offsets) // np.dtype(kind).itemsize)
+        body.append(np.frombuffer((part.buffers()[2] or b"")[offsets[0] : offsets[-1]], kind))
+    return np.concatenate(sizes), np.concatenate(body)
+
+
 def _block_sums(facts: dict) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         named = pc.is_valid(table.column("docs"))
-        names, posts = table.filter(named), table.filter(pc.invert(named)).combine_chunks()
+        names, posts = table.filter(named), table.filter(pc.invert(named))
         docs = pa.ipc.open_stream(names.column("docs")[0].as_buffer()).read_all()
         sizes, score = docs.column("bytes").to_numpy(), docs.column("score").to_numpy()
-        size = np.array([len(b) for b in posts.column("rows").to_pylist()], np.int64) // 2
-        row = np.frombuffer(b"".join(posts.column("rows").to_pylist()), np.uint16).astype(np.int64)
-        times = np.frombuffer(b"".join(posts.column("times").to_pylist()), np.uint32).astype(np.float64)
+        size, row = _flat(posts.column("rows"), np.uint16)
+        _, times = _flat(posts.column("times"), np.uint32)
         sums = lambda values: np.bincount(row, weights=times * np.repeat(values, size), minlength=len(docs))
         n = posts.column("n").to_numpy().astype(float)
         share = lambda n: np.log10((n + 0.1) / (facts["tokens"] + 0.1 * (facts["distinct"] + 1)))
@@ -600,5 +632,5 @@ def score_documents(docs: DataFrame) -> DataFrame:
     facts = {"tokens": corpus.tokens, "distinct": corpus.distinct, "ends": corpus.ends}
     rows = docs.select("doc_id", "text", (id_hash() % 10 == 0).alias("held_out"))
     posted = rows.mapInArrow(_postings(corpus.table, corpus.mixer), _POSTINGS)
-    counted = posted.join(corpus.words, "word", "left").select(*posted.columns[:1], *posted.columns[2:], F.coalesce("n", F.lit(0)).alias("n"))
+    counted = posted.join(corpus.words.hint("shuffle_hash"), "word", "left").select(*posted.columns[:1], *posted.columns[2:], F.coalesce("n", F.lit(0)).alias("n"))
     return counted.groupBy("block").applyInArrow(_block_sums(facts), _RESULT)

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +153,63 @@ def test_known_words_are_mixed_with_the_word_before(as_docs):
     assert abs(straight.base_score - turned.base_score) < 1e-9 and straight.score > turned.score + 3
 
 
+def test_frequent_letters_have_few_bits():
+    """Every letter has a code of its own after every letter, and prose takes half of eight bits a letter at most."""
+    words = pa.array([w.encode() for k in range(30) for w in prose(k, 100)], pa.binary())
+    follow = np.bincount(lm_scoring.Spelled(words).pair, minlength=257 * 256).reshape(257, 256)
+    code = lm_scoring.Code(follow)
+    assert np.allclose((0.5 ** code.size.reshape(257, 256)).sum(axis=1), 1)
+    letters = lm_scoring.Letters(words, code)
+    assert len(letters.of) < 4 * len(letters.letter)
+    # The bits of a letter name it.
+    for before in (256, ord("e"), 0):
+        bits = [tuple(code.value[b : b + n]) for b, n in zip(code.base.reshape(257, 256)[before], code.size.reshape(257, 256)[before], strict=True)]
+        assert len(set(bits)) == 256 and not any(a != b and b[: len(a)] == a for a in bits[:20] for b in bits)
+
+
+def _model(rows):
+    """Code, levels of counted bits and an untrained mixer, from the tokens of one slice."""
+    data = [t.encode() for t in rows]
+    low, offsets = np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+    tokens = lm_scoring.Tokens(low, offsets)
+    code = lm_scoring.Code(np.bincount(lm_scoring.Spelled(tokens.words).pair, minlength=257 * 256).reshape(257, 256))
+    counts = np.zeros((len(lm_scoring.ORDERS), 2, lm_scoring._CELLS), np.uint32)
+    pairs = lm_scoring.Pairs(lm_scoring.Letters(tokens.words, code), tokens.word, tokens.before)
+    for o, cell in enumerate([*(c.take(pairs.at) for c in pairs.letters.alone()), pairs.cells()]):
+        np.add.at(counts[o], (pairs.letters.value.take(pairs.at), cell), 1)
+    return tokens, code, lm_scoring.levels(counts), lm_scoring.Mixer()
+
+
+def test_pairs_worked_out_together_cost_what_each_costs():
+    tokens, code, table, mixer = _model([" ".join(prose(k, 60)) for k in range(5)] + ["", "the the the"])
+    mixer.weights += np.arange(mixer.weights.size, dtype=np.float32).reshape(mixer.weights.shape) / 1000
+    cost = lambda words, word, before: lm_scoring.pair_cost(lm_scoring.Pairs(lm_scoring.Letters(words, code), word, before), table, mixer, mixer.logs())
+    words, word, before, _, _ = next(tokens.chunks(1000))
+    alone = [cost(words.slice(w, 1), np.zeros(1, np.int64), before[k : k + 1])[0] for k, w in enumerate(word[:40])]
+    assert np.allclose(cost(words, word, before)[:40], alone, rtol=1e-6)
+    assert sum(tokens.n) == len(tokens.row) and (tokens.word[tokens.pair()] == tokens.token).all()
+
+
+def test_small_batches_become_one_block():
+    """Spark's batches are smaller than a block: a word of many batches is posted, and worked out, once."""
+    _, code, table, mixer = _model(["one two"])
+    batch = lambda k: pa.record_batch({"doc_id": [2 * k, 2 * k + 1], "text": ["one two two", None if k % 2 else "one"], "held_out": [False, True]})
+    posted = lm_scoring._postings(SimpleNamespace(value=(table, code)), mixer)(batch(k) for k in range(8))
+    rows = pa.Table.from_batches(list(posted)).to_pylist()
+    assert len({r["block"] for r in rows}) == 1 and [r["word"] for r in rows] == [b"one", b"two", b""]
+    assert [np.frombuffer(r["rows"], np.uint16).tolist() for r in rows[:2]] == [[0, 1, 2, 4, 5, 6, 8, 9, 10, 12, 13, 14], list(range(0, 16, 2))]
+    assert np.frombuffer(rows[1]["times"], np.uint32).tolist() == [2] * 8
+    found = pa.ipc.open_stream(rows[2]["docs"]).read_all()
+    assert found.column("doc_id").to_pylist() == list(range(16)) and found.column("held_out").to_pylist() == [False, True] * 8
+
+
+def test_a_very_long_word_has_a_score():
+    """Its chance is below the smallest double."""
+    tokens, code, table, mixer = _model(["z" * 5 + "qxjkv" * 1000, "one two"])
+    found = lm_scoring.document_scores(tokens, 2, np.zeros_like(table), code, mixer)
+    assert np.isfinite(found).all() and found[0] < -400
+
+
 def test_scores_without_training_rows(as_docs):
     held = [i for i in range(60) if fold(i, 10) == 0]
     found = lm_scoring.score_documents(as_docs([(i, "some words", "en", "s") for i in held])).collect()
