@@ -15,6 +15,11 @@ _AWARE = f"{_DATE}{_CLOCK}{_OFFSET}$"
 _NAIVE = f"{_DATE}({_CLOCK})?$"
 # What a cast reads without help: every part is there, in its usual form.
 _WHOLE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
+# What a cast cannot fail on either: of that form, with a day that every month has and an offset that clocks have.
+_SURE = (
+    r"^[1-9]\d{3}-(0[1-9]|1[0-2])-(0[1-9]|1\d|2[0-8])T([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,6})?"
+    r"(Z|[+-](0\d|1[0-7]):[0-5]\d)\z"
+)
 # Epoch numbers, as written or in the exponent form a parsed JSON number takes.
 _EPOCH = r"^[+-]?(\d+(\.\d+)?|\d(\.\d+)?E\d{1,2})$"
 # The first and the last second of the years 1 to 9999.
@@ -56,6 +61,12 @@ def aware_instant(text: str) -> str:
     )
 
 
+def no_instant(text: str) -> str:
+    """SQL that is true when a payload text is there and `aware_instant` makes nothing of it. A look at the text settles
+    most; only where it does not is the instant worked out."""
+    return f"({text} IS NOT NULL AND NOT {text} RLIKE r'{_SURE}' AND ({aware_instant(text)}) IS NULL)"
+
+
 def _plain(text: str) -> str:
     """Compact and week dates, compact clocks, comma fractions and hour-only offsets in extended form."""
     week = rf"regexp_extract({text}, r'^(\d{{4}})-?W(\d{{2}})(?:-?(\d))?(.*)$', %d)"

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -611,14 +612,18 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Rows of the tables made from lists inside live entries, entities and schedules."""
     location = scratch_path(spark, "silver")
-    for name, responses in {
+    landed = {
         "hours": lake.hours_responses(spark, sf_dir),
         "dining": lake.dining_responses(spark, sf_dir),
         "tags": lake.tagged_responses(spark, sf_dir),
         "purchases": lake.purchase_responses(spark, sf_dir),
-    }.items():
+    }
+    # Side by side: what one delivery leaves idle at the end of a step, another uses.
+    with ThreadPoolExecutor(len(landed)) as pool:
         # All landed on one day, as a full listing does.
-        silver.store(responses.withColumn("fetched_at", F.lit(NOW)), location, name)
+        jobs = [pool.submit(silver.store, rows.withColumn("fetched_at", F.lit(NOW)), location, name) for name, rows in landed.items()]
+        for job in jobs:
+            job.result()
     return (
         _hours(silver.read(spark, location, "showtimes")).select(F.lit("showtimes").alias("table"), "seq", "entity_id", F.col("start_time").alias("what"))
         .union(_hours(silver.read(spark, location, "operating_hours")).select(F.lit("operating_hours"), "seq", "entity_id", "start_time"))

@@ -9,6 +9,10 @@ from pyspark.sql.types import StructType
 from queuelake.sources.bronze import route
 from queuelake.sources.validate import check
 
+# A column of few values keeps its dictionary; one of many (bodies, ids, prices, instants) gives it up after 32 KB, not
+# after a megabyte in which every further value is looked up. Row groups are small, since tasks share a file by them.
+_PARQUET = {"compression": "zstd", "parquet.dictionary.page.size": "32768", "parquet.block.size": "8388608"}
+
 
 def write_bronze(responses: DataFrame, location: str, mode: str = "append") -> None:
     """Store responses partitioned so that a scan of one kind or month page reads only its folders.
@@ -52,4 +56,4 @@ def write_table(
     if observe is not None:
         # Last of all: below a shuffle that turns out empty a count would be optimized away.
         rows = rows.observe(observe[0], *[c.alias(n) for n, c in observe[1].items()])
-    rows.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(location)
+    rows.write.mode(mode).options(**_PARQUET).partitionBy(*partition_by).parquet(location)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from queuelake import schemas as S
 from queuelake.functions.numbers import lax_boolean, lax_double
-from queuelake.functions.times import aware_instant
+from queuelake.functions.times import no_instant
 from queuelake.session import stored
 from queuelake.sources.bronze import decode, of_kind
 
@@ -33,11 +33,14 @@ _AS_JSON = "coalesce(contains(content_type, 'application/json'), false)"
 
 
 class Check(NamedTuple):
-    """`broken` gives, for the name of a record, SQL that is true when the record breaks the rule."""
+    """`broken` gives, for the name of a record, SQL that is true when the record breaks the rule. A check on the elements
+    of a list names the `array`, and the check `inside` that one of them has to break (none: it is null)."""
 
     rule: str
     field: str
     broken: Callable[[str], str]
+    array: str = ""
+    inside: Check | None = None
 
 
 def _required(*fields: str) -> list[Check]:
@@ -59,7 +62,7 @@ def _castable(rule: str, cast: Callable[[str], str], *fields: str) -> list[Check
 
 
 def _instants(*fields: str) -> list[Check]:
-    return _castable("VAL4", aware_instant, *fields)
+    return [Check("VAL4", f, lambda r, f=f: no_instant(f"{r}.{f}")) for f in fields]
 
 
 def _numbers(*fields: str) -> list[Check]:
@@ -91,10 +94,10 @@ def _each(array: str, checks: list[Check]) -> list[Check]:
 
     def lift(c: Check) -> Check:
         present = _present(c.broken)
-        return Check(c.rule, f"{array}.{c.field}", lambda r: _some(f"{r}.{array}", present))
+        return Check(c.rule, f"{array}.{c.field}", lambda r: _some(f"{r}.{array}", present), array, c)
 
     lifted = [lift(c) for c in checks]
-    return [Check("VAL2", array, lambda r: _some(f"{r}.{array}", _is_null)), *lifted]
+    return [Check("VAL2", array, lambda r: _some(f"{r}.{array}", _is_null), array), *lifted]
 
 
 def _present(broken: Callable[[str], str]) -> Callable[[str], str]:
@@ -107,7 +110,14 @@ def _is_null(record: str) -> str:
 
 
 def _any_broken(checks: list[Check], record: str) -> str:
-    return " OR ".join(c.broken(record) for c in checks) or "false"
+    """Does the record break any of the checks? One pass over each of its lists tries all checks of its elements."""
+    lists: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.array:
+            lists.setdefault(c.array, []).extend([c.inside] if c.inside else [])
+    found = [c.broken(record) for c in checks if not c.array]
+    found += [_some(f"{record}.{array}", _element_broken(inside)) for array, inside in lists.items()]
+    return " OR ".join(found) or "false"
 
 
 _LOCATION = _numbers("location.latitude", "location.longitude")
@@ -156,7 +166,7 @@ CHECKS: dict[str, list[Check]] = {
     + _each("schedule", _ENTRY)
     + _each("parks", [*_ROOT, _TOO_DEEP, *_each("schedule", _ENTRY)]),
 }
-# The same checks, arranged so that one pass over a list tries all rules of its elements.
+# The same checks, those on the elements of a list apart, so that the faulty elements can be dropped.
 _ON_DOCUMENT: dict[str, list[Check]] = {
     "destinations": [],
     "entity": _required("id", "name", "entityType", "timezone") + _ROOT + _LOCATION,
@@ -228,9 +238,9 @@ _LEVEL = [
 
 
 def _broken_rules(checks: list[Check], record: str, prefix: str = "") -> str:
-    """SQL list of the broken rules of a record."""
+    """SQL list of the broken rules of a record. Rules are tried one by one only where any is broken at all."""
     found = [f"CASE WHEN {c.broken(record)} THEN named_struct('rule', '{c.rule}', 'field', '{prefix}{c.field}') END" for c in checks]
-    return f"filter(array({', '.join(found)}), v -> v IS NOT NULL)"
+    return f"filter(CASE WHEN {_any_broken(checks, record)} THEN array({', '.join(found)}) ELSE array() END, v -> v IS NOT NULL)"
 
 
 def schedule_levels(bronze: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> ScheduleLevels:
