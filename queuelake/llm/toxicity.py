@@ -189,9 +189,12 @@ class Network:
         return np.concatenate([self.logits(inputs, *_layout(words, part)) for part in parts]) if len(words.window_row) else np.zeros(0, np.float32)
 
     def probability(self, logit: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each document from the logits of its windows, and how many windows it has."""
+        """Probability of each document from the logits of its windows, and how many windows it has.
+
+        Log odds are rounded: further digits depend on what else is in the slice, and repeated rows score alike.
+        """
         number = np.bincount(row, minlength=rows)
-        x = _facts(logit, row, number) @ self.pool[:-1] + self.pool[-1]
+        x = np.round(_facts(logit, row, number) @ self.pool[:-1] + self.pool[-1], 5)
         return np.where(number > 0, 1 / (1 + np.exp(-np.clip(x, -60, 60))), 0.0), number
 
 

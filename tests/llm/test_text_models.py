@@ -435,3 +435,13 @@ def test_no_rows(as_docs, run):
 
 def test_toxicity_no_rows(spark, as_docs):
     assert toxicity.toxicity(as_docs([(1, "x", "en", "s")]).where("doc_id = 0"), spark.createDataFrame([], "doc_id bigint, toxic int")).count() == 0
+
+
+def test_documents_score_alike_whatever_lies_beside_them():
+    """Logits of windows differ in their last digits between slices; the score of a document does not."""
+    net = toxicity.Network(np.zeros(0, np.int64))
+    net.pool = np.array([1.0, 0.5, 0.5, 0.1, -2.0])
+    row = np.zeros(300, np.int64)
+    logit = np.linspace(-3, 9, 300).astype(np.float32)
+    scores = {float(net.probability(logit + np.float32(shift), row, 1)[0][0]) for shift in (0, 1e-7, -1e-7)}
+    assert len(scores) == 1
